@@ -13,15 +13,18 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_OWN: dict[str, str] = {}
+
 
 def shared_root(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session; only where it is unset (tests, a laptop) a temporary folder."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if root:
         return root
-    root = tempfile.mkdtemp(prefix="tesserae-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _OWN:
+        _OWN[app] = tempfile.mkdtemp(prefix="tesserae-")
+    return _OWN[app]
 
 
 class Workspace:
