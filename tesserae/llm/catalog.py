@@ -3,8 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tesserae.llm.decontam import contamination
+from tesserae.llm.htmltext import extract_pages
+from tesserae.llm.langid import fit_languages, identify
 from tesserae.llm.minhash import near_duplicates
+from tesserae.llm.ppm import score_language
+from tesserae.llm.quality import fit_quality, score_quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,9 +21,62 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), n=3, num=85, den=100)
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_language(_table(spark, sf_dir, "documents"), folds=7, held=2)
+
+
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), t=10)
+
+
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(_table(spark, sf_dir, "pages"))
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return score_quality(docs, fit_quality(docs, _table(spark, sf_dir, "labels")), threshold=0.3)
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    model = fit_languages(docs.where(~held))
+    return identify(docs, model).select("doc_id", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+#: Items' and documents' words in SQL: A-Z folded, runs of 0-9, a-z and all that is not ASCII.
+_WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLES = {
+    "op4_benchmark_decontamination": rf"""
+WITH d AS (SELECT doc_id, coalesce({_WORDS}, []) w FROM documents),
+i AS (SELECT DISTINCT item_id, {_WORDS} w FROM benchmark WHERE text IS NOT NULL),
+iw AS (SELECT DISTINCT item_id, m, array_to_string(w[p:p + m - 1], ' ') win FROM
+  (SELECT item_id, w, least(len(w), 10) m, unnest(range(1, greatest(len(w) - 9, 1) + 1)) p FROM i WHERE len(w) > 0)),
+dw AS (SELECT doc_id, p, m, array_to_string(w[p:p + m - 1], ' ') win FROM
+  (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) p FROM d, (SELECT DISTINCT m FROM iw) WHERE len(w) >= m)),
+h AS (SELECT doc_id, p, dw.m, item_id FROM dw JOIN iw USING (m, win)),
+n AS (SELECT doc_id, count(DISTINCT q) n_hit FROM (SELECT doc_id, unnest(range(p, p + m)) q FROM h) GROUP BY doc_id),
+s AS (SELECT doc_id, count(*) n_items, sha256(string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR)) sha FROM (SELECT DISTINCT doc_id, item_id FROM h) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT n_words, coalesce(n_hit, 0)::BIGINT n_hit, coalesce(n_items, 0)::BIGINT n_items, coalesce(sha, sha256('')) items_sha256, coalesce(n_hit, 0) > 0 contaminated
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN s USING (doc_id)""",
+    "op2_minhash_near_dedup": r"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) w FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(w[p:p + 2], ' ') g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) p FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) n FROM s GROUP BY doc_id),
+e AS MATERIALIZED (SELECT x.a, x.b FROM (SELECT p.doc_id a, q.doc_id b, count(*) i FROM s p JOIN s q ON p.g = q.g AND p.doc_id <> q.doc_id GROUP BY 1, 2) x
+  JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * i >= 85 * (na.n + nb.n - i)),
+r AS (SELECT doc_id, doc_id AS c FROM d UNION SELECT e.b, r.c FROM r JOIN e ON r.doc_id = e.a),
+m AS (SELECT doc_id, min(c) c FROM r GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT n_shingles, c component_id, d.doc_id = c kept FROM d LEFT JOIN n USING (doc_id) JOIN m ON m.doc_id = d.doc_id""",
+}
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_minhash_near_dedup,)}
+    found = (op2_minhash_near_dedup, op3_lm_scoring, op4_benchmark_decontamination, op5_html_extraction, op8_quality_classifier, op9_language_id)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
