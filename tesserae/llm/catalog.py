@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tesserae.llm.covertree import top_k
 from tesserae.llm.decontam import contamination
 from tesserae.llm.htmltext import extract_pages
 from tesserae.llm.langid import fit_languages, identify
@@ -33,6 +34,10 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(_table(spark, sf_dir, "pages"))
 
 
+def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(_table(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return score_quality(docs, fit_quality(docs, _table(spark, sf_dir, "labels")), threshold=0.3)
@@ -61,6 +66,13 @@ n AS (SELECT doc_id, count(DISTINCT q) n_hit FROM (SELECT doc_id, unnest(range(p
 s AS (SELECT doc_id, count(*) n_items, sha256(string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR)) sha FROM (SELECT DISTINCT doc_id, item_id FROM h) GROUP BY doc_id)
 SELECT doc_id, len(w)::BIGINT n_words, coalesce(n_hit, 0)::BIGINT n_hit, coalesce(n_items, 0)::BIGINT n_items, coalesce(sha, sha256('')) items_sha256, coalesce(n_hit, 0) > 0 contaminated
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN s USING (doc_id)""",
+    "op7_exact_top_k": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id query_id, d.vec_id, list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * d.e[i]))::BIGINT score
+  FROM v q JOIN v d ON q.vec_id % 50 = 0 AND d.vec_id <> q.vec_id AND len(d.e) = len(q.e)),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
     "op2_minhash_near_dedup": r"""
 WITH RECURSIVE d AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) w FROM documents),
 s AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(w[p:p + 2], ' ') g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) p FROM d WHERE len(w) > 0)),
@@ -74,7 +86,7 @@ SELECT d.doc_id, coalesce(n, 0)::BIGINT n_shingles, c component_id, d.doc_id = c
 
 
 def queries() -> dict:
-    found = (op2_minhash_near_dedup, op3_lm_scoring, op4_benchmark_decontamination, op5_html_extraction, op8_quality_classifier, op9_language_id)
+    found = (op2_minhash_near_dedup, op3_lm_scoring, op4_benchmark_decontamination, op5_html_extraction, op7_exact_top_k, op8_quality_classifier, op9_language_id)
     return {f.__name__: f for f in found}
 
 
