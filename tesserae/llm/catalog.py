@@ -10,14 +10,23 @@ from tesserae.llm.decontam import contamination
 from tesserae.llm.htmltext import extract_pages
 from tesserae.llm.langid import fit_languages, identify
 from tesserae.llm.minhash import near_duplicates
+from tesserae.llm.mixing import mix
 from tesserae.llm.ppm import score_language
 from tesserae.llm.quality import fit_quality, score_quality
+from tesserae.llm.secrets import fit_forest, labelled_findings, scan
+from tesserae.llm.warc import page_records, resolve_revisits
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = fit_forest(labelled_findings(spark))
+    found = scan(_table(spark, sf_dir, "documents"), model)
+    return found.select("doc_id", "finding", "start", "kind", F.length("value").alias("n_chars"), F.sha2("value", 256).alias("value_sha256"), "probability", "is_secret")
+
+
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), n=3, num=85, den=100)
 
@@ -34,6 +43,11 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(_table(spark, sf_dir, "pages"))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mix(_table(spark, sf_dir, "documents"))
+    return out.withColumns({c: F.round(c, 6) for c in ("probability", "weight")})
+
+
 def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(_table(spark, sf_dir, "embeddings"), every=50, k=5)
 
@@ -50,6 +64,12 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, model).select("doc_id", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = resolve_revisits(page_records(_table(spark, sf_dir, "pages")))
+    fields = F.array_join(F.transform("headers", lambda h: F.concat(h["name"], F.lit(": "), F.coalesce(h["value"], F.lit("")))), "\n")
+    return out.select("record_id", "url_key", "response_id", "state", "digest", fields.alias("headers"))
+
+
 #: Items' and documents' words in SQL: A-Z folded, runs of 0-9, a-z and all that is not ASCII.
 _WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -85,8 +105,45 @@ SELECT d.doc_id, coalesce(n, 0)::BIGINT n_shingles, c component_id, d.doc_id = c
 }
 
 
+def _mixing_sql(rounds: int = 8, power: float = 0.9, seed: int = 17) -> str:
+    topic = """CASE WHEN text IS NULL OR NOT regexp_matches(text, '\\S') THEN 'empty' WHEN contains(text, ' | ') THEN 'table' WHEN regexp_matches(text, '[*#$%&]{3}') THEN 'markup'
+ WHEN contains(text, '!!') THEN 'promotion' WHEN regexp_matches(text, '[Ll]icen[sc]e|[Cc]opyright') THEN 'legal' WHEN regexp_matches(text, '\\w@\\w') THEN 'contact' ELSE 'prose' END"""
+    parts = [
+        f"d AS MATERIALIZED (SELECT doc_id, coalesce(source, '(none)') source, coalesce(lang, '(none)') lang, {topic} topic, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT n_tokens FROM documents)",
+        "c0 AS MATERIALIZED (SELECT source, lang, topic, sum(n_tokens)::BIGINT t, sum(n_tokens)::DOUBLE w FROM d GROUP BY ALL HAVING sum(n_tokens) > 0)",
+    ]
+    dims = ("source", "lang", "topic")
+    for dim in dims:
+        parts.append(f"t_{dim} AS MATERIALIZED (SELECT {dim}, pow(sum(t)::DOUBLE, {power}) / sum(pow(sum(t)::DOUBLE, {power})) OVER () AS target FROM c0 GROUP BY {dim})")
+    at = 0
+    for _ in range(rounds):
+        for dim in dims:
+            parts.append(f"c{at + 1} AS MATERIALIZED (SELECT source, lang, topic, t, w * target / sum(w) OVER (PARTITION BY {dim}) w FROM c{at} JOIN t_{dim} USING ({dim}))")
+            at += 1
+    return f"""WITH {", ".join(parts)},
+r AS (SELECT doc_id, source, lang, topic, n_tokens, CASE WHEN n_tokens > 0 THEN coalesce(w * (SELECT sum(t) FROM c0) / t, 0) ELSE 1 END rate FROM d LEFT JOIN c{at} USING (source, lang, topic))
+SELECT doc_id, source, lang, topic, n_tokens, round(least(1.0, rate), 6) probability, round(greatest(1.0, rate), 6) weight,
+('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':{seed}'), 1, 8))::BIGINT / 4294967296.0 < rate sampled FROM r"""
+
+
+ORACLES["op6_mixing"] = _mixing_sql()
+_KEY = r"""CASE WHEN host <> '' THEN host || regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/+$', '') || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END END"""
+ORACLES["op10_warc_revisits"] = rf"""
+WITH u AS (SELECT page_id, url, md5(html) digest, strlen(html)::VARCHAR size, '"' || substr(md5(html), 1, 16) || '"' etag, regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^(?i)https?://', '') rest FROM pages),
+k AS (SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(rest, '^([^/?]*)', 1)), ':(80|443)$', ''), '^www\.', '') host,
+  list_sort(list_filter(string_split(regexp_extract(rest, '\?(.*)$', 1), '&'), lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[a-z]+|fbclid|gclid|msclkid|sessionid|ref)='))) q FROM u),
+p AS (SELECT *, {_KEY} url_key FROM k),
+v AS (SELECT page_id * 2 + 1 record_id, page_id + 500 ts, * EXCLUDE (digest) FROM p),
+m AS (SELECT v.record_id, v.url_key, v.etag, v.size, r.page_id rp, r.digest, r.etag re, r.size rs,
+  row_number() OVER (PARTITION BY v.record_id ORDER BY r.page_id DESC) n
+  FROM v LEFT JOIN p r ON r.url_key = v.url_key AND r.digest IS NOT NULL AND (r.page_id, r.page_id * 2) < (v.ts, v.record_id))
+SELECT record_id, url_key, rp * 2 response_id, CASE WHEN rp IS NULL THEN 'orphan' WHEN etag = re THEN 'resolved' ELSE 'mismatch' END state, CASE WHEN etag = re THEN digest END digest,
+CASE WHEN etag = re THEN 'Content-Type: text/html' || chr(10) || 'Content-Length: ' || rs || chr(10) || 'ETag: ' || etag || chr(10) || 'Age: 500' || chr(10) || 'Cache-Control: max-age=60'
+ELSE 'Content-Length: 0' || chr(10) || 'ETag: ' || coalesce(etag, '') || chr(10) || 'Age: 500' || chr(10) || 'Cache-Control: max-age=60' END headers FROM m WHERE n = 1"""
+
+
 def queries() -> dict:
-    found = (op2_minhash_near_dedup, op3_lm_scoring, op4_benchmark_decontamination, op5_html_extraction, op7_exact_top_k, op8_quality_classifier, op9_language_id)
+    found = (op1_secret_scans, op2_minhash_near_dedup, op3_lm_scoring, op4_benchmark_decontamination, op5_html_extraction, op6_mixing, op7_exact_top_k, op8_quality_classifier, op9_language_id, op10_warc_revisits)
     return {f.__name__: f for f in found}
 
 
