@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tesserae.plans.workspace import Workspace
+from tesserae.plans.workspace import Workspace, small_side
 
 DIMS = ("source", "lang", "topic")
 
@@ -50,7 +50,7 @@ def rake(ws: Workspace, cells: DataFrame, targets: dict[str, DataFrame], rounds:
     return cur
 
 
-def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, power: float = 0.9, rounds: int = 8, seed: int = 17) -> DataFrame:
+def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, power: float = 0.9, rounds: int = 8, seed: int = 17, carry: bool = False) -> DataFrame:
     """Sample ``docs(doc_id, text, lang, source)`` to target shares of tokens by source, language and topic.
 
     ``targets`` gives, for each of source, lang and topic, a DataFrame (that column, ``target``) summing to 1; where
@@ -58,23 +58,23 @@ def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, power: flo
     the rate w / s; its documents are kept with probability min(1, rate) and weigh max(1, rate) in training, so the
     expected weighted tokens meet the targets. Draws are hashes of doc_id and ``seed``: the same in every run.
 
-    Returns a row for each row, with doc_id, source, lang, topic, n_tokens, probability, weight, sampled. A null
-    source or language is a category ``(none)``; documents without words are kept as they are. Repeated rows are drawn
-    alike. An empty table gives an empty result; other columns are ignored. A hot source is one cell like any other:
-    documents are summed before they are shuffled and never gathered by source.
+    Returns a row for each row, with doc_id, source, lang, topic, n_tokens, probability, weight, sampled, and with
+    ``carry`` the whole input row as struct ``row``. A null source or language is a category ``(none)``; documents
+    without words are kept as they are. Repeated rows are drawn alike. An empty table gives an empty result; other
+    columns are ignored. A hot source is one cell like any other: documents are summed before the shuffle, never
+    gathered by source, and get their rates from a broadcast of the cells if these are small.
     """
-    spark = docs.sparkSession
-    ws = Workspace(spark, "mix")
+    ws = Workspace(docs.sparkSession, "mix")
     none = F.lit("(none)")
-    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("source", none).alias("source"), F.coalesce("lang", none).alias("lang"), topic_of(F.col("text")).alias("topic"), tokens_of(F.col("text")).alias("n_tokens"))
-    src = ws.save(src, "docs")
+    whole = [F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")] if carry else []
+    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("source", none).alias("source"), F.coalesce("lang", none).alias("lang"), topic_of(F.col("text")).alias("topic"), tokens_of(F.col("text")).alias("n_tokens"), *whole)
     cells = ws.save(src.groupBy(*DIMS).agg(F.sum("n_tokens").alias("tokens")), "cells")
     wanted = {d: (targets or {}).get(d, None) for d in DIMS}
     wanted = {d: ws.save(smoothed_targets(cells, d, power) if t is None else t.select(d, F.col("target").cast("double").alias("target")), f"target-{d}") for d, t in wanted.items()}
     total = cells.agg(F.sum("tokens")).first()[0] or 0
     raked = rake(ws, cells, wanted, rounds)
     rate = raked.select(*DIMS, (F.col("w") * F.lit(float(total)) / F.col("tokens")).alias("rate"))
-    out = src.join(rate, list(DIMS), "left")
+    out = src.join(small_side(rate, 256), list(DIMS), "left")
     rate = F.when(F.col("n_tokens") > 0, F.coalesce("rate", F.lit(0.0))).otherwise(1.0)
     draw = F.conv(F.substring(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f":{seed}"))), 1, 8), 16, 10).cast("double") / 2.0**32
-    return out.select("doc_id", *DIMS, "n_tokens", F.least(F.lit(1.0), rate).alias("probability"), F.greatest(F.lit(1.0), rate).alias("weight"), (draw < rate).alias("sampled"))
+    return out.select("doc_id", *DIMS, "n_tokens", F.least(F.lit(1.0), rate).alias("probability"), F.greatest(F.lit(1.0), rate).alias("weight"), (draw < rate).alias("sampled"), *(["row"] if carry else []))

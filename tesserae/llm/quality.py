@@ -154,3 +154,16 @@ def score_quality(docs: DataFrame, model: QualityModel, threshold: float = 0.3,
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("t")).mapInArrow(run, "doc_id long, score double")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == held, F.lit(False))
     return out.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def keep_quality(docs: DataFrame, model: QualityModel, threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` whose text scores at least ``threshold``, with all their columns; nothing is shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = [None if t is None else t.encode() for t in b.column(at).to_pylist()]
+            yield b.filter(pa.array(shared.value.score(texts) >= threshold, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -8,6 +8,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tesserae.plans.workspace import Workspace, fits_broadcast
+
 # fixed values: public formats of credentials (Java regular expressions), most specific first
 KEYWORD = r"(?:password|passwd|pwd|passphrase|secret|token|api[_-]?key|access[_-]?key|auth[_-]?key|credential)s?"
 ASSIGN = rf"(?i:\b[\w.-]*{KEYWORD}[\"']?\s{{0,3}}[:=]\s{{0,3}}[\"'`]?)"
@@ -139,9 +141,18 @@ def scan(docs: DataFrame, model: RandomForestClassificationModel, threshold: flo
     return out.withColumn("is_secret", F.col("probability") >= threshold)
 
 
-def redact(docs: DataFrame, found: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with every confirmed value replaced in its text, and n_chars of the new text; all rows and columns stay."""
-    values = found.where("is_secret").groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct(F.length("value").alias("n"), "value")), False).alias("_found"))
+def redact(docs: DataFrame, model: RandomForestClassificationModel, threshold: float = 0.5, mark: str = "[SECRET]") -> DataFrame:
+    """``docs`` with every confirmed value replaced in its text, and n_chars of the new text; all rows and columns stay.
+
+    Findings meet their documents by a hash of the text, so null and repeated doc_ids are served alike. They are
+    written first and broadcast if they are few; else the join is shuffled.
+    """
+    ws = Workspace(docs.sparkSession, "redact")
+    key = F.xxhash64("text")
+    found = scan(docs.select(key.alias("doc_id"), "text", "source"), model, threshold).where("is_secret")
+    found = ws.save(found.groupBy(F.col("doc_id").alias("_key")).agg(F.sort_array(F.collect_set(F.struct(F.length("value").alias("n"), "value")), False).alias("_found")), "found")
+    size = found.agg(F.coalesce(F.sum(F.aggregate("_found", F.lit(32).cast("long"), lambda a, s: a + F.octet_length(s["value"]) + 32)), F.lit(0))).first()[0]
+    found = F.broadcast(found) if fits_broadcast(size, 1) else found
     clean = F.aggregate("_found", F.col("text"), lambda t, s: F.replace(t, s["value"], F.lit(mark)))
-    out = docs.join(values, "doc_id", "left").withColumn("text", F.when(F.col("_found").isNull(), F.col("text")).otherwise(clean))
+    out = docs.withColumn("_key", key).join(found, "_key", "left").withColumn("text", F.when(F.col("_found").isNull(), F.col("text")).otherwise(clean))
     return out.withColumn("n_chars", F.when(F.col("_found").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))).select(*docs.columns)
