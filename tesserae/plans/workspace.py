@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN: dict[str, str] = {}
+#: Rows may be large (packed arrays): check a row group's size after every row, and keep groups small.
+_WRITER = {"parquet.block.size": str(16 << 20), "parquet.block.size.row.check.min": "1", "parquet.page.size.row.check.min": "1"}
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -47,7 +49,7 @@ class Workspace:
     def save(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` once and return a DataFrame that reads the copy."""
         path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").options(**_WRITER).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
