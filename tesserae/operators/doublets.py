@@ -66,7 +66,8 @@ def score_doublets(latent: DataFrame, batch: str, rate: float, k: int = 15, seed
         kk, score = min(k, len(y) - 1), np.zeros(len(x))
         norm = (y * y).sum(1)
         for i in range(0, len(x), 512):
-            d = norm[i : i + 512, None] + norm[None] - 2 * y[i : i + 512] @ y.T
+            part = x[i : i + 512]
+            d = (part * part).sum(1)[:, None] + norm[None] - 2 * part @ y.T
             d[np.arange(len(d)), np.arange(i, i + len(d))] = np.inf
             near = np.argpartition(d, kk - 1, axis=1)[:, :kk] if kk else np.zeros((len(d), 0), int)
             score[i : i + 512] = (near >= len(x)).mean(1) if kk else 0

@@ -84,12 +84,11 @@ def obs_columns(columns: list[str]) -> list[str]:
 def manifest_problems(manifest: DataFrame) -> DataFrame:
     """(row, problem) of a manifest with its CSV row number ``row``: empty path or study, repeated sample."""
     m = manifest.where(F.coalesce(F.lower(F.trim("skip")) != "true", F.lit(True))) if "skip" in manifest.columns else manifest
-    s = F.trim("sample_id")
-    again = F.count("*").over(Window.partitionBy(s)) > 1
+    m = m.withColumn("_again", F.count("*").over(Window.partitionBy(F.trim("sample_id"))) > 1)
     flags = F.array(
         F.when(F.coalesce(F.trim("data_path"), F.lit("")) == "", "empty data_path"),
         F.when(F.coalesce(F.trim("study"), F.lit("")) == "", "empty study"),
-        F.when(again, "duplicate sample_id"),
+        F.when(F.col("_again"), "duplicate sample_id"),
     )
     return m.select("row", F.explode(F.filter(flags, lambda x: x.isNotNull())).alias("problem"))
 

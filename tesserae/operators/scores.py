@@ -135,3 +135,10 @@ def classify_prototypes(points: DataFrame, prototypes: DataFrame, id_: str = "id
     x = x.withColumn("b", best).select("id", F.col("b.label").alias("predicted"), F.col("b.d").alias("dist"))
     lo, hi = x.agg(F.min("dist"), F.max("dist")).first()
     return x.withColumn("uncertainty", F.coalesce(F.try_divide(F.col("dist") - F.lit(lo), F.nullif(F.lit(hi) - F.lit(lo), F.lit(0.0))), F.lit(0.0)))
+
+
+def isolated_labels(df: DataFrame, label: str, batch: str) -> DataFrame:
+    """(label, n_batches, isolated): labels found in the fewest batches."""
+    n = df.groupBy(label).agg(F.count_distinct(batch).alias("n_batches"))
+    least = n.agg(F.min("n_batches").alias("least"))
+    return n.join(F.broadcast(least)).select(label, "n_batches", (F.col("n_batches") == F.col("least")).alias("isolated"))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from tesserae.plans import queries_maps, queries_qc, queries_tables  # noqa: F401
+from tesserae.plans.registry import ORACLES, QUERIES
+
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
