@@ -14,7 +14,7 @@ def percent_of(count: Column, member: Column) -> Column:
     return F.coalesce(F.try_divide(F.sum(F.when(member, count).otherwise(F.lit(0.0))) * 100, F.sum(count)), F.lit(0.0))
 
 
-def cell_metrics(counts: DataFrame, cell: str = "cell", sets: dict[str, Column] | None = None) -> DataFrame:
+def cell_metrics(counts: DataFrame, cell: str | list[str] = "cell", sets: dict[str, Column] | None = None) -> DataFrame:
     """One row per cell: nCount, nFeature and a percentage for each gene set, in one map-side combined aggregation."""
     c = F.col("count").cast("double")
     extra = [percent_of(c, m).alias(k) for k, m in (sets or {}).items()]
