@@ -29,15 +29,14 @@ def _signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
             for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 s = shingle_set(t, n)
                 if not len(s):
-                    out.append((i, 0, None, None, None))
+                    out.append((i, 0, None, None))
                     continue
-                sig = mh.signature(s)
-                out.append((i, len(s), xxhash.xxh3_128_digest(s.tobytes()), sig.tobytes(), mh.band_keys(sig)))
-            cols = list(zip(*out, strict=True)) or [[]] * 5
-            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["doc_id", "n_shingles", "set_key", "sig", "keys"])
+                out.append((i, len(s), xxhash.xxh3_128_digest(s.tobytes()), mh.signature(s).tobytes()))
+            cols = list(zip(*out, strict=True)) or [[]] * 4
+            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["doc_id", "n_shingles", "set_key", "sig"])
 
-    return docs.select("doc_id", F.col("text").cast("binary").alias("t")).mapInArrow(run, "doc_id long, n_shingles long, set_key binary, sig binary, keys array<long>")
+    return docs.select("doc_id", F.col("text").cast("binary").alias("t")).mapInArrow(run, "doc_id long, n_shingles long, set_key binary, sig binary")
 
 
 def _sets(docs: DataFrame, n: int) -> DataFrame:
@@ -127,9 +126,12 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sigs = ws.save(_signatures(docs, n, bands, rows), "sigs")
     whole = sigs.where("n_shingles > 0 and doc_id is not null")
-    reps = ws.save(whole.groupBy("set_key").agg(F.min(F.struct("doc_id", "n_shingles", "sig", "keys")).alias("r")).select("set_key", F.col("r.doc_id").alias("doc"), "r.n_shingles", "r.sig", "r.keys"), "reps")
+    reps = ws.save(whole.groupBy("set_key").agg(F.min(F.struct("doc_id", "n_shingles", "sig")).alias("r")).select("set_key", F.col("r.doc_id").alias("doc"), "r.n_shingles", "r.sig"), "reps")
+    rows_in = ws.save(sigs.select("doc_id", "n_shingles", "set_key"), "rows")
+    ws.drop("sigs")
 
-    keyed = reps.select(F.explode("keys").alias("key"), "doc")
+    band = [F.xxhash64(F.expr(f"substring(sig, {4 * rows * i + 1}, {4 * rows})"), F.lit(i)) for i in range(bands)]
+    keyed = reps.select(F.explode(F.array(*band)).alias("key"), "doc")
     stars = ws.save(keyed.groupBy("key").agg(F.min("doc").alias("centre"), F.count("*").alias("m")).where("m > 1").drop("m"), "stars")
     family = ws.save(keyed.join(stars, "key").where("doc <> centre").select("centre", "doc").distinct(), "family")
     used = ws.save(family.select("doc").union(family.select(F.col("centre").alias("doc"))).distinct(), "used")
@@ -167,7 +169,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     comp = comp.join(over, "comp", "left").select("doc", F.coalesce("upper", "comp").alias("component_id"))
     classes = ws.save(reps.join(comp, "doc").select("set_key", "component_id", "doc"), "classes")
     single = ws.save(reps.select("set_key", F.col("doc").alias("d")).join(classes.drop("doc"), "set_key", "left").select("set_key", F.coalesce("component_id", "d").alias("component_id")), "labels")
-    out = sigs.select("doc_id", "n_shingles", "set_key").join(single, "set_key", "left")
+    out = rows_in.join(single, "set_key", "left")
     cid = F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), cid).alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 

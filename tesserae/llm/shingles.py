@@ -41,7 +41,7 @@ def shingle_set(text: bytes | None, n: int) -> np.ndarray:
 
 
 class MinHash:
-    """``bands * rows`` multiply-add hash functions on 64 bits; their minima, and a key for each band."""
+    """``bands * rows`` multiply-add hash functions on 64 bits; their minima."""
 
     def __init__(self, bands: int, rows: int, seed: int = 1):
         rng = np.random.default_rng(seed)
@@ -54,8 +54,3 @@ class MinHash:
         for i in range(0, len(s), 1024):
             np.minimum(low, (self.a[:, None] * s[None, i : i + 1024] + self.b[:, None]).min(1), out=low)
         return (low >> np.uint64(32)).astype(np.uint32)
-
-    def band_keys(self, sig: np.ndarray) -> list[int]:
-        """A signed 64-bit key for each band."""
-        rows = np.ascontiguousarray(sig.reshape(self.bands, self.rows))
-        return [xxhash.xxh3_64_intdigest(r.tobytes(), seed=i) - 2**63 for i, r in enumerate(rows)]
