@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tesserae.plans import queries_maps, queries_qc, queries_tables  # noqa: F401
+from tesserae.plans import queries_integration, queries_maps, queries_qc, queries_tables  # noqa: F401
 from tesserae.plans.registry import ORACLES, QUERIES
 
 
