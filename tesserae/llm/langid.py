@@ -73,33 +73,36 @@ class LanguageModel:
             for r in mine:
                 t[place[r["gram"]], col[r["lang"]]] = np.log(r["n"] / totals[kind, r["lang"]])
             self.table.append(t)
-        self.memo: dict[str, np.ndarray] = {}
+        self.rows: dict[str, int] = {}
+        self.vectors = np.zeros((1 << 12, len(self.langs)))
 
     def unseen(self, word: str) -> np.ndarray:
         """Mean log frequency of the word's longest n-grams of which any is known; nothing known tells nothing."""
-        if (got := self.memo.get(word)) is None:
-            got = np.zeros(len(self.langs))
-            for n in _ORDERS:
-                hits = [i for g in _pieces(word, n) if (i := self.known[n].get(g)) is not None]
-                if hits:
-                    got = self.table[n][hits].mean(0)
-                    break
-            if len(self.memo) > 100_000:
-                self.memo.clear()
-            self.memo[word] = got
-        return got
+        for n in _ORDERS:
+            hits = [i for g in _pieces(word, n) if (i := self.known[n].get(g)) is not None]
+            if hits:
+                return self.table[n][hits].mean(0)
+        return np.zeros(len(self.langs))
+
+    def row(self, word: str) -> int:
+        """Place of a word's log frequencies in ``vectors``, where each word met is kept (afresh after 200,000)."""
+        i = len(self.rows)
+        if i == len(self.vectors):
+            self.vectors = np.concatenate([self.vectors, np.zeros_like(self.vectors)])
+        k = self.known[0].get(word)
+        self.vectors[i] = self.unseen(word) if k is None else self.table[0][k]
+        self.rows[word] = i
+        return i
 
     def predict(self, text: str | None) -> tuple[str, float]:
         ws = words(text)
         if not ws or not self.langs:
             return "und", 0.0
-        get = self.known[0].get
-        ids = [get(w, -1) for w in ws]
-        at = np.array(ids, np.int64)
-        total = self.table[0][at[at >= 0]].sum(0) if (at >= 0).any() else np.zeros(len(self.langs))
-        for w, i in zip(ws, ids, strict=True):
-            if i < 0:
-                total = total + self.unseen(w)
+        if len(self.rows) > 200_000:
+            self.rows.clear()
+        get, row = self.rows.get, self.row
+        at = [i if (i := get(w)) is not None else row(w) for w in ws]
+        total = self.vectors[at].sum(0)
         best = int(np.argmax(total))
         return self.langs[best], float(1 / np.exp(total - total[best]).sum())
 
