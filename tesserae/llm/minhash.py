@@ -62,9 +62,9 @@ def _incidence(sets: list[np.ndarray]) -> Iterator[np.ndarray]:
     rows, col = rows[keep], (np.cumsum(df > 1) - 1)[inv[keep]]
     order = np.argsort(col, kind="stable")
     rows, col = rows[order], col[order]
-    for lo in range(0, int(col[-1]) + 1 if len(col) else 0, 4096):
-        a, b = np.searchsorted(col, [lo, lo + 4096])
-        m = np.zeros((len(sets), 4096), np.float32)
+    for lo in range(0, int(col[-1]) + 1 if len(col) else 0, 1024):
+        a, b = np.searchsorted(col, [lo, lo + 1024])
+        m = np.zeros((len(sets), 1024), np.float32)
         m[rows[a:b], col[a:b] - lo] = 1
         yield m
 
@@ -77,23 +77,17 @@ def _forest(num: int, den: int):
         sets = [np.frombuffer(x, np.uint64) for x in pdf["sh"]]
         left = int((pdf["side"] == 0).sum())
         size = np.array([len(s) for s in sets])
-        inter = np.zeros((left, len(sets)), np.float64)
+        inter = np.zeros((left, len(sets)), np.int32)
         for m in _incidence(sets):
-            inter += m[:left] @ m.T
-        hit = _linked(inter, size[:left, None], size[None, :], num, den)
-        root = {c: c for c in pdf["comp"]}
-
-        def find(x):
-            while root[x] != x:
-                root[x] = x = root[root[x]]
-            return x
-
-        comp, out = pdf["comp"].tolist(), []
-        for i, j in zip(*np.nonzero(hit), strict=True):
-            x, y = find(comp[i]), find(comp[j])
-            if x != y:
-                root[max(x, y)] = min(x, y)
-                out.append((comp[i], comp[j]))
+            inter += (m[:left] @ m.T).astype(np.int32)
+        comp, out = pdf["comp"].to_numpy(), []
+        root = comp.copy()
+        for i in range(left):
+            others, at = np.unique(root[near := np.nonzero(_linked(inter[i].astype(np.int64), size[i], size, num, den))[0]], return_index=True)
+            new = others != root[i]
+            out += [(comp[i], comp[j]) for j in near[at[new]]]
+            if new.any():
+                root[np.isin(root, others[new])] = root[i]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     return run
