@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tesserae.llm.shingles import word_hashes, words
@@ -88,20 +89,18 @@ class Trie:
         return out
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[list, list, list]]:
-    """Rows (id, text, train) of a task, regrouped until their texts make ``size`` bytes."""
-    ids, texts, train, n = [], [], [], 0
+def _chunks(batches: Iterator[pa.RecordBatch], size: int, text: int = 1) -> Iterator[tuple[list, ...]]:
+    """A task's columns, regrouped until the texts (column ``text``) of a chunk make ``size`` bytes."""
+    rows, n = [], 0
     for b in batches:
-        for i, t, k in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            ids.append(i)
-            texts.append(t)
-            train.append(k)
-            n += len(t or b"")
+        for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            rows.append(row)
+            n += len(row[text] or b"")
             if n >= size:
-                yield ids, texts, train
-                ids, texts, train, n = [], [], [], 0
-    if ids:
-        yield ids, texts, train
+                yield tuple(map(list, zip(*rows, strict=True)))
+                rows, n = [], 0
+    if rows:
+        yield tuple(map(list, zip(*rows, strict=True)))
 
 
 def score_language(docs: DataFrame, order: int = 6, folds: int = 7, held: int = 2, share: int = 1 << 20, chunk_bytes: int = 4 << 20) -> DataFrame:
@@ -113,9 +112,10 @@ def score_language(docs: DataFrame, order: int = 6, folds: int = 7, held: int =
     token sequence; pretrained, the same counts for all documents).
 
     Tasks work on chunks of their texts. Both models' counts leave a chunk summed, so no frequent word or context is
-    shuffled more than once a chunk; a chunk also keeps a sparse word matrix of its documents. Word
-    totals are joined back to chunks; only those of words that make 4/``share`` of the tokens are broadcast. The trie keeps a (context, symbol) node if it makes at least
-    1/``share`` of the training bytes, so it has at most ``share`` nodes an order whatever the corpus, and is broadcast.
+    shuffled more than once a chunk; a chunk also keeps sparse matrices of its documents' words and byte codes. Totals
+    of words and log probabilities of codes are joined back to the chunks' distinct ones. All counts are used: those of
+    words that make 4/``share`` of the tokens and codes that make 1/``share`` of the bytes are broadcast, which saves
+    shuffling and changes no result.
 
     Null texts count as empty (one token, the end). Repeated rows are scored one by one; an empty table or an empty
     training fold is fine (all words unknown, all bytes even). Other columns are ignored.
@@ -124,25 +124,33 @@ def score_language(docs: DataFrame, order: int = 6, folds: int = 7, held: int =
     ws = Workspace(spark, "ppm")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == held, F.lit(False))
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("t"), (~held_out).alias("train")).withColumn("id", F.xxhash64("doc_id", "t"))
-    chunks = ws.save(src.select("id", "t", "train").mapInArrow(_packer(2 * chunk_bytes), _PACKED), "chunks")
-
-    # byte contexts: the chunks' counts summed, each order from the one above; what is gathered is bounded by ``share``
-    counted = src.where("train").select("id", "t", "train").mapInArrow(_gram_counter(order, chunk_bytes), "gram long, n long")
-    top = ws.save(counted.groupBy("gram").agg(F.sum("n").alias("n")), f"grams{order}")
-    least = (top.agg(F.sum("n")).first()[0] or 0) / share
-    grams, seen = [], []
-    for j in range(order, -1, -1):
-        kept = top.where(F.col("n") >= least).toArrow()
-        ctx = top.groupBy(F.shiftright("gram", 8).alias("ctx")).agg(F.sum("n").alias("n")).where(F.col("n") >= least).toArrow()
-        grams.insert(0, tuple(c.to_numpy() for c in kept.columns))
-        seen.insert(0, tuple(c.to_numpy() for c in ctx.columns))
-        if j:
-            top = ws.save(top.groupBy(F.col("gram").bitwiseAND((1 << (8 * j)) - 1).alias("gram")).agg(F.sum("n").alias("n")), f"grams{j - 1}")
-            ws.drop(f"grams{j}")
-    trie = spark.sparkContext.broadcast(Trie(grams, seen))
-    scored = src.select("doc_id", "id", "train", "t").mapInArrow(_scorer(trie, order, chunk_bytes), "doc_id long, id long, train boolean, score double")
+    # byte contexts: a code met in training scores at the longest context; the others (count 0) back off
+    counted = src.select("id", "t", "train").mapInArrow(_gram_counter(order, chunk_bytes), "gram long, n long")
+    top = ws.save(counted.groupBy("gram").agg(F.sum("n").alias("n")), "codes")
+    ctx = Window.partitionBy(F.shiftright("gram", 8))
+    lp = F.log10(F.col("n") / (F.sum("n").over(ctx) + F.count("*").over(ctx)))
+    known = ws.save(top.where("n > 0").withColumn("lp", lp), "known")
+    novel = ws.save(top.where("n = 0").select("gram"), "novel")
+    ws.drop("codes")
+    _release(ws)
+    backed = ws.save(_novel_scores(ws, known, novel, order), "backed")
+    ws.drop("novel", *(f"level{j}" for j in range(order)))
+    _release(ws)
+    scores = known.select("gram", "lp").unionByName(backed)
+    bytes_ = known.agg(F.sum("n")).first()[0] or 0
+    often = known.where(F.col("n") * F.lit(share) >= F.lit(bytes_)).select("gram", "lp").toArrow()
+    order_ = np.argsort(often.column(0).to_numpy())
+    common = spark.sparkContext.broadcast((often.column(0).to_numpy()[order_], often.column(1).to_numpy()[order_]))
+    coded = ws.save(src.select("doc_id", "id", "train", "t").mapInArrow(_coder(common, order, chunk_bytes), _CODED), "coded")
+    asked = coded.select("chunk", F.posexplode("vocab").alias("at", "gram")).join(scores, "gram")
+    packs = asked.select("chunk", "at", "lp").mapInArrow(_by_chunk, "chunk long, at array<int>, lp array<double>")
+    scored = coded.drop("vocab").groupBy("chunk").cogroup(packs.groupBy("chunk")).applyInArrow(_summed, "doc_id long, id long, train boolean, score double")
+    scored = ws.save(scored, "scored")
+    ws.drop("known", "backed", "coded")
+    _release(ws)
 
     # unigrams: frequent words' totals (at most ``share / 4`` words) are broadcast, the others' go back to their chunks
+    chunks = ws.save(src.select("id", "t", "train").mapInArrow(_packer(2 * chunk_bytes), _PACKED), "chunks")
     words_ = chunks.select(F.explode(F.arrays_zip("vocab", "n")).alias("z")).groupBy(F.col("z.vocab").alias("word")).agg(F.sum("z.n").alias("c"))
     words_ = ws.save(words_, "words")
     n, v = words_.where("c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
@@ -158,6 +166,61 @@ def score_language(docs: DataFrame, order: int = 6, folds: int = 7, held: int =
     return out.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
 
 
+def _release(ws: Workspace) -> None:
+    """Let Spark's cleaner delete the shuffle files of steps whose results are saved: it acts on the driver's collection."""
+    ws.spark._jvm.System.gc()
+
+
+def _novel_scores(ws: Workspace, known: DataFrame, novel: DataFrame, order: int, tail: int = 3, block: int = 20000) -> DataFrame:
+    """(gram, lp) of codes that training never met: by a trie of all nodes of their contexts, a block of codes at a time.
+
+    Codes are dealt by the last ``tail`` bytes of their context, so nodes of longer contexts go to one block each; the
+    nodes of at most one byte of context (65,792 at most, whatever the corpus) are broadcast.
+    """
+    levels = {order: known.select("gram", "n")}
+    for j in range(order - 1, -1, -1):
+        levels[j] = ws.save(levels[j + 1].groupBy(F.col("gram").bitwiseAND((1 << (8 * (j + 1))) - 1).alias("gram")).agg(F.sum("n").alias("n")), f"level{j}")
+    low = known.sparkSession.sparkContext.broadcast([tuple(c.to_numpy() for c in levels[j].toArrow().columns) for j in range(min(2, order + 1))])
+    context = F.shiftright("gram", 8)
+    dealt = novel.withColumn("block", F.pmod(F.xxhash64(context.bitwiseAND((1 << (8 * tail)) - 1)), F.lit(256 + novel.count() // block)))
+    deep = range(2, order + 1)
+    need = F.array(*(F.struct(F.lit(j).alias("j"), context.bitwiseAND((1 << (8 * j)) - 1).alias("ctx")) for j in deep))
+    asked = dealt.select(F.col("block").alias("part"), F.explode(need).alias("z")).select("part", "z.j", "z.ctx").distinct()
+    nodes = reduce(DataFrame.unionByName, (levels[j].select(F.lit(j).alias("j"), context.alias("ctx"), "gram", "n") for j in deep))
+    return dealt.groupBy("block").cogroup(nodes.join(asked, ["j", "ctx"]).select("part", "j", "gram", "n").groupBy("part")).applyInArrow(_backoff(low, order), "gram long, lp double")
+
+
+def _backoff(low, order: int):
+    """Scores a block's codes by a trie of its nodes, which are all those of the contexts that the codes can meet."""
+
+    def run(codes_: pa.Table, nodes: pa.Table) -> pa.Table:
+        if not codes_.num_rows:
+            return pa.table({"gram": pa.array([], pa.int64()), "lp": pa.array([], pa.float64())})
+        j, gram, n = (nodes.column(c).to_numpy() for c in ("j", "gram", "n"))
+        grams = [*low.value, *((gram[j == i], n[j == i]) for i in range(len(low.value), order + 1))]
+        seen = []
+        for code, times in grams:
+            ctx, inv = np.unique(code >> 8, return_inverse=True)
+            seen.append((ctx, np.bincount(inv, times, minlength=len(ctx))))
+        code = codes_.column("gram").to_numpy()
+        return pa.table({"gram": pa.array(code), "lp": pa.array(Trie(grams, seen).log10(code))})
+
+    return run
+
+
+_CODES = {
+    "chunk": pa.int64(),
+    "docs": pa.list_(pa.int64()),
+    "ids": pa.list_(pa.int64()),
+    "train": pa.list_(pa.bool_()),
+    "part": pa.list_(pa.float64()),
+    "vocab": pa.list_(pa.int64()),
+    "size": pa.int32(),
+    "cells": pa.list_(pa.int32()),
+    "code": pa.binary(),
+    "times": pa.binary(),
+}
+_CODED = "chunk long, docs array<long>, ids array<long>, train array<boolean>, part array<double>, vocab array<long>, size int, cells array<int>, code binary, times binary"
 _FIELDS = {
     "chunk": pa.int64(),
     "ids": pa.list_(pa.int64()),
@@ -216,30 +279,81 @@ def _coded(texts: Iterable[bytes | None], order: int, size: int) -> Iterator[tup
 
 
 def _gram_counter(order: int, chunk_bytes: int):
-    """Byte codes of training texts with their counts, summed within a chunk."""
+    """Byte codes of a chunk with their counts in training texts (0 for those of other texts alone)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts = (t.as_py() for b in batches for t in b.column(1))
-        for _, code in _coded(texts, order, chunk_bytes):
-            gram, n = np.unique(code, return_counts=True)
+        train: list[bool] = []
+
+        def texts() -> Iterator[bytes | None]:
+            for b in batches:
+                for t, k in zip(b.column(1), b.column(2).to_pylist(), strict=True):
+                    train.append(k)
+                    yield t.as_py()
+
+        for at, code in _coded(texts(), order, chunk_bytes):
+            mine = np.array(train)[at]
+            gram, n = np.unique(code[mine], return_counts=True)
+            other = np.setdiff1d(code[~mine], gram)
+            gram, n = np.concatenate([gram, other]), np.concatenate([n, np.zeros(len(other), np.int64)])
             for i in range(0, len(gram), 1 << 16):
                 yield pa.record_batch([pa.array(gram[i : i + (1 << 16)]), pa.array(n[i : i + (1 << 16)])], ["gram", "n"])
 
     return count
 
 
-def _scorer(trie, order: int, chunk_bytes: int):
-    """Adds each text's log10 probability; a quarter of a chunk's symbols are looked up at once."""
+def _coder(common, order: int, chunk_bytes: int):
+    """Chunks: documents with the summed scores of broadcast codes, the distinct other codes, and a sparse matrix of these."""
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            total = np.zeros(b.num_rows)
-            for at, c in _coded((t.as_py() for t in b.column(3)), order, chunk_bytes // 4):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId()
+        for seq, (docs, ids, train, texts) in enumerate(_chunks(batches, chunk_bytes, 3)):
+            part, where, rest = np.zeros(len(ids)), [], []
+            for at, c in _coded(texts, order, chunk_bytes // 4):
                 code, inv = np.unique(c, return_inverse=True)
-                total += np.bincount(at, trie.value.log10(code)[inv], minlength=b.num_rows)
-            yield pa.record_batch([*b.columns[:3], pa.array(total)], ["doc_id", "id", "train", "score"])
+                lp, hit = _lookup(*common.value, code)
+                part += np.bincount(at, lp[inv], minlength=len(ids))
+                miss = ~hit[inv]
+                where.append(at[miss])
+                rest.append(c[miss])
+            vocab, inv = np.unique(np.concatenate(rest), return_inverse=True)
+            cell, times = np.unique(np.concatenate(where) * len(vocab) + inv, return_counts=True)
+            n = max(len(vocab), 1)
+            row = ((task << 32) + seq, docs, ids, train, part, vocab, len(vocab), np.bincount(cell // n, minlength=len(ids)).astype(np.int32), _squeezed(cell % n), _squeezed(times))
+            yield pa.record_batch([pa.array([x], k) for x, k in zip(row, _CODES.values(), strict=True)], list(_CODES))
+
+    return run
+
 
-    return score
+def _by_chunk(batches: Iterator[pa.RecordBatch], size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Rows (chunk, at, lp) of a task as few rows of arrays, one for each chunk and ``size`` rows."""
+
+    def packed(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        chunk, at, lp = (c.to_numpy() for c in pa.Table.from_batches(rows).columns)
+        by = np.argsort(chunk, kind="stable")
+        key, first = np.unique(chunk[by], return_index=True)
+        cut = pa.array(np.append(first, len(by)).astype(np.int32))
+        return pa.record_batch([pa.array(key), pa.ListArray.from_arrays(cut, pa.array(at[by])), pa.ListArray.from_arrays(cut, pa.array(lp[by]))], ["chunk", "at", "lp"])
+
+    held, n = [], 0
+    for b in batches:
+        held.append(b)
+        n += b.num_rows
+        if n >= size:
+            yield packed(held)
+            held, n = [], 0
+    if n:
+        yield packed(held)
+
+
+def _summed(coded: pa.Table, packs: pa.Table) -> pa.Table:
+    """Each document of a chunk with its score: broadcast codes' sum and the looked-up codes of its matrix row."""
+    docs, ids, train, part, cells = (coded.column(c)[0].values for c in ("docs", "ids", "train", "part", "cells"))
+    cells, lp = cells.to_numpy(), np.full(coded.column("size")[0].as_py(), np.nan)
+    for at, x in zip(packs.column("at"), packs.column("lp"), strict=True):
+        lp[at.values.to_numpy()] = x.values.to_numpy()
+    code, times = (_unsqueezed(coded.column(c)[0].as_py(), int(cells.sum())) for c in ("code", "times"))
+    more = np.bincount(np.repeat(np.arange(len(ids)), cells), lp[code] * times, minlength=len(ids))
+    return pa.table({"doc_id": docs, "id": ids, "train": train, "score": pa.array(part.to_numpy() + more)})
 
 
 def _lookup(keys: np.ndarray, values: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

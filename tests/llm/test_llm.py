@@ -128,6 +128,29 @@ def test_language_scores_against_brute_force(spark, share):
     assert {r["train_tokens"] for r in got} == {n} and all(r["held_out"] == held[r["doc_id"]] and r["score"] < 0 for r in got)
 
 
+@pytest.mark.parametrize("share", [1 << 20, 80])
+def test_language_scores_use_every_node(spark, share):
+    import zlib
+
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choice(["the", "Cat", "sat", "mät", f"w{rng.randrange(400)}"]) for _ in range(rng.randrange(0, 30)))) for i in range(120)] + [(700, None), (None, "cat sät")]
+    got = ppm.score_language(docs_of(spark, rows), share=share, chunk_bytes=200).collect()
+    code = {i: ppm.codes(ppm.stream(shingles.words((t or "").encode()), 6), 6) for i, t in rows}
+    held = {i for i in code if i is not None and zlib.crc32(str(i).encode()) % 7 == 2}
+    c, n = np.unique(np.concatenate([x for i, x in code.items() if i not in held]), return_counts=True)
+    grams, seen = [], []
+    for j in range(6, -1, -1):
+        grams.insert(0, (c, n))
+        ctx, inv = np.unique(c >> 8, return_inverse=True)
+        seen.insert(0, (ctx, np.bincount(inv, n)))
+        c, inv = np.unique(c & ((1 << (8 * j)) - 1), return_inverse=True)
+        n = np.bincount(inv, n).astype(np.int64)
+    whole = ppm.Trie(grams, seen)
+    assert held and len(got) == len(rows)
+    for r in got:
+        assert math.isclose(r["score"], whole.log10(code[r["doc_id"]]).sum(), rel_tol=1e-9), r
+
+
 def test_language_scores_of_nothing(spark):
     assert ppm.score_language(docs_of(spark, [(1, "a")]).limit(0)).count() == 0
 
