@@ -8,9 +8,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tesserae.plans.workspace import Workspace
+
 _WORD = re.compile(r"[^\W\d_]+")
 _ORDERS = (4, 3, 2, 1)
 
@@ -55,24 +58,28 @@ def count_languages(docs: DataFrame) -> DataFrame:
     return counted.mapInArrow(split, "kind int, gram string, lang string, n long").groupBy("kind", "gram", "lang").agg(F.sum("n").alias("n"))
 
 
+def _floors(langs: list[str], totals: dict, sizes: dict) -> np.ndarray:
+    """Log frequency (add-half over the learned entries) of an entry never met, by kind and language."""
+    return np.array([[np.log(0.5 / (totals.get((k, x), 0) + 0.5 * sizes.get(k, 0) or 1)) for x in langs] for k in range(5)]).reshape(5, len(langs))
+
+
 class LanguageModel:
-    """Tables of log frequencies, a row for each known word or n-gram, a column for each language."""
+    """Tables of log frequencies, a row for each known word or n-gram, a column for each language.
+
+    Frequencies are add-half over all entries of a kind, so an entry that a language never had counts by what its
+    text was worth. ``share`` is not needed any more.
+    """
 
-    def __init__(self, rows: list, totals: dict, share: int):
+    def __init__(self, rows: list, totals: dict, share: int = 0):
         self.langs = sorted({lang for _, lang in totals})
         col = {x: i for i, x in enumerate(self.langs)}
-        floor = np.full((5, len(self.langs)), np.log(0.5 / share))
         self.known: list[dict[str, int]] = [{} for _ in range(5)]
-        self.table: list[np.ndarray] = []
-        for kind in range(5):
-            mine = [r for r in rows if r["kind"] == kind]
-            place = self.known[kind]
-            for r in mine:
-                place.setdefault(r["gram"], len(place))
-            t = np.tile(floor[kind], (len(place), 1))
-            for r in mine:
-                t[place[r["gram"]], col[r["lang"]]] = np.log(r["n"] / totals[kind, r["lang"]])
-            self.table.append(t)
+        for r in rows:
+            self.known[r["kind"]].setdefault(r["gram"], len(self.known[r["kind"]]))
+        floor = _floors(self.langs, totals, dict(enumerate(map(len, self.known))))
+        self.table = [np.tile(floor[k], (len(self.known[k]), 1)) for k in range(5)]
+        for r in rows:
+            self.table[r["kind"]][self.known[r["kind"]][r["gram"]], col[r["lang"]]] += np.log(2 * r["n"] + 1)
         self.rows: dict[str, int] = {}
         self.vectors = np.zeros((1 << 12, len(self.langs)))
 
@@ -107,33 +114,153 @@ class LanguageModel:
         return self.langs[best], float(1 / np.exp(total - total[best]).sum())
 
 
-def fit_languages(docs: DataFrame, share: int = 4096, most_languages: int = 1000) -> LanguageModel:
-    """Count all of ``docs(text, lang)``; keep what makes at least 1/``share`` of a language's words or n-grams.
+class Languages:
+    """A fitted model: all entries as a table (kind, gram, z of lang and n), and the frequent words beside it."""
+
+    def __init__(self, ws: Workspace, entries: DataFrame, langs: list[str], floor: np.ndarray, common: dict[str, int], gain: np.ndarray):
+        self.ws, self.entries, self.langs, self.floor, self.common, self.gain = ws, entries, langs, floor, common, gain
+
+
+def fit_languages(docs: DataFrame, share: int = 4096, most_languages: int = 1000) -> Languages:
+    """Count all of ``docs(text, lang)``; every word and n-gram met is kept, in a table.
 
-    A kind keeps at most ``share`` entries for a language, so the model has a size bound that no corpus exceeds.
-    More than ``most_languages`` labels raise an error. Rows with a null lang or text teach nothing.
+    Words that make 1/``share`` of a language are also gathered, as a shortcut that changes no result. More than
+    ``most_languages`` labels raise an error. Rows with a null lang or text teach nothing.
     """
-    counts = count_languages(docs).persist()
-    totals = {(r["kind"], r["lang"]): r["n"] for r in counts.groupBy("kind", "lang").agg(F.sum("n").alias("n")).limit(5 * most_languages + 1).collect()}
+    ws = Workspace(docs.sparkSession, "langid")
+    entries = ws.save(count_languages(docs).groupBy("kind", "gram").agg(F.collect_list(F.struct("lang", "n")).alias("z")), "entries")
+    each = entries.select("kind", F.explode("z").alias("z")).groupBy("kind", "z.lang").agg(F.sum("z.n").alias("n"))
+    totals = {(r["kind"], r["lang"]): r["n"] for r in each.limit(5 * most_languages + 1).collect()}
     if len(totals) > 5 * most_languages:
         raise ValueError(f"more than {most_languages} languages")
-    total = counts.groupBy("kind", "lang").agg(F.sum("n").alias("total"))
-    rows = counts.join(F.broadcast(total), ["kind", "lang"]).where(F.col("n") * share >= F.col("total")).select("kind", "gram", "lang", "n").collect()
-    counts.unpersist()
-    return LanguageModel(sorted(rows, key=lambda r: (r["kind"], r["gram"], r["lang"])), totals, share)
+    langs = sorted({lang for _, lang in totals})
+    col = {x: i for i, x in enumerate(langs)}
+    floor = _floors(langs, totals, {r["kind"]: r["count"] for r in entries.groupBy("kind").count().collect()})
+    total = each.where("kind = 0").select("lang", F.col("n").alias("total"))
+    often = entries.where("kind = 0").select("gram", F.explode("z").alias("z")).select("gram", "z.lang", "z.n").join(F.broadcast(total), "lang").where(F.col("n") * F.lit(share) >= F.col("total"))
+    rows = entries.where("kind = 0").join(often.select(F.col("gram").alias("word")).distinct(), F.col("gram") == F.col("word"), "left_semi").select("gram", "z").collect()
+    common = {r["gram"]: i for i, r in enumerate(rows)}
+    gain = np.zeros((len(rows), len(langs)))
+    for i, r in enumerate(rows):
+        for z in r["z"]:
+            gain[i, col[z["lang"]]] = np.log(2 * z["n"] + 1)
+    return Languages(ws, entries, langs, floor, common, gain)
 
 
-def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
+_CHUNK = {
+    "chunk": pa.int64(),
+    "docs": pa.list_(pa.int64()),
+    "n": pa.list_(pa.int64()),
+    "part": pa.list_(pa.float64()),
+    "vocab": pa.list_(pa.string()),
+    "cells": pa.list_(pa.int32()),
+    "word": pa.list_(pa.int32()),
+    "times": pa.list_(pa.int32()),
+}
+_CHUNKS = "chunk long, docs array<long>, n array<long>, part array<double>, vocab array<string>, cells array<int>, word array<int>, times array<int>"
+
+
+def _packer(shared, chunk_chars: int):
+    """Chunks: documents with the sums of their frequent words, the distinct other words, and a sparse matrix of these."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, seq = TaskContext.get().partitionId(), 0
+        common, gain, floor = shared.value
+        fresh = lambda: ([], [], [], dict(common), [], [], [])
+
+        def row(docs, n, part, place, cells, word, times) -> pa.RecordBatch:
+            flat = np.concatenate(part) if part else np.zeros(0)
+            vocab = list(place)[len(common) :]
+            got = ((task << 32) + seq, docs, n, flat, vocab, cells, np.concatenate(word), np.concatenate(times))
+            return pa.record_batch([pa.array([x], k) for x, k in zip(got, _CHUNK.values(), strict=True)], list(_CHUNK))
+
+        held, size = fresh(), 0
+        for b in batches:
+            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                docs, n, part, place, cells, word, times = held
+                ws = words(t)
+                at = np.array([place.setdefault(w, len(place)) for w in ws], np.int64)
+                often = at[at < len(common)]
+                rest, k = np.unique(at[at >= len(common)] - len(common), return_counts=True)
+                docs.append(i)
+                n.append(len(ws))
+                part.append(gain[often].sum(0) + len(often) * floor[0])
+                cells.append(len(rest))
+                word.append(rest.astype(np.int32))
+                times.append(k.astype(np.int32))
+                size += len(t or "")
+                if size >= chunk_chars:
+                    yield row(*held)
+                    held, size, seq = fresh(), 0, seq + 1
+        if held[0]:
+            yield row(*held)
+
+    return pack
+
+
+def _unseen(ws: Workspace, left: DataFrame, entries: DataFrame) -> list[DataFrame]:
+    """(word, kind, hits, z) of unseen words: the entries of the longest n-grams of which any is known, order by order."""
+    out = []
+    for k in _ORDERS:
+
+        def split(batches: Iterator[pa.RecordBatch], k: int = k) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                rows = [(w, g) for w in b.column(0).to_pylist() for g in _pieces(w, k)]
+                yield pa.record_batch([pa.array([r[i] for r in rows], pa.string()) for i in range(2)], ["word", "gram"])
+
+        pieces = left.mapInArrow(split, "word string, gram string")
+        met = pieces.join(entries.where(F.col("kind") == k).select("gram", "z"), "gram").groupBy("word").agg(F.count("*").alias("hits"), F.flatten(F.collect_list("z")).alias("z"))
+        met = ws.save(met.select("word", F.lit(k).alias("kind"), "hits", "z"), f"met{k}")
+        out.append(met)
+        if k > _ORDERS[-1]:
+            left = ws.save(left.join(met.select("word"), "word", "left_anti"), f"left{k}")
+    return out
+
+
+def _predict(langs: list[str], floor: np.ndarray):
+    """Predictions of a chunk: its frequent words' sums and those of the other words that were looked up."""
+    col = {x: i for i, x in enumerate(langs)}
+
+    def run(chunk: pa.Table, found: pa.Table) -> pa.Table:
+        docs, n, part, cells, word, times = (chunk.column(c)[0].values for c in ("docs", "n", "part", "cells", "word", "times"))
+        m = len(docs)
+        vec = np.zeros((chunk.column("size")[0].as_py(), len(langs)))
+        for at, kind, hits, z in zip(*(found.column(c).to_pylist() for c in ("at", "kind", "hits", "z")), strict=True):
+            vec[at] = floor[kind]
+            for e in z:
+                vec[at, col[e["lang"]]] += np.log(2 * e["n"] + 1) / hits
+        doc = np.repeat(np.arange(m), cells.to_numpy())
+        total, word, times = part.to_numpy().reshape(m, len(langs)).copy(), word.to_numpy(), times.to_numpy()
+        for j in range(len(langs)):
+            total[:, j] += np.bincount(doc, vec[word, j] * times, minlength=m)
+        best = total.argmax(1)
+        sure = 1 / np.exp(total - total[np.arange(m), best][:, None]).sum(1)
+        some = n.to_numpy() > 0
+        return pa.table({"doc_id": docs, "lang_pred": pa.array(np.where(some, np.array(langs)[best], "und").tolist(), pa.string()), "score": pa.array(np.where(some, sure, 0.0))})
+
+    return run
+
+
+def identify(docs: DataFrame, model: Languages, chunk_chars: int = 2 << 20) -> DataFrame:
     """(doc_id, lang_pred, score) for each row of ``docs(doc_id, text)``; score is the posterior of the prediction.
 
+    Each chunk of documents looks up its distinct words among all learned ones; an unseen word counts as the mean of its
+    longest n-grams of which any is known, and nothing where none is.
+
     Null text or no letter: ``und``, score 0; so is all without learned languages. Ties go to the language that sorts
     first. Repeated rows are predicted one by one, other columns ignored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            got = [shared.value.predict(t) for t in b.column(1).to_pylist()]
-            yield pa.record_batch([b.column(0), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], ["doc_id", "lang_pred", "score"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
+    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    if not model.langs:
+        return src.select("doc_id", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
+    ws, entries = Workspace(docs.sparkSession, "langid"), model.entries
+    shared = docs.sparkSession.sparkContext.broadcast((model.common, model.gain, model.floor))
+    chunks = ws.save(src.mapInArrow(_packer(shared, chunk_chars), _CHUNKS), "chunks")
+    asked = chunks.select("chunk", F.posexplode("vocab").alias("at", "word"))
+    learned = entries.where("kind = 0").select(F.col("gram").alias("word"), F.lit(0).alias("kind"), F.lit(1).cast("long").alias("hits"), "z")
+    unseen = ws.save(asked.select("word").distinct().join(learned.select("word"), "word", "left_anti"), "unseen")
+    for more in _unseen(ws, unseen, entries):
+        learned = learned.unionByName(more)
+    found = asked.join(learned, "word").select(F.col("chunk").alias("of"), "at", "kind", "hits", "z")
+    whole = chunks.withColumn("size", F.size("vocab")).drop("vocab")
+    return whole.groupBy("chunk").cogroup(found.groupBy("of")).applyInArrow(_predict(model.langs, model.floor), "doc_id long, lang_pred string, score double")

@@ -298,6 +298,22 @@ def test_backoff_goes_to_shorter_grams():
     assert m.predict("Haus")[0] == "de" and m.predict("zqz")[0] == "en" and m.predict("...") == ("und", 0.0)
 
 
+@pytest.mark.parametrize("share", [4096, 20])
+def test_languages_use_every_word(spark, share):
+    docs = table(spark, "documents").select("doc_id", F.substring("text", 1, 3000).alias("text"), "lang")
+    train, rest = docs.where("doc_id % 3 > 0"), docs.where("doc_id % 3 = 0").unionByName(docs.limit(3).select("doc_id", F.lit("zqxj Kwyjibo thé").alias("text"), "lang"))
+    rows = langid.count_languages(train).collect()
+    totals = {}
+    for r in rows:
+        totals[r["kind"], r["lang"]] = totals.get((r["kind"], r["lang"]), 0) + r["n"]
+    whole = langid.LanguageModel(rows, totals)
+    rare = next(r["gram"] for r in rows if r["kind"] == 0 and r["n"] == 1 and sum(x["gram"] == r["gram"] and x["kind"] == 0 for x in rows) == 1)
+    rest = rest.unionByName(rest.limit(1).select("doc_id", F.lit(rare).alias("text"), "lang")).persist()
+    got = sorted((r["doc_id"], r["lang_pred"], round(r["score"], 6)) for r in langid.identify(rest, langid.fit_languages(train, share), chunk_chars=5000).collect())
+    want = sorted((r["doc_id"], lang, round(p, 6)) for r in rest.collect() for lang, p in [whole.predict(r["text"])])
+    assert [x[:2] for x in got] == [x[:2] for x in want] and np.allclose([x[2] for x in got], [x[2] for x in want], atol=2e-6)
+
+
 # secrets
 
 
