@@ -23,6 +23,8 @@ _SPACE = frozenset("br td th img".split())
 _CLOSES_P = _BLOCK - frozenset("body html dd dt li tbody td tfoot th thead tr".split())
 _SCOPE = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "td": ("table",), "th": ("table",), "tr": ("table",)}
 _CLOSED_BY = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th"), "tr": ("tr", "td", "th")}
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_CONTENT = re.compile(r"(?:main|page|article|post|entry|story)?[_-]?(?:content|body|text)|article|post|entry|story|main")
 _NOISE = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|popup|modal|newsletter|subscribe|share|sharing|social|sidebar|side-bar|related|recommended|breadcrumbs?|pagination|pager|menu|navbar|navigation|nav|footer|masthead|site-header|page-header|comments?|comment-list|disqus|respond|replies|widget|skip-link|contentinfo|complementary|search)(?:$|[\s_-])",
     re.I,
@@ -30,10 +32,11 @@ _NOISE = re.compile(
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "kids", "chars", "tags", "link", "links", "density", "total", "noise")
+    __slots__ = ("tag", "parent", "kids", "chars", "tags", "link", "links", "density", "total", "noise", "content")
 
     def __init__(self, tag: str, parent: _Node | None, noise: bool):
         self.tag, self.parent, self.noise = tag, parent, noise
+        self.content = False
         self.kids: list[_Node | str] = []
 
 
@@ -81,6 +84,8 @@ def parse(page: str) -> _Node:
         if not noise and m[4] and tag not in ("article", "main", "p", "h1"):
             noise = any(_NOISE.search(v) for a in _ATTR.finditer(m[4]) if (v := a[1] or a[2] or a[3]))
         child = _Node(tag, node, noise)
+        names = [x for a in _ATTR.finditer(m[4]) for x in (a[1] or a[2] or a[3] or "").lower().split()] if not noise and m[4] else []
+        child.content = tag in _HOLDS and any(_CONTENT.fullmatch(x) for x in names)
         node.kids.append(child)
         if tag not in _VOID and not m[4].endswith("/"):
             node = child
@@ -118,21 +123,55 @@ def _measure(nodes: list[_Node]) -> None:
         n.total = sum(k.density for k in kids)
 
 
+def _whole(best: _Node) -> _Node:
+    """The article around a node: its outermost article element, else main, else container named for content."""
+    above = list(_above(best))
+    for kind in (lambda n: n.tag == "article", lambda n: n.tag == "main", lambda n: n.content):
+        if found := [n for n in above if kind(n)]:
+            return found[-1]
+    return best
+
+
+def _loose(kids: list[_Node | str]) -> list[_Node | str]:
+    """Children in order, each run of text and inline nodes gathered under one node."""
+    out, run = [], []
+    for k in [*kids, None]:
+        if isinstance(k, str) or k is not None and k.tag not in _BLOCK:
+            run.append(k)
+            continue
+        if run:
+            n = _Node("span", None, False)
+            n.kids = run
+            _measure([n])
+            out.append(n)
+            run = []
+        if k is not None:
+            out.append(k)
+    return out
+
+
 def main_nodes(root: _Node) -> list[_Node]:
-    """Subtrees of greatest density sum; the threshold is the least density on the path from the body to the best."""
+    """The whole article around the subtree of greatest density sum, the headings before it on the path from the body,
+    and other blocks and loose text there by density; the threshold is the least density on that path."""
     nodes = _order(root)
     _measure(nodes)
-    best = max((n for n in nodes if n.tag in _HOLDS), key=lambda n: n.total)
+    best = _whole(max((n for n in nodes if n.tag in _HOLDS), key=lambda n: n.total))
     path = set(map(id, _above(best)))
     floor = min(n.density for n in _above(best))
-    found, todo = [], [root]
+    found, todo, before = [], [root], True
     while todo:
         n = todo.pop()
         if n is best:
             found.append(n)
+            before = False
         elif id(n) in path:
-            todo += [k for k in reversed(n.kids) if isinstance(k, _Node) and not k.noise]
-        elif n.tag in _BLOCK and n.chars and n.density >= floor and n.link * 2 <= n.chars:
+            kids = [k for k in n.kids if isinstance(k, str) or not k.noise]
+            # an inline node on the path stays by itself, for its own children are walked
+            parts = _loose(kids) if all(isinstance(k, str) or id(k) not in path or k.tag in _BLOCK for k in kids) else [k for k in kids if isinstance(k, _Node)]
+            todo += reversed(parts)
+        elif n.tag in _HEADINGS and n.chars and before:
+            found.append(n)
+        elif (n.tag in _BLOCK or n.parent is None) and n.chars and n.density >= floor and n.link * 2 <= n.chars:
             found.append(n)
     return found
 

@@ -220,6 +220,23 @@ def test_main_text(page, text):
     assert htmltext.main_text(page) == text
 
 
+P3, P1 = "<p>" + "a" * 300 + "</p>", "<p>" + "b" * 100 + "</p>"
+
+
+@pytest.mark.parametrize(
+    "page, parts",
+    [
+        (f"<article><h1>A title of nineteen</h1><div>{P3 * 5}</div></article>", ["A title of nineteen", *["a" * 300] * 5]),
+        (f"<article><section>{P3 * 10}</section><section>{P1 * 10}</section></article>", ["a" * 300] * 10 + ["b" * 100] * 10),
+        (f"<body><h1>Title</h1><div>{P3 * 5}</div></body>", ["Title", *["a" * 300] * 5]),
+        (f"<article>Loose <b>text</b><div>{P3 * 5}</div><ul>{'<li>item</li>' * 40}</ul></article>", ["Loose text", *["a" * 300] * 5, *["item"] * 40]),
+        (f"<body>{'loose ' * 100}<b>end</b><div>{P3 * 5}</div></body>", ["loose " * 100 + "end", *["a" * 300] * 5]),
+    ],
+)
+def test_whole_article_beyond_the_densest_part(page, parts):
+    assert htmltext.main_text(page) == "\n".join(parts)
+
+
 def test_pages_equal_their_articles(spark):
     import html
 
