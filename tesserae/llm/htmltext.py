@@ -15,7 +15,7 @@ _ATTR = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)
 
 # fixed values: HTML's elements by their part in a page
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style template noscript iframe object svg math canvas textarea select button title head".split())
+_RAW = frozenset("script style template noscript iframe object svg annotation annotation-xml canvas textarea select button title head".split())
 _OUTER = frozenset("nav footer aside form dialog menu".split())
 _BLOCK = frozenset("address article blockquote body center dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 header hgroup hr html li main ol p pre section summary table tbody td tfoot th thead tr ul".split()) | _OUTER
 _HOLDS = frozenset("html article main section div center blockquote table td dl ul ol figure details".split())
@@ -24,19 +24,28 @@ _CLOSES_P = _BLOCK - frozenset("body html dd dt li tbody td tfoot th thead tr".s
 _SCOPE = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "td": ("table",), "th": ("table",), "tr": ("table",)}
 _CLOSED_BY = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th"), "tr": ("tr", "td", "th")}
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: A name marks noise if all its parts are noise words or words for a place or a box, and one is a noise word.
+_NOISE = re.compile(r"ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|popup|modal|newsletter|subscribe|share|sharing|social|sidebar|related|recommended|breadcrumbs?|pagination|pager|menu|navbar|navigation|nav|footer|masthead|comments?|disqus|respond|replies|widget|contentinfo|complementary|search")
+_PLACE = re.compile(r"\d+|area|articles?|bar|block|bottom|box|buttons?|container|form|icons?|inner|items?|left|links?|list|main|outer|page|panel|posts?|primary|right|secondary|section|signup|site|slot|thread|top|unit|wrap|wrapper")
+_NOISE_WHOLE = frozenset("side-bar site-header page-header skip-link".split())
+_TALK = re.compile(r"(?:comments?|disqus|respond|replies)(?:$|[_-])")
 _CONTENT = re.compile(r"(?:main|page|article|post|entry|story)?[_-]?(?:content|body|text)|article|post|entry|story|main")
-_NOISE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|popup|modal|newsletter|subscribe|share|sharing|social|sidebar|side-bar|related|recommended|breadcrumbs?|pagination|pager|menu|navbar|navigation|nav|footer|masthead|site-header|page-header|comments?|comment-list|disqus|respond|replies|widget|skip-link|contentinfo|complementary|search)(?:$|[\s_-])",
-    re.I,
-)
+
+
+def _is_noise(name: str) -> bool:
+    if name in _NOISE_WHOLE:
+        return True
+    parts = [p for p in re.split(r"[_-]+", name) if p]
+    hits = [bool(_NOISE.fullmatch(p)) for p in parts]
+    return any(hits) and all(h or _PLACE.fullmatch(p) for h, p in zip(hits, parts, strict=True))
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "kids", "chars", "tags", "link", "links", "density", "total", "noise", "content")
+    __slots__ = ("tag", "parent", "kids", "chars", "tags", "link", "links", "density", "total", "noise", "named", "content")
 
     def __init__(self, tag: str, parent: _Node | None, noise: bool):
         self.tag, self.parent, self.noise = tag, parent, noise
-        self.content = False
+        self.named = self.content = False
         self.kids: list[_Node | str] = []
 
 
@@ -81,17 +90,38 @@ def parse(page: str) -> _Node:
                 node = up.parent
         noise = tag in _OUTER or tag in _RAW
         noise = noise or tag == "header" and not any(a.tag in ("article", "main") for a in _above(node))
-        if not noise and m[4] and tag not in ("article", "main", "p", "h1"):
-            noise = any(_NOISE.search(v) for a in _ATTR.finditer(m[4]) if (v := a[1] or a[2] or a[3]))
-        child = _Node(tag, node, noise)
         names = [x for a in _ATTR.finditer(m[4]) for x in (a[1] or a[2] or a[3] or "").lower().split()] if not noise and m[4] else []
-        child.content = tag in _HOLDS and any(_CONTENT.fullmatch(x) for x in names)
+        noisy = [x for x in names if _is_noise(x)] if tag not in ("article", "main", "p") and tag not in _HEADINGS else []
+        child = _Node(tag, node, noise or bool(noisy))
+        # comments are noise however long they are; other names give way to the text (see below)
+        child.named = bool(noisy) and not any(_TALK.match(x) for x in noisy)
+        child.content = tag in _HOLDS and not noisy and any(_CONTENT.fullmatch(x) for x in names)
         node.kids.append(child)
         if tag not in _VOID and not m[4].endswith("/"):
             node = child
+    _keep_most(root)
     return root
 
 
+def _keep_most(root: _Node) -> None:
+    """A name alone does not make noise of a node that holds most of the page's unlinked characters, unless the page
+    has an article or main element with text outside it (an advertisement may be longer than a short article)."""
+    every, todo = [], [root]
+    while todo:
+        n = todo.pop()
+        every.append(n)
+        todo += [k for k in n.kids if isinstance(k, _Node) and (n is root or not n.noise or n.named)]
+    if not any(n.named for n in every):
+        return
+    for n in reversed(every):
+        hard = n.tag == "a" or n.noise and not n.named
+        n.chars = 0 if hard else sum(len(k.strip()) if isinstance(k, str) else k.chars for k in n.kids)
+    held = [set(map(id, _above(n))) for n in every if n.tag in ("article", "main") and n.chars]
+    for n in every:
+        if n.named and 2 * n.chars > root.chars and all(id(n) in up for up in held):
+            n.noise = False
+
+
 def _above(node: _Node | None) -> Iterator[_Node]:
     while node is not None:
         yield node

@@ -237,6 +237,16 @@ def test_whole_article_beyond_the_densest_part(page, parts):
     assert htmltext.main_text(page) == "\n".join(parts)
 
 
+@pytest.mark.parametrize("name", ["content with-sidebar", "post has-sidebar share-enabled", "entry comments-open", "widget"])
+def test_layout_names_do_not_drop_the_article(name):
+    assert htmltext.main_text(f"<body><div class='{name}'><h1>Title</h1>{P3}{P1}</div><div class=sidebar><p>aside</p></div></body>") == "\n".join(["Title", "a" * 300, "b" * 100])
+
+
+def test_noise_names_of_article_parts_and_formulas():
+    page = f"<article><h2 id='related-work'>Related</h2>{P3}<section id='search-algorithms'>{P1}</section><div class='notice-board-history'>{P1}</div><p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math></p><div class='related-posts'><p>other</p></div><div id=comments>{P3 * 9}</div></article>"
+    assert htmltext.main_text(page) == "\n".join(["Related", "a" * 300, "b" * 100, "b" * 100, "so x=1"])
+
+
 def test_pages_equal_their_articles(spark):
     import html
 
