@@ -2,399 +2,370 @@
 
 from __future__ import annotations
 
+import re
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tesserae.llm.shingles import word_hashes, words
 from tesserae.plans.workspace import Workspace
 
+_SPACE = re.compile(rb"[ \t-\r]")
 _END = 10  # the end symbol; no word holds it
+_TAIL = 3  # nodes are dealt by so many nearest bytes of their context; shorter contexts are broadcast
 
 
-def stream(ws: list[bytes], order: int) -> np.ndarray:
-    """The token sequence as bytes: ``order`` end symbols of context, words parted by one space, and the end."""
-    return np.frombuffer(bytes([_END]) * order + b" ".join(ws) + bytes([_END]), np.uint8)
+def keys(s: np.ndarray, order: int) -> np.ndarray:
+    """For each symbol after the leading context: its ``order`` predecessors, nearest first, and itself, in one integer."""
+    n = len(s) - order
+    out = s[order:].astype(np.int64)
+    for i in range(1, order + 1):
+        out |= s[order - i : order - i + n].astype(np.int64) << (8 * (order + 1 - i))
+    return out
 
 
-def codes(s: np.ndarray, order: int) -> np.ndarray:
-    """For each symbol after the leading context, its ``order`` predecessors and itself, packed into one integer."""
-    n = len(s) - order
-    out = np.zeros(n, np.int64)
-    for i in range(order + 1):
-        out = (out << 8) | s[i : i + n]
+def _node(key: np.ndarray, order: int, j: int) -> np.ndarray:
+    """The node of order ``j`` that a key of ``order`` meets: its ``j`` nearest context bytes and its symbol."""
+    return (key >> (8 * (order + 1 - j)) << 8) | (key & 255)
+
+
+def _distinct(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    return x[np.append(True, x[1:] != x[:-1])] if len(x) else x
+
+
+def _summed(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys and their summed counts."""
+    if not len(key):
+        return key, n
+    by = np.argsort(key)
+    key, n = key[by], n[by]
+    first = np.nonzero(np.append(True, key[1:] != key[:-1]))[0]
+    return key[first], np.add.reduceat(n, first)
+
+
+def levels(code: np.ndarray, n: np.ndarray, top: int, low: int = 0) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Nodes with counts of the orders ``low`` to ``top``, summed up from those of order ``top``."""
+    out = [_summed(code, n)]
+    for _ in range(top - low):
+        code, n = out[0]
+        out.insert(0, _summed((code >> 16 << 8) | (code & 255), n))
     return out
 
 
 class Trie:
-    """A byte-context trie as sorted arrays: for each order the kept (context, symbol) codes and their counts.
+    """A byte-context trie as sorted arrays: for each order from 0 the (context, symbol) nodes and their counts.
 
-    Probability of a symbol: from the longest context kept, the symbol's count over the context's total, or escape to
-    the context without its first byte, leaving out the symbols already refused (they can no longer occur); last, all
-    256 symbols evenly. Escape estimate (method C, with the mass that pruning took): the number of distinct symbols of
-    the context plus the occurrences not kept.
+    Probability of a symbol: from the longest context met, the symbol's count over the context's total, or escape to
+    the context without its farthest byte, leaving out the symbols already refused (they can no longer occur); last,
+    all 256 symbols evenly. Escape estimate (method C): the number of distinct symbols of the context.
     """
 
-    def __init__(self, grams: list[tuple[np.ndarray, np.ndarray]], seen: list[tuple[np.ndarray, np.ndarray]]):
-        """For each order from 0: the kept codes with counts, and contexts with their occurrences in training."""
-        self.order = len(grams) - 1
-        self.code, self.count, self.ctx, self.total, self.escape, self.distinct, self.rest = [], [], [], [], [], [], []
-        for j, ((code, n), (at, times)) in enumerate(zip(grams, seen, strict=True)):
-            by, by2 = np.argsort(code), np.argsort(at)
-            code, n, at, times = code[by], n[by].astype(np.float64), at[by2], times[by2]
-            ctx, inv = np.unique(code >> 8, return_inverse=True)
-            total, distinct = np.bincount(inv, n, minlength=len(ctx)), np.bincount(inv, minlength=len(ctx))
-            below = np.zeros(len(ctx))
+    def __init__(self, nodes: list[tuple[np.ndarray, np.ndarray]]):
+        self.order = len(nodes) - 1
+        self.levels = []
+        for j, (code, n) in enumerate(nodes):
+            ctx = code >> 8
+            first = np.nonzero(np.append(True, ctx[1:] != ctx[:-1]))[0] if len(ctx) else np.zeros(0, np.int64)
+            total = np.add.reduceat(n, first).astype(float) if len(ctx) else np.zeros(0)
+            rest = np.zeros(len(first))  # what the symbols met here weigh one order below
             if j and len(ctx):
-                down = np.searchsorted(self.code[j - 1], code & ((1 << (8 * j)) - 1))
-                below = np.bincount(inv, self.count[j - 1][down], minlength=len(ctx))
-            lost = times[np.searchsorted(at, ctx)] - total if len(ctx) else total
-            for to, x in zip((self.code, self.count, self.ctx, self.total, self.escape, self.distinct, self.rest), (code, n, ctx, total, distinct + lost, distinct, below), strict=True):
-                to.append(x)
+                below, times = nodes[j - 1]
+                rest = np.add.reduceat(times[np.searchsorted(below, (code >> 16 << 8) | (code & 255))], first).astype(float)
+            self.levels.append((code, n, ctx[first], total, np.diff(np.append(first, len(ctx))), rest))
 
     @staticmethod
-    def _find(keys: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if not len(keys):
-            return np.zeros(len(x), np.int64), np.zeros(len(x), bool)
-        at = np.minimum(np.searchsorted(keys, x), len(keys) - 1)
-        return at, keys[at] == x
-
-    def log10(self, code: np.ndarray) -> np.ndarray:
-        """log10 probability of each code's symbol after its context."""
-        out = np.zeros(len(code))
-        todo = np.arange(len(code))
-        gone_n, gone_d = np.zeros(len(code)), np.zeros(len(code))  # excluded weight in this order, excluded symbols
+    def _find(known: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(known, x), len(known) - 1)
+        return at, known[at] == x
+
+    def log10(self, key: np.ndarray) -> np.ndarray:
+        """log10 probability of each key's symbol after its context."""
+        out = np.zeros(len(key))
+        todo = np.arange(len(key))
+        gone_n, gone_d = np.zeros(len(key)), np.zeros(len(key))  # weight and number of the symbols left out
         for j in range(self.order, -1, -1):
-            c = code[todo] & ((1 << (8 * (j + 1))) - 1)
-            cx, known = self._find(self.ctx[j], c >> 8)
-            at, hit = self._find(self.code[j], c)
-            if len(self.ctx[j]):
-                left = np.where(known, self.total[j][cx] - gone_n[todo], 0)
-                # of the escape weight, the distinct symbols lose those excluded
-                esc = np.where(known, np.maximum(self.escape[j][cx] - gone_d[todo], 0), 0)
-                den = left + esc
-                hit &= known
-                out[todo[hit]] += np.log10(self.count[j][at[hit]] / den[hit])
-                miss = known & ~hit & (left > 0)
-                out[todo[miss]] += np.log10(np.maximum(esc[miss], 1e-9) / den[miss])
-                nxt = known & ~hit
-                gone_n[todo[nxt]], gone_d[todo[nxt]] = self.rest[j][cx[nxt]], self.distinct[j][cx[nxt]]
-                todo = todo[~hit]
-        out[todo] -= np.log10(np.maximum(256 - gone_d[todo], 1))
+            code, n, ctx, total, distinct, rest = self.levels[j]
+            if not len(code) or not len(todo):
+                continue
+            c = _node(key[todo], self.order, j)
+            at, known = self._find(ctx, c >> 8)
+            spot, hit = self._find(code, c)
+            left, esc = total[at] - gone_n, np.maximum(distinct[at] - gone_d, 0)
+            out[todo[hit]] += np.log10(n[spot[hit]] / (left + esc)[hit])
+            miss = known & ~hit & (left > 0)
+            out[todo[miss]] += np.log10(esc[miss] / (left + esc)[miss])
+            gone_n, gone_d = np.where(known, rest[at], 0)[~hit], np.where(known, distinct[at], 0)[~hit]
+            todo = todo[~hit]
+        out[todo] -= np.log10(np.maximum(256 - gone_d, 1))
         return out
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], size: int, text: int = 1) -> Iterator[tuple[list, ...]]:
-    """A task's columns, regrouped until the texts (column ``text``) of a chunk make ``size`` bytes."""
-    rows, n = [], 0
-    for b in batches:
-        for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            rows.append(row)
-            n += len(row[text] or b"")
-            if n >= size:
-                yield tuple(map(list, zip(*rows, strict=True)))
-                rows, n = [], 0
-    if rows:
-        yield tuple(map(list, zip(*rows, strict=True)))
+def pieces(text: bytes, size: int = 1 << 20) -> Iterator[bytes]:
+    """The text cut behind white space about every ``size`` bytes, so that its words never lie in memory all at once."""
+    lo = 0
+    while lo < len(text):
+        cut = _SPACE.search(text, lo + size - 1)
+        hi = cut.end() if cut else len(text)
+        yield text[lo:hi]
+        lo = hi
 
 
-def score_language(docs: DataFrame, order: int = 6, folds: int = 7, held: int = 2, share: int = 1 << 20, chunk_bytes: int = 4 << 20) -> DataFrame:
-    """Unigram and PPM log10 scores of ``docs(doc_id, text)``, learned from rows outside the held fold.
+def normal(text: bytes | None, order: int) -> tuple[bytes, int]:
+    """The token sequence as bytes, and its words: ``order`` ends of context, lower-cased words parted by a space, an end."""
+    found, n = [], 0
+    for p in pieces(text or b""):
+        ws = p.lower().split()
+        n += len(ws)
+        if ws:
+            found.append(b" ".join(ws))
+    return bytes([_END]) * order + b" ".join(found) + bytes([_END]), n
 
-    Tokens are the words of the lower-cased whole text (runs of other than space and \\x09-\\x0D) and one end. Returns
-    a row for each row: doc_id, held_out (crc32 of doc_id mod ``folds`` is ``held``; false for null), n_tokens,
-    n_known (tokens seen in training), train_tokens, base_score (add-one unigram), score (PPM over the bytes of the
-    token sequence; pretrained, the same counts for all documents).
 
-    Tasks work on chunks of their texts. Both models' counts leave a chunk summed, so no frequent word or context is
-    shuffled more than once a chunk; a chunk also keeps sparse matrices of its documents' words and byte codes. Totals
-    of words and log probabilities of codes are joined back to the chunks' distinct ones. All counts are used: those of
-    words that make 4/``share`` of the tokens and codes that make 1/``share`` of the bytes are broadcast, which saves
-    shuffling and changes no result.
+def squeeze(x: bytes) -> bytes:
+    return len(x).to_bytes(8, "little") + pa.compress(x, codec="zstd", asbytes=True)
+
+
+def loosen(x: bytes) -> bytes:
+    return pa.decompress(x[8:], decompressed_size=int.from_bytes(x[:8], "little"), codec="zstd", asbytes=True)
+
+
+def _planes(x: np.ndarray, width: int) -> bytes:
+    """Integers by byte, highest bytes of all first, compressed: bytes that hardly change cost next to nothing."""
+    return squeeze(np.ascontiguousarray(x.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - width :].T).tobytes())
+
+
+def _whole(x: bytes, n: int, width: int) -> np.ndarray:
+    b = np.zeros((n, 8), np.uint8)
+    b[:, 8 - width :] = np.frombuffer(loosen(x), np.uint8).reshape(width, n).T
+    return b.view(">u8").ravel().astype(np.int64)
+
+
+def _symbols(text: bytes, lens: np.ndarray, order: int, depth: int, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(document numbers, keys of ``depth`` context bytes) of a chunk's symbols, ``size`` at a time."""
+    buf = np.frombuffer(text, np.uint8)
+    end = np.cumsum(lens)
+    start = end - lens
+    for lo in range(0, len(buf), size):
+        hi = min(lo + size, len(buf))
+        a, b = np.searchsorted(end, lo, "right"), np.searchsorted(start, hi, "left")
+        doc = np.repeat(np.arange(a, b, dtype=np.int32), np.minimum(end[a:b], hi) - np.maximum(start[a:b], lo))
+        at = max(lo, depth)
+        doc = doc[at - lo :]
+        real = np.arange(at, hi) - start[doc] >= order
+        yield doc[real], keys(buf[at - depth : hi], depth)[real]
+
+
+def _vocabulary(text: bytes) -> tuple[list[bytes], np.ndarray]:
+    """Distinct words of a chunk in order of first use, and the place of each word of the text among them."""
+    place: defaultdict[bytes, int] = defaultdict()
+    place.default_factory = place.__len__
+    at = [np.fromiter(map(place.__getitem__, p.split()), np.int64) for p in pieces(text)]
+    return list(place), np.concatenate(at)
 
-    Null texts count as empty (one token, the end). Repeated rows are scored one by one; an empty table or an empty
-    training fold is fine (all words unknown, all bytes even). Other columns are ignored.
-    """
-    spark = docs.sparkSession
-    ws = Workspace(spark, "ppm")
-    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == held, F.lit(False))
-    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("t"), (~held_out).alias("train")).withColumn("id", F.xxhash64("doc_id", "t"))
-    # byte contexts: a code met in training scores at the longest context; the others (count 0) back off
-    counted = src.select("id", "t", "train").mapInArrow(_gram_counter(order, chunk_bytes), "gram long, n long")
-    top = ws.save(counted.groupBy("gram").agg(F.sum("n").alias("n")), "codes")
-    ctx = Window.partitionBy(F.shiftright("gram", 8))
-    lp = F.log10(F.col("n") / (F.sum("n").over(ctx) + F.count("*").over(ctx)))
-    known = ws.save(top.where("n > 0").withColumn("lp", lp), "known")
-    novel = ws.save(top.where("n = 0").select("gram"), "novel")
-    ws.drop("codes")
-    _release(ws)
-    backed = ws.save(_novel_scores(ws, known, novel, order), "backed")
-    ws.drop("novel", *(f"level{j}" for j in range(order)))
-    _release(ws)
-    scores = known.select("gram", "lp").unionByName(backed)
-    bytes_ = known.agg(F.sum("n")).first()[0] or 0
-    often = known.where(F.col("n") * F.lit(share) >= F.lit(bytes_)).select("gram", "lp").toArrow()
-    order_ = np.argsort(often.column(0).to_numpy())
-    common = spark.sparkContext.broadcast((often.column(0).to_numpy()[order_], often.column(1).to_numpy()[order_]))
-    coded = ws.save(src.select("doc_id", "id", "train", "t").mapInArrow(_coder(common, order, chunk_bytes), _CODED), "coded")
-    asked = coded.select("chunk", F.posexplode("vocab").alias("at", "gram")).join(scores, "gram")
-    packs = asked.select("chunk", "at", "lp").mapInArrow(_by_chunk, "chunk long, at array<int>, lp array<double>")
-    scored = coded.drop("vocab").groupBy("chunk").cogroup(packs.groupBy("chunk")).applyInArrow(_summed, "doc_id long, id long, train boolean, score double")
-    scored = ws.save(scored, "scored")
-    ws.drop("known", "backed", "coded")
-    _release(ws)
-
-    # unigrams: frequent words' totals (at most ``share / 4`` words) are broadcast, the others' go back to their chunks
-    chunks = ws.save(src.select("id", "t", "train").mapInArrow(_packer(2 * chunk_bytes), _PACKED), "chunks")
-    words_ = chunks.select(F.explode(F.arrays_zip("vocab", "n")).alias("z")).groupBy(F.col("z.vocab").alias("word")).agg(F.sum("z.n").alias("c"))
-    words_ = ws.save(words_, "words")
-    n, v = words_.where("c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    often = words_.where(F.col("c") * F.lit(share // 4) >= F.lit(max(n, 1))).toArrow()
-    order_ = np.argsort(often.column(0).to_numpy())
-    frequent = spark.sparkContext.broadcast((often.column(0).to_numpy()[order_], often.column(1).to_numpy()[order_]))
-    rare = chunks.select("chunk", "vocab").mapInArrow(_rare(frequent), "chunk long, at int, word long")
-    own = rare.join(words_, "word").groupBy("chunk").agg(F.collect_list(F.struct("at", "c")).alias("z"))
-    own = own.select("chunk", F.col("z.at").alias("at"), F.col("z.c").alias("c"))
-    base = chunks.select("chunk", "ids", "lens", "vocab", "cells", "word", "times").join(own, "chunk", "left").drop("chunk").mapInArrow(_base(frequent, n, v), "id long, n_tokens long, n_known long, base_score double")
-    base = ws.save(base, "base").dropDuplicates(["id"])
-    out = scored.join(base, "id")
-    return out.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
-
-
-def _release(ws: Workspace) -> None:
-    """Let Spark's cleaner delete the shuffle files of steps whose results are saved: it acts on the driver's collection."""
-    ws.spark._jvm.System.gc()
-
-
-def _novel_scores(ws: Workspace, known: DataFrame, novel: DataFrame, order: int, tail: int = 3, block: int = 20000) -> DataFrame:
-    """(gram, lp) of codes that training never met: by a trie of all nodes of their contexts, a block of codes at a time.
-
-    Codes are dealt by the last ``tail`` bytes of their context, so nodes of longer contexts go to one block each; the
-    nodes of at most one byte of context (65,792 at most, whatever the corpus) are broadcast.
-    """
-    levels = {order: known.select("gram", "n")}
-    for j in range(order - 1, -1, -1):
-        levels[j] = ws.save(levels[j + 1].groupBy(F.col("gram").bitwiseAND((1 << (8 * (j + 1))) - 1).alias("gram")).agg(F.sum("n").alias("n")), f"level{j}")
-    low = known.sparkSession.sparkContext.broadcast([tuple(c.to_numpy() for c in levels[j].toArrow().columns) for j in range(min(2, order + 1))])
-    context = F.shiftright("gram", 8)
-    dealt = novel.withColumn("block", F.pmod(F.xxhash64(context.bitwiseAND((1 << (8 * tail)) - 1)), F.lit(256 + novel.count() // block)))
-    deep = range(2, order + 1)
-    need = F.array(*(F.struct(F.lit(j).alias("j"), context.bitwiseAND((1 << (8 * j)) - 1).alias("ctx")) for j in deep))
-    asked = dealt.select(F.col("block").alias("part"), F.explode(need).alias("z")).select("part", "z.j", "z.ctx").distinct()
-    nodes = reduce(DataFrame.unionByName, (levels[j].select(F.lit(j).alias("j"), context.alias("ctx"), "gram", "n") for j in deep))
-    return dealt.groupBy("block").cogroup(nodes.join(asked, ["j", "ctx"]).select("part", "j", "gram", "n").groupBy("part")).applyInArrow(_backoff(low, order), "gram long, lp double")
-
-
-def _backoff(low, order: int):
-    """Scores a block's codes by a trie of its nodes, which are all those of the contexts that the codes can meet."""
-
-    def run(codes_: pa.Table, nodes: pa.Table) -> pa.Table:
-        if not codes_.num_rows:
-            return pa.table({"gram": pa.array([], pa.int64()), "lp": pa.array([], pa.float64())})
-        j, gram, n = (nodes.column(c).to_numpy() for c in ("j", "gram", "n"))
-        grams = [*low.value, *((gram[j == i], n[j == i]) for i in range(len(low.value), order + 1))]
-        seen = []
-        for code, times in grams:
-            ctx, inv = np.unique(code >> 8, return_inverse=True)
-            seen.append((ctx, np.bincount(inv, times, minlength=len(ctx))))
-        code = codes_.column("gram").to_numpy()
-        return pa.table({"gram": pa.array(code), "lp": pa.array(Trie(grams, seen).log10(code))})
-
-    return run
-
-
-_CODES = {
-    "chunk": pa.int64(),
-    "docs": pa.list_(pa.int64()),
-    "ids": pa.list_(pa.int64()),
-    "train": pa.list_(pa.bool_()),
-    "part": pa.list_(pa.float64()),
-    "vocab": pa.list_(pa.int64()),
-    "size": pa.int32(),
-    "cells": pa.list_(pa.int32()),
-    "code": pa.binary(),
-    "times": pa.binary(),
-}
-_CODED = "chunk long, docs array<long>, ids array<long>, train array<boolean>, part array<double>, vocab array<long>, size int, cells array<int>, code binary, times binary"
-_FIELDS = {
-    "chunk": pa.int64(),
-    "ids": pa.list_(pa.int64()),
-    "lens": pa.list_(pa.int64()),
-    "vocab": pa.list_(pa.int64()),
-    "n": pa.list_(pa.int64()),
-    "cells": pa.list_(pa.int32()),
-    "word": pa.binary(),
-    "times": pa.binary(),
-}
-_PACKED = "chunk long, ids array<long>, lens array<long>, vocab array<long>, n array<long>, cells array<int>, word binary, times binary"
-
-
-def _squeezed(x: np.ndarray) -> bytes:
-    return pa.compress(x.astype(np.int32).tobytes(), codec="zstd", asbytes=True)
-
-
-def _unsqueezed(x: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(pa.decompress(x, decompressed_size=4 * n, codec="zstd", asbytes=True), np.int32)
-
-
-def _packer(chunk_bytes: int):
-    """Chunks: distinct words with training counts, and a sparse document-word matrix (compressed, by document)."""
+
+def _dealt(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(bucket, places of its rows in their order)."""
+    by = np.argsort(bucket, kind="stable")
+    cut = np.nonzero(np.append(True, bucket[by][1:] != bucket[by][:-1]))[0] if len(by) else by
+    for rows in np.split(by, cut[1:]):
+        if len(rows):
+            yield int(bucket[rows[0]]), rows
+
+
+def _code_bucket(key: np.ndarray, order: int, parts: int) -> np.ndarray:
+    tail = key >> (8 * (order + 1 - min(_TAIL, order)))
+    return (tail.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % parts
+
+
+def _word_bucket(vocab: list[bytes], parts: int) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh32_intdigest, vocab), np.int64, len(vocab)) % parts
+
+
+_CHUNK = "chunk long, docs array<long>, train array<boolean>, lens array<long>, words array<long>, size long, text binary, low array<long>, low_n array<long>"
+_ASKED = "kind int, bucket int, chunk long, m int, item binary, n binary"
+_TOLD = "kind int, bucket int, of long, m int, value binary"
+
+
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<boolean>": pa.list_(pa.bool_())}
+    names, types = zip(*(f.split(" ") for f in schema.split(", ")), strict=True)
+    cols = zip(*rows, strict=True) if rows else [[]] * len(names)
+    return pa.record_batch([pa.array(c, kinds[t]) for c, t in zip(cols, types, strict=True)], list(names))
+
+
+def _packer(order: int, chunk_bytes: int):
+    """Chunks of documents: their token sequences, compressed, and the counts of the short contexts in training texts."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = TaskContext.get().partitionId()
-        for seq, (ids, texts, train) in enumerate(_chunks(batches, chunk_bytes)):
-            hashed = [np.append(word_hashes(words(t)), np.uint64(0)) for t in texts]  # 0 is the end
-            lens = np.array(list(map(len, hashed)))
-            h = np.concatenate(hashed).view(np.int64)
-            doc = np.repeat(np.arange(len(ids)), lens)
-            vocab, inv = np.unique(h, return_inverse=True)
-            n = np.bincount(inv[np.repeat(np.array(train, bool), lens)], minlength=len(vocab))
-            cell, times = np.unique(doc * len(vocab) + inv, return_counts=True)
-            row = ((task << 32) + seq, ids, lens, vocab, n, np.bincount(cell // len(vocab), minlength=len(ids)).astype(np.int32), _squeezed(cell % len(vocab)), _squeezed(times))
-            yield pa.record_batch([pa.array([x], k) for x, k in zip(row, _FIELDS.values(), strict=True)], list(_FIELDS))
+        task, seq = TaskContext.get().partitionId(), 0
+
+        def row(docs: list, train: list, texts: list, words: list) -> pa.RecordBatch:
+            text, lens = b"".join(texts), np.array(list(map(len, texts)))
+            found = []
+            for doc, k in _symbols(text, lens, order, min(_TAIL, order) - 1, chunk_bytes // 4):
+                found.append(np.unique(k[np.array(train, bool)[doc]], return_counts=True))
+            low = _summed(*map(np.concatenate, zip(*found, strict=True)))
+            return _batch([((task << 32) + seq, docs, train, lens, words, len(text), squeeze(text), *low)], _CHUNK)
+
+        held, size = ([], [], [], []), 0
+        for b in batches:
+            for doc, t, k in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
+                text, n = normal(t.as_py(), order)
+                for to, x in zip(held, (doc, k, text, n), strict=True):
+                    to.append(x)
+                size += len(text)
+                if size >= chunk_bytes:
+                    yield row(*held)
+                    held, size, seq = ([], [], [], []), 0, seq + 1
+        if held[0]:
+            yield row(*held)
 
     return pack
 
 
-def _coded(texts: Iterable[bytes | None], order: int, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(text numbers, codes) of the texts' symbols, at most ``size`` at a time; a longer text is taken in parts."""
-    at, parts, n = [], [], 0
-    for i, t in enumerate(texts):
-        s = stream(words(t), order)
-        for lo in range(0, len(s) - order, size):
-            c = codes(s[lo : lo + size + order], order)
-            if parts and n + len(c) > size:
-                yield np.repeat(at, list(map(len, parts))), np.concatenate(parts)
-                at, parts, n = [], [], 0
-            at.append(i)
-            parts.append(c)
-            n += len(c)
-    if parts:
-        yield np.repeat(at, list(map(len, parts))), np.concatenate(parts)
-
-
-def _gram_counter(order: int, chunk_bytes: int):
-    """Byte codes of a chunk with their counts in training texts (0 for those of other texts alone)."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        train: list[bool] = []
-
-        def texts() -> Iterator[bytes | None]:
-            for b in batches:
-                for t, k in zip(b.column(1), b.column(2).to_pylist(), strict=True):
-                    train.append(k)
-                    yield t.as_py()
-
-        for at, code in _coded(texts(), order, chunk_bytes):
-            mine = np.array(train)[at]
-            gram, n = np.unique(code[mine], return_counts=True)
-            other = np.setdiff1d(code[~mine], gram)
-            gram, n = np.concatenate([gram, other]), np.concatenate([n, np.zeros(len(other), np.int64)])
-            for i in range(0, len(gram), 1 << 16):
-                yield pa.record_batch([pa.array(gram[i : i + (1 << 16)]), pa.array(n[i : i + (1 << 16)])], ["gram", "n"])
-
-    return count
-
-
-def _coder(common, order: int, chunk_bytes: int):
-    """Chunks: documents with the summed scores of broadcast codes, the distinct other codes, and a sparse matrix of these."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = TaskContext.get().partitionId()
-        for seq, (docs, ids, train, texts) in enumerate(_chunks(batches, chunk_bytes, 3)):
-            part, where, rest = np.zeros(len(ids)), [], []
-            for at, c in _coded(texts, order, chunk_bytes // 4):
-                code, inv = np.unique(c, return_inverse=True)
-                lp, hit = _lookup(*common.value, code)
-                part += np.bincount(at, lp[inv], minlength=len(ids))
-                miss = ~hit[inv]
-                where.append(at[miss])
-                rest.append(c[miss])
-            vocab, inv = np.unique(np.concatenate(rest), return_inverse=True)
-            cell, times = np.unique(np.concatenate(where) * len(vocab) + inv, return_counts=True)
-            n = max(len(vocab), 1)
-            row = ((task << 32) + seq, docs, ids, train, part, vocab, len(vocab), np.bincount(cell // n, minlength=len(ids)).astype(np.int32), _squeezed(cell % n), _squeezed(times))
-            yield pa.record_batch([pa.array([x], k) for x, k in zip(row, _CODES.values(), strict=True)], list(_CODES))
-
-    return run
-
-
-def _by_chunk(batches: Iterator[pa.RecordBatch], size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """Rows (chunk, at, lp) of a task as few rows of arrays, one for each chunk and ``size`` rows."""
-
-    def packed(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
-        chunk, at, lp = (c.to_numpy() for c in pa.Table.from_batches(rows).columns)
-        by = np.argsort(chunk, kind="stable")
-        key, first = np.unique(chunk[by], return_index=True)
-        cut = pa.array(np.append(first, len(by)).astype(np.int32))
-        return pa.record_batch([pa.array(key), pa.ListArray.from_arrays(cut, pa.array(at[by])), pa.ListArray.from_arrays(cut, pa.array(lp[by]))], ["chunk", "at", "lp"])
-
-    held, n = [], 0
-    for b in batches:
-        held.append(b)
-        n += b.num_rows
-        if n >= size:
-            yield packed(held)
-            held, n = [], 0
-    if n:
-        yield packed(held)
-
-
-def _summed(coded: pa.Table, packs: pa.Table) -> pa.Table:
-    """Each document of a chunk with its score: broadcast codes' sum and the looked-up codes of its matrix row."""
-    docs, ids, train, part, cells = (coded.column(c)[0].values for c in ("docs", "ids", "train", "part", "cells"))
-    cells, lp = cells.to_numpy(), np.full(coded.column("size")[0].as_py(), np.nan)
-    for at, x in zip(packs.column("at"), packs.column("lp"), strict=True):
-        lp[at.values.to_numpy()] = x.values.to_numpy()
-    code, times = (_unsqueezed(coded.column(c)[0].as_py(), int(cells.sum())) for c in ("code", "times"))
-    more = np.bincount(np.repeat(np.arange(len(ids)), cells), lp[code] * times, minlength=len(ids))
-    return pa.table({"doc_id": docs, "id": ids, "train": train, "score": pa.array(part.to_numpy() + more)})
-
-
-def _lookup(keys: np.ndarray, values: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Values of x among sorted keys (0 if absent), and whether they are there."""
-    if not len(keys):
-        return np.zeros(len(x), np.int64), np.zeros(len(x), bool)
-    at = np.minimum(np.searchsorted(keys, x), len(keys) - 1)
-    hit = keys[at] == x
-    return np.where(hit, values[at], 0), hit
-
-
-def _rare(frequent):
-    """(chunk, place in its vocabulary, word) of the words that are not broadcast."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _asker(order: int, parts: int, size: int):
+    """A chunk's distinct byte codes (kind 0) and words (kind 1) with their counts in training texts, by bucket."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for r in range(b.num_rows):
-                vocab = b.column(1)[r].values.to_numpy()
-                at = np.nonzero(~_lookup(*frequent.value, vocab)[1])[0]
-                for i in range(0, len(at), 1 << 16):
-                    part = at[i : i + (1 << 16)]
-                    yield pa.record_batch([pa.array(np.full(len(part), b.column(0)[r].as_py())), pa.array(part.astype(np.int32)), pa.array(vocab[part])], ["chunk", "at", "word"])
+            for c in b.to_pylist():
+                text, lens, train = loosen(c["text"]), np.array(c["lens"]), np.array(c["train"], bool)
+                seen = []
+                for doc, k in _symbols(text, lens, order, order, size):
+                    own = train[doc]
+                    learned, other = np.sort(k[own]), _distinct(k[~own])
+                    first = np.nonzero(np.append(True, learned[1:] != learned[:-1]))[0] if len(learned) else np.zeros(0, np.int64)
+                    seen += [(learned[first], np.diff(np.append(first, len(learned)))), (other, np.zeros(len(other), np.int64))]
+                code, n = _summed(*map(np.concatenate, zip(*seen, strict=True)))
+                out = [(0, i, c["chunk"], len(r), _planes(code[r], order + 1), _planes(n[r], 4)) for i, r in _dealt(_code_bucket(code, order, parts))]
+                vocab, at = _vocabulary(text)
+                n = np.bincount(at[np.repeat(train, c["words"])], minlength=len(vocab))
+                for i, r in _dealt(_word_bucket(vocab, parts)):
+                    out.append((1, i, c["chunk"], len(r), squeeze(b" ".join([vocab[x] for x in r])), _planes(n[r], 4)))
+                yield _batch(out, _ASKED)
+
+    return ask
+
+
+def _teller(low, order: int):
+    """Answers a bucket's chunks: the log10 probability of each code, the training count of each word.
+
+    All nodes of a bucket's contexts of ``_TAIL`` bytes or more lie in it, and ``low`` holds the shorter contexts', so
+    its trie is that of the whole corpus as far as its codes can see.
+    """
+
+    def codes(rows: list[dict]) -> Iterator[tuple[int, bytes]]:
+        have = (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        for i in range(0, len(rows), 64):
+            more = [(_whole(r["item"], r["m"], order + 1), _whole(r["n"], r["m"], 4)) for r in rows[i : i + 64]]
+            have = _summed(*map(np.concatenate, zip(have, *more, strict=True)))
+        code, n = have
+        trie = Trie([*low.value, *levels(code[n > 0], n[n > 0], order, min(_TAIL, order))])
+        lp = trie.log10(code).astype(np.float32)
+        for r in rows:
+            x = lp[np.searchsorted(code, _whole(r["item"], r["m"], order + 1))]
+            yield r["m"], _planes(x.view(np.uint32), 4)
+
+    def words(rows: list[dict]) -> Iterator[tuple[int, bytes]]:
+        def named(r: dict) -> list[bytes]:
+            return loosen(r["item"]).split(b" ")
+
+        total: defaultdict[bytes, int] = defaultdict(int)
+        for r in rows:
+            for w, n in zip(named(r), _whole(r["n"], r["m"], 4).tolist(), strict=True):
+                total[w] += n
+        for r in rows:
+            yield r["m"], _planes(np.fromiter(map(total.__getitem__, named(r)), np.int64, r["m"]), 6)
+        yield sum(n > 0 for n in total.values()), b""
+
+    def tell(group: pa.Table) -> pa.Table:
+        rows = group.sort_by("chunk").to_pylist()
+        kind, bucket = rows[0]["kind"], rows[0]["bucket"]
+        told = (words if kind else codes)(rows)
+        of = [r["chunk"] for r in rows] + [-1 - bucket]  # last, a bucket of words tells how many of them training knows
+        return pa.Table.from_batches([_batch([(kind, bucket, at, m, x) for at, (m, x) in zip(of, told, strict=False)], _TOLD)])
+
+    return tell
+
+
+def _scorer(order: int, parts: int, size: int, ends: int):
+    """Scores of a chunk's documents from the answers of all buckets, which name values in the order they were asked."""
+
+    def values(told: Iterable[dict], bucket: np.ndarray, width: int) -> np.ndarray:
+        by = {r["bucket"]: _whole(r["value"], r["m"], width) for r in told}
+        out = np.zeros(len(bucket), np.int64)
+        for i, r in _dealt(bucket):
+            out[r] = by[i]
+        return out
 
-    return run
+    def score(chunk: pa.Table, told: pa.Table) -> pa.Table:
+        if not chunk.num_rows:  # what a bucket of words knows
+            return pa.Table.from_batches([_batch([(None, None, None, told.column("m")[0].as_py(), None, None)], _SCORED)])
+        c, told = chunk.to_pylist()[0], told.to_pylist()
+        text, lens, m = loosen(c["text"]), np.array(c["lens"]), len(c["docs"])
+        code = _distinct(np.concatenate([_distinct(k) for _, k in _symbols(text, lens, order, order, size)]))
+        lp = values((r for r in told if not r["kind"]), _code_bucket(code, order, parts), 4).astype(np.uint32).view(np.float32).astype(float)
+        total = np.zeros(m)
+        for doc, k in _symbols(text, lens, order, order, size):
+            by = np.argsort(k)
+            k = k[by]
+            new = np.append(True, k[1:] != k[:-1])
+            total += np.bincount(doc[by], lp[np.searchsorted(code, k[new])][np.cumsum(new) - 1], minlength=m)
+        vocab, at = _vocabulary(text)
+        n = values((r for r in told if r["kind"]), _word_bucket(vocab, parts), 6)
+        doc = np.repeat(np.arange(m), c["words"])
+        base = np.bincount(doc, np.log10(n + 1)[at], minlength=m) + np.log10(ends + 1)
+        known = np.bincount(doc, (n > 0)[at], minlength=m) + (ends > 0)
+        cols = (c["docs"], c["train"], np.array(c["words"]) + 1, known.astype(np.int64), base, total)
+        return pa.Table.from_batches([_batch(list(zip(*(x if isinstance(x, list) else x.tolist() for x in cols), strict=True)), _SCORED)])
+
+    return score
+
+
+_SCORED = "doc_id long, train boolean, n_tokens long, n_known long, base double, score double"
+
+
+def score_language(docs: DataFrame, order: int = 6, folds: int = 7, held: int = 2, chunk_bytes: int = 4 << 20, bucket_bytes: int = 8 << 20) -> DataFrame:
+    """Unigram and PPM log10 scores of ``docs(doc_id, text)``, learned from rows outside the held fold.
 
+    Tokens are the words of the lower-cased whole text (runs of other than space and \\x09-\\x0D) and one end. Returns
+    a row for each row: doc_id, held_out (crc32 of doc_id mod ``folds`` is ``held``; false for null), n_tokens,
+    n_known (tokens seen in training), train_tokens, base_score (add-one unigram), score (PPM over the bytes of the
+    token sequence; pretrained, the same counts for all documents; log probabilities of codes are held as 32-bit floats).
 
-def _base(frequent, n: int, v: int):
-    """Per document of a chunk row: tokens, known tokens and the add-one unigram log10 probability."""
+    Documents are packed into chunks. A chunk asks for its distinct byte codes and words, with their counts in
+    training; codes are dealt by the last three bytes of their context, words by a hash, into buckets whose number
+    follows the corpus. A bucket sums the counts of its part of the trie and answers every chunk, and chunks score
+    their documents. All nodes of all contexts and all words are used at every size. Nodes of contexts of at most two
+    bytes (2**24 at most, whatever the corpus) are broadcast. ``order`` is 1 to 6.
+
+    Null texts count as empty (one token, the end). Repeated rows are scored one by one; an empty table or an empty
+    training fold is fine (all words unknown, all bytes even). Very long texts are taken in parts inside a task. Other
+    columns are ignored.
+    """
+    spark = docs.sparkSession
+    ws = Workspace(spark, "ppm")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == held, F.lit(False))
+    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("t"), (~held_out).alias("train"))
+    chunks = ws.save(src.mapInArrow(_packer(order, chunk_bytes), _CHUNK), "chunks")
+    train = F.zip_with("words", "train", lambda n, k: F.when(k, n + 1).otherwise(0))
+    total = [F.sum(F.aggregate(x, F.lit(0).cast("long"), lambda a, n: a + n)) for x in (train, F.transform("train", lambda k: k.cast("long")))]
+    n, ends, size = (x or 0 for x in chunks.agg(*total, F.sum("size")).first())
+    parts = max(8, size // bucket_bytes)
+    short = chunks.select(F.explode(F.arrays_zip("low", "low_n")).alias("z")).groupBy("z.low").agg(F.sum("z.low_n").alias("n")).toArrow()
+    low = spark.sparkContext.broadcast(levels(short.column(0).to_numpy(), short.column(1).to_numpy(), min(_TAIL, order) - 1))
+    asked = chunks.select("chunk", "train", "lens", "words", "text").mapInArrow(_asker(order, parts, chunk_bytes // 4), _ASKED)
+    told = asked.groupBy("kind", "bucket").applyInArrow(_teller(low, order), _TOLD)
+    scored = chunks.drop("low", "low_n").groupBy("chunk").cogroup(told.groupBy("of")).applyInArrow(_scorer(order, parts, chunk_bytes // 4, ends), _SCORED)
+    scored = ws.save(scored, "scored")
+    ws.drop("chunks")
+    v = scored.where("train is null").agg(F.coalesce(F.sum("n_known"), F.lit(0))).first()[0] + (ends > 0)
+    base = F.col("base") - F.col("n_tokens") * F.lit(float(np.log10(n + v + 1)))
+    return scored.where("train is not null").select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for r in range(b.num_rows):
-                ids, lens, vocab, cells = (b.column(i)[r].values.to_numpy(zero_copy_only=False) for i in range(4))
-                word, times = (_unsqueezed(b.column(i)[r].as_py(), int(cells.sum())) for i in (4, 5))
-                doc = np.repeat(np.arange(len(ids)), cells)
-                c = _lookup(*frequent.value, vocab)[0]
-                if b.column(6)[r].is_valid:
-                    c[b.column(6)[r].values.to_numpy()] = b.column(7)[r].values.to_numpy()
-                each = np.log10((c[word] + 1) / (n + v + 1))
-                m = len(ids)
-                base, known = np.bincount(doc, each * times, minlength=m), np.bincount(doc, times * (c[word] > 0), minlength=m)
-                yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(lens, pa.int64()), pa.array(known.astype(np.int64)), pa.array(base)], ["id", "n_tokens", "n_known", "base_score"])
-
-    return run

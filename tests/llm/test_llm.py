@@ -89,66 +89,71 @@ def test_signatures_estimate_similarity():
 # language-model scores
 
 
-def test_trie_is_a_distribution():
-    text = [b"the cat sat", b"the hat", b"a cat"] * 3
-    order = 3
-    c, n = np.unique(np.concatenate([ppm.codes(ppm.stream(t.split(), order), order) for t in text]), return_counts=True)
-    grams, seen = [], []
+def trie_of(texts, order):
+    """The whole trie as dictionaries: context (nearest byte last) -> symbol -> count."""
+    trie = {}
+    for t in texts:
+        s, _ = ppm.normal(t, order)
+        for i in range(order, len(s)):
+            for j in range(order + 1):
+                trie.setdefault(s[i - j : i], {}).setdefault(s[i], 0)
+                trie[s[i - j : i]][s[i]] += 1
+    return trie
+
+
+def plain_log10(trie, context, symbol, order):
+    """One symbol by the textbook: longest context first, escape method C, symbols refused before take no part."""
+    out, gone = 0.0, set()
     for j in range(order, -1, -1):
-        grams.insert(0, (c, n))
-        ctx, inv = np.unique(c >> 8, return_inverse=True)
-        seen.insert(0, (ctx, np.bincount(inv, n).astype(np.int64)))
-        c, inv = np.unique(c & ((1 << (8 * j)) - 1), return_inverse=True)
-        n = np.bincount(inv, n).astype(np.int64)
-    for cut in (1, 2, 4):
-        t = ppm.Trie([(a[b >= cut], b[b >= cut]) for a, b in grams], [(a[b >= cut], b[b >= cut]) for a, b in seen])
-        for ctx in (b"the", b" ca", b"zzz", b"\n\n\n"):
-            at = int.from_bytes(ctx, "big") << 8
-            p = 10.0 ** t.log10(np.arange(256) + at)
-            assert math.isclose(p.sum(), 1, rel_tol=1e-9), (cut, ctx, p.sum())
-
-
-@pytest.mark.parametrize("share", [1 << 20, 80])
-def test_language_scores_against_brute_force(spark, share):
-    rng = random.Random(5)
-    rows = [(i, " ".join(rng.choice(["the", "Cat", "sat", "mat", f"w{rng.randrange(40)}"]) for _ in range(rng.randrange(0, 30)))) for i in range(80)] + [(500, None), (501, ""), (7, "the cat"), (None, "cat sat")]
-    got = ppm.score_language(docs_of(spark, rows), share=share, chunk_bytes=200).collect()
-    assert len(got) == len(rows)
+        seen = {s: n for s, n in trie.get(context[len(context) - j :], {}).items() if s not in gone}
+        if not seen:
+            continue
+        total, distinct = sum(seen.values()), len(seen)
+        if symbol in seen:
+            return out + math.log10(seen[symbol] / (total + distinct))
+        out += math.log10(distinct / (total + distinct))
+        gone |= set(seen)
+    return out - math.log10(256 - len(gone))
+
+
+def test_trie_is_a_distribution():
+    order, texts = 3, [b"the cat sat", b"the hat", b"a cat"] * 3
+    c, n = np.unique(np.concatenate([ppm.keys(np.frombuffer(ppm.normal(t, order)[0], np.uint8), order) for t in texts]), return_counts=True)
+    t, plain = ppm.Trie(ppm.levels(c, n, order)), trie_of(texts, order)
+    for ctx in (b"the", b" ca", b"zzz", b"\n\n\n"):
+        key = int.from_bytes(ctx[::-1], "big") << 8
+        lp = t.log10(np.arange(256) + key)
+        assert math.isclose((10.0**lp).sum(), 1, rel_tol=1e-9), ctx
+        assert np.allclose(lp, [plain_log10(plain, ctx, s, order) for s in range(256)]), ctx
+
+
+@pytest.mark.parametrize("chunk_bytes,bucket_bytes", [(200, 1 << 20), (1 << 20, 50), (1 << 22, 1 << 23)])
+def test_language_scores_against_brute_force(spark, chunk_bytes, bucket_bytes):
     import zlib
 
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choice(["the", "Cat", "sat", "mät", f"w{rng.randrange(40)}"]) for _ in range(rng.randrange(0, 30)))) for i in range(80)]
+    rows += [(500, None), (501, ""), (7, "the cat"), (None, "cat sat"), (502, "z" * 3000 + " the"), (503, "wholly \t new\x0bletters; ßß")]
+    got = ppm.score_language(docs_of(spark, rows), chunk_bytes=chunk_bytes, bucket_bytes=bucket_bytes).collect()
+    assert len(got) == len(rows)
     held = {i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in rows}
-    toks = [(i, [*(t or "").lower().split(), None]) for i, t in rows]
+    toks = [(i, [*shingles.words((t or "").encode()), None]) for i, t in rows]
     count = {}
     for i, t in toks:
         for w in t if not held[i] else ():
             count[w] = count.get(w, 0) + 1
     n, v = sum(count.values()), len(count)
-    want = sorted(((i, len(t), sum(w in count for w in t), round(sum(math.log10((count.get(w, 0) + 1) / (n + v + 1)) for w in t), 6)) for i, t in toks), key=str)
-    assert sorted(((r["doc_id"], r["n_tokens"], r["n_known"], round(r["base_score"], 6)) for r in got), key=str) == want
-    assert {r["train_tokens"] for r in got} == {n} and all(r["held_out"] == held[r["doc_id"]] and r["score"] < 0 for r in got)
+    trie = trie_of([(t or "").encode() for i, t in rows if not held[i]], 6)
 
+    def score(t):
+        s, _ = ppm.normal((t or "").encode(), 6)
+        return sum(plain_log10(trie, s[i - 6 : i], s[i], 6) for i in range(6, len(s)))
 
-@pytest.mark.parametrize("share", [1 << 20, 80])
-def test_language_scores_use_every_node(spark, share):
-    import zlib
-
-    rng = random.Random(6)
-    rows = [(i, " ".join(rng.choice(["the", "Cat", "sat", "mät", f"w{rng.randrange(400)}"]) for _ in range(rng.randrange(0, 30)))) for i in range(120)] + [(700, None), (None, "cat sät")]
-    got = ppm.score_language(docs_of(spark, rows), share=share, chunk_bytes=200).collect()
-    code = {i: ppm.codes(ppm.stream(shingles.words((t or "").encode()), 6), 6) for i, t in rows}
-    held = {i for i in code if i is not None and zlib.crc32(str(i).encode()) % 7 == 2}
-    c, n = np.unique(np.concatenate([x for i, x in code.items() if i not in held]), return_counts=True)
-    grams, seen = [], []
-    for j in range(6, -1, -1):
-        grams.insert(0, (c, n))
-        ctx, inv = np.unique(c >> 8, return_inverse=True)
-        seen.insert(0, (ctx, np.bincount(inv, n)))
-        c, inv = np.unique(c & ((1 << (8 * j)) - 1), return_inverse=True)
-        n = np.bincount(inv, n).astype(np.int64)
-    whole = ppm.Trie(grams, seen)
-    assert held and len(got) == len(rows)
-    for r in got:
-        assert math.isclose(r["score"], whole.log10(code[r["doc_id"]]).sum(), rel_tol=1e-9), r
+    want = sorted(((i, len(t), sum(w in count for w in t), sum(math.log10((count.get(w, 0) + 1) / (n + v + 1)) for w in t), score(text)) for (i, t), (_, text) in zip(toks, rows, strict=True)), key=lambda x: (str(x[0]), x[1], x[3]))
+    have = sorted(((r["doc_id"], r["n_tokens"], r["n_known"], r["base_score"], r["score"]) for r in got), key=lambda x: (str(x[0]), x[1], x[3]))
+    assert [x[:3] for x in have] == [x[:3] for x in want]
+    assert np.allclose([x[3:] for x in have], [x[3:] for x in want], rtol=1e-6)
+    assert {r["train_tokens"] for r in got} == {n} and all(r["held_out"] == held[r["doc_id"]] for r in got) and any(held.values())
 
 
 def test_language_scores_of_nothing(spark):
@@ -318,29 +323,57 @@ def test_languages_held_out(spark):
     assert {x["lang_pred"] for x in langid.identify(docs.limit(5), empty).collect()} == {"und"}
 
 
-def test_backoff_goes_to_shorter_grams():
-    rows = [{"kind": 0, "gram": "haus", "lang": "de", "n": 9}, {"kind": 0, "gram": "house", "lang": "en", "n": 9}, {"kind": 2, "gram": "sch", "lang": "de", "n": 1}, {"kind": 1, "gram": "q", "lang": "en", "n": 5}]
-    totals = {(k, lang): 10 for k in range(5) for lang in ("de", "en")}
-    m = langid.LanguageModel(rows, totals, 4096)
-    assert m.predict("Haus")[0] == "de" and m.predict("zqz")[0] == "en" and m.predict("...") == ("und", 0.0)
+def plain_language(rows, text):
+    """Word-first backoff over counts (kind, gram, lang, n) held as dictionaries."""
+    known, totals = {}, {}
+    for r in rows:
+        known.setdefault(r["kind"], {}).setdefault(r["gram"], {})[r["lang"]] = r["n"]
+        totals[r["kind"], r["lang"]] = totals.get((r["kind"], r["lang"]), 0) + r["n"]
+    langs = sorted({lang for _, lang in totals})
+
+    def log_frequency(kind, gram):
+        return np.array([math.log((known[kind][gram].get(x, 0) + 0.5) / (totals.get((kind, x), 0) + 0.5 * len(known[kind]))) for x in langs])
+
+    total = np.zeros(len(langs))
+    for w in langid.words(text):
+        if w in known[0]:
+            total += log_frequency(0, w)
+            continue
+        for k in (4, 3, 2, 1):
+            if hits := [g for i in range(max(1, len(w) + 3 - k)) if (g := f" {w} "[i : i + k]) in known[k]]:
+                total += np.mean([log_frequency(k, g) for g in hits], 0)
+                break
+    p = np.exp(total - total.max())
+    return (langs[int(total.argmax())], float(p.max() / p.sum())) if langid.words(text) else ("und", 0.0)
 
 
-@pytest.mark.parametrize("share", [4096, 20])
-def test_languages_use_every_word(spark, share):
+@pytest.mark.parametrize("cells", [1 << 18, 40, 1])
+def test_languages_against_brute_force(spark, cells):
     docs = table(spark, "documents").select("doc_id", F.substring("text", 1, 3000).alias("text"), "lang")
     train, rest = docs.where("doc_id % 3 > 0"), docs.where("doc_id % 3 = 0").unionByName(docs.limit(3).select("doc_id", F.lit("zqxj Kwyjibo thé").alias("text"), "lang"))
-    rows = langid.count_languages(train).collect()
-    totals = {}
-    for r in rows:
-        totals[r["kind"], r["lang"]] = totals.get((r["kind"], r["lang"]), 0) + r["n"]
-    whole = langid.LanguageModel(rows, totals)
+    rows = langid.count_languages(train, most=500).collect()
     rare = next(r["gram"] for r in rows if r["kind"] == 0 and r["n"] == 1 and sum(x["gram"] == r["gram"] and x["kind"] == 0 for x in rows) == 1)
     rest = rest.unionByName(rest.limit(1).select("doc_id", F.lit(rare).alias("text"), "lang")).persist()
-    got = sorted((r["doc_id"], r["lang_pred"], round(r["score"], 6)) for r in langid.identify(rest, langid.fit_languages(train, share), chunk_chars=5000).collect())
-    want = sorted((r["doc_id"], lang, round(p, 6)) for r in rest.collect() for lang, p in [whole.predict(r["text"])])
+    got = sorted((r["doc_id"], r["lang_pred"], round(r["score"], 6)) for r in langid.identify(rest, langid.fit_languages(train, cells), chunk_chars=5000).collect())
+    want = sorted((r["doc_id"], lang, round(p, 6)) for r in rest.collect() for lang, p in [plain_language(rows, r["text"])])
     assert [x[:2] for x in got] == [x[:2] for x in want] and np.allclose([x[2] for x in got], [x[2] for x in want], atol=2e-6)
 
 
+def test_language_counts_are_exact(spark):
+    from collections import Counter
+
+    rows = [("de", "Haus haus x"), ("en", "the house"), (None, "none"), ("en", None), ("de", "Haus")] * 3
+    got = {(r["kind"], r["gram"], r["lang"]): r["n"] for r in langid.count_languages(spark.createDataFrame(rows, "lang string, text string"), most=2).collect()}
+    want = Counter()
+    for lang, t in rows:
+        for w in langid.words(t) if lang else ():
+            want[0, w, lang] += 1
+            for k in (4, 3, 2, 1):
+                for i in range(max(1, len(w) + 3 - k)):
+                    want[k, f" {w} "[i : i + k], lang] += 1
+    assert got == dict(want)
+
+
 # secrets
 
 
