@@ -7,6 +7,8 @@ join an exchange of their own, which adaptive execution can split when a key is
 
 from __future__ import annotations
 
+import gc
+import re
 import tempfile
 import uuid
 
@@ -19,10 +21,12 @@ _WRITER = {"parquet.block.size": str(16 << 20), "parquet.block.size.row.check.mi
 
 
 def shared_root(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; only where it is unset (tests, a laptop) a temporary folder."""
+    """``spark.checkpoint.dir`` of the session; only on a local master (tests, a laptop) a temporary folder if it is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if root:
         return root
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN:
         _OWN[app] = tempfile.mkdtemp(prefix="tesserae-")
@@ -52,6 +56,11 @@ class Workspace:
         df.write.mode("overwrite").options(**_WRITER).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def release(self) -> None:
+        """Let Spark's cleaner delete shuffle files and broadcasts that no live plan needs; it acts on the driver's collection."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def drop(self, *names: str) -> None:
         """Delete tables that no later step reads."""
         for name in names:
