@@ -13,6 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tesserae.llm.packing import dealt, loosen, planes, squeeze, whole
 from tesserae.plans.workspace import Workspace
 
 _SPACE = re.compile(rb"[ \t-\r]")
@@ -127,25 +128,6 @@ def normal(text: bytes | None, order: int) -> tuple[bytes, int]:
     return bytes([_END]) * order + b" ".join(found) + bytes([_END]), n
 
 
-def squeeze(x: bytes) -> bytes:
-    return len(x).to_bytes(8, "little") + pa.compress(x, codec="zstd", asbytes=True)
-
-
-def loosen(x: bytes) -> bytes:
-    return pa.decompress(x[8:], decompressed_size=int.from_bytes(x[:8], "little"), codec="zstd", asbytes=True)
-
-
-def _planes(x: np.ndarray, width: int) -> bytes:
-    """Integers by byte, highest bytes of all first, compressed: bytes that hardly change cost next to nothing."""
-    return squeeze(np.ascontiguousarray(x.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - width :].T).tobytes())
-
-
-def _whole(x: bytes, n: int, width: int) -> np.ndarray:
-    b = np.zeros((n, 8), np.uint8)
-    b[:, 8 - width :] = np.frombuffer(loosen(x), np.uint8).reshape(width, n).T
-    return b.view(">u8").ravel().astype(np.int64)
-
-
 def _symbols(text: bytes, lens: np.ndarray, order: int, depth: int, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(document numbers, keys of ``depth`` context bytes) of a chunk's symbols, ``size`` at a time."""
     buf = np.frombuffer(text, np.uint8)
@@ -169,15 +151,6 @@ def _vocabulary(text: bytes) -> tuple[list[bytes], np.ndarray]:
     return list(place), np.concatenate(at)
 
 
-def _dealt(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """(bucket, places of its rows in their order)."""
-    by = np.argsort(bucket, kind="stable")
-    cut = np.nonzero(np.append(True, bucket[by][1:] != bucket[by][:-1]))[0] if len(by) else by
-    for rows in np.split(by, cut[1:]):
-        if len(rows):
-            yield int(bucket[rows[0]]), rows
-
-
 def _code_bucket(key: np.ndarray, order: int, parts: int) -> np.ndarray:
     tail = key >> (8 * (order + 1 - min(_TAIL, order)))
     return (tail.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % parts
@@ -243,11 +216,11 @@ def _asker(order: int, parts: int, size: int):
                     first = np.nonzero(np.append(True, learned[1:] != learned[:-1]))[0] if len(learned) else np.zeros(0, np.int64)
                     seen += [(learned[first], np.diff(np.append(first, len(learned)))), (other, np.zeros(len(other), np.int64))]
                 code, n = _summed(*map(np.concatenate, zip(*seen, strict=True)))
-                out = [(0, i, c["chunk"], len(r), _planes(code[r], order + 1), _planes(n[r], 4)) for i, r in _dealt(_code_bucket(code, order, parts))]
+                out = [(0, i, c["chunk"], len(r), planes(code[r], order + 1), planes(n[r], 4)) for i, r in dealt(_code_bucket(code, order, parts))]
                 vocab, at = _vocabulary(text)
                 n = np.bincount(at[np.repeat(train, c["words"])], minlength=len(vocab))
-                for i, r in _dealt(_word_bucket(vocab, parts)):
-                    out.append((1, i, c["chunk"], len(r), squeeze(b" ".join([vocab[x] for x in r])), _planes(n[r], 4)))
+                for i, r in dealt(_word_bucket(vocab, parts)):
+                    out.append((1, i, c["chunk"], len(r), squeeze(b" ".join([vocab[x] for x in r])), planes(n[r], 4)))
                 yield _batch(out, _ASKED)
 
     return ask
@@ -263,14 +236,14 @@ def _teller(low, order: int):
     def codes(rows: list[dict]) -> Iterator[tuple[int, bytes]]:
         have = (np.zeros(0, np.int64), np.zeros(0, np.int64))
         for i in range(0, len(rows), 64):
-            more = [(_whole(r["item"], r["m"], order + 1), _whole(r["n"], r["m"], 4)) for r in rows[i : i + 64]]
+            more = [(whole(r["item"], r["m"], order + 1), whole(r["n"], r["m"], 4)) for r in rows[i : i + 64]]
             have = _summed(*map(np.concatenate, zip(have, *more, strict=True)))
         code, n = have
         trie = Trie([*low.value, *levels(code[n > 0], n[n > 0], order, min(_TAIL, order))])
         lp = trie.log10(code).astype(np.float32)
         for r in rows:
-            x = lp[np.searchsorted(code, _whole(r["item"], r["m"], order + 1))]
-            yield r["m"], _planes(x.view(np.uint32), 4)
+            x = lp[np.searchsorted(code, whole(r["item"], r["m"], order + 1))]
+            yield r["m"], planes(x.view(np.uint32), 4)
 
     def words(rows: list[dict]) -> Iterator[tuple[int, bytes]]:
         def named(r: dict) -> list[bytes]:
@@ -278,10 +251,10 @@ def _teller(low, order: int):
 
         total: defaultdict[bytes, int] = defaultdict(int)
         for r in rows:
-            for w, n in zip(named(r), _whole(r["n"], r["m"], 4).tolist(), strict=True):
+            for w, n in zip(named(r), whole(r["n"], r["m"], 4).tolist(), strict=True):
                 total[w] += n
         for r in rows:
-            yield r["m"], _planes(np.fromiter(map(total.__getitem__, named(r)), np.int64, r["m"]), 6)
+            yield r["m"], planes(np.fromiter(map(total.__getitem__, named(r)), np.int64, r["m"]), 6)
         yield sum(n > 0 for n in total.values()), b""
 
     def tell(group: pa.Table) -> pa.Table:
@@ -298,9 +271,9 @@ def _scorer(order: int, parts: int, size: int, ends: int):
     """Scores of a chunk's documents from the answers of all buckets, which name values in the order they were asked."""
 
     def values(told: Iterable[dict], bucket: np.ndarray, width: int) -> np.ndarray:
-        by = {r["bucket"]: _whole(r["value"], r["m"], width) for r in told}
+        by = {r["bucket"]: whole(r["value"], r["m"], width) for r in told}
         out = np.zeros(len(bucket), np.int64)
-        for i, r in _dealt(bucket):
+        for i, r in dealt(bucket):
             out[r] = by[i]
         return out
 

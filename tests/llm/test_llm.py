@@ -323,6 +323,11 @@ def test_languages_held_out(spark):
     assert {x["lang_pred"] for x in langid.identify(docs.limit(5), empty).collect()} == {"und"}
 
 
+def every_count(docs, most):
+    words, grams = langid.count_languages(docs, most)
+    return words.select(F.lit(0).alias("kind"), "gram", "lang", "n").unionByName(grams).collect()
+
+
 def plain_language(rows, text):
     """Word-first backoff over counts (kind, gram, lang, n) held as dictionaries."""
     known, totals = {}, {}
@@ -347,14 +352,14 @@ def plain_language(rows, text):
     return (langs[int(total.argmax())], float(p.max() / p.sum())) if langid.words(text) else ("und", 0.0)
 
 
-@pytest.mark.parametrize("cells", [1 << 18, 40, 1])
-def test_languages_against_brute_force(spark, cells):
+@pytest.mark.parametrize("cells,near", [(1 << 18, 1 << 21), (40, 1 << 21), (1, 1)])
+def test_languages_against_brute_force(spark, cells, near):
     docs = table(spark, "documents").select("doc_id", F.substring("text", 1, 3000).alias("text"), "lang")
     train, rest = docs.where("doc_id % 3 > 0"), docs.where("doc_id % 3 = 0").unionByName(docs.limit(3).select("doc_id", F.lit("zqxj Kwyjibo thé").alias("text"), "lang"))
-    rows = langid.count_languages(train, most=500).collect()
+    rows = every_count(train, most=500)
     rare = next(r["gram"] for r in rows if r["kind"] == 0 and r["n"] == 1 and sum(x["gram"] == r["gram"] and x["kind"] == 0 for x in rows) == 1)
     rest = rest.unionByName(rest.limit(1).select("doc_id", F.lit(rare).alias("text"), "lang")).persist()
-    got = sorted((r["doc_id"], r["lang_pred"], round(r["score"], 6)) for r in langid.identify(rest, langid.fit_languages(train, cells), chunk_chars=5000).collect())
+    got = sorted((r["doc_id"], r["lang_pred"], round(r["score"], 6)) for r in langid.identify(rest, langid.fit_languages(train, cells, near), chunk_chars=5000, bucket_words=100).collect())
     want = sorted((r["doc_id"], lang, round(p, 6)) for r in rest.collect() for lang, p in [plain_language(rows, r["text"])])
     assert [x[:2] for x in got] == [x[:2] for x in want] and np.allclose([x[2] for x in got], [x[2] for x in want], atol=2e-6)
 
@@ -363,7 +368,7 @@ def test_language_counts_are_exact(spark):
     from collections import Counter
 
     rows = [("de", "Haus haus x"), ("en", "the house"), (None, "none"), ("en", None), ("de", "Haus")] * 3
-    got = {(r["kind"], r["gram"], r["lang"]): r["n"] for r in langid.count_languages(spark.createDataFrame(rows, "lang string, text string"), most=2).collect()}
+    got = {(r["kind"], r["gram"], r["lang"]): r["n"] for r in every_count(spark.createDataFrame(rows, "lang string, text string"), most=2)}
     want = Counter()
     for lang, t in rows:
         for w in langid.words(t) if lang else ():
