@@ -18,30 +18,40 @@ def _without(spark: SparkSession, docs: DataFrame, rejected: DataFrame, label: s
     return docs.join(small_side(ids, 16), "doc_id", "left_anti").select(*docs.columns)
 
 
+def _release(spark: SparkSession) -> None:
+    """Let go of the shuffles and broadcasts of the stage before, whose result is written."""
+    Workspace(spark, "pipeline").release()
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
+    _release(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return keep_quality(docs, fit_quality(docs, labels), 0.3)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of least id of each near-duplicate group (five-word shingles, similarity of 0.8 or more)."""
+    _release(spark)
     return _without(spark, docs, near_duplicates(docs, n=5, num=80, den=100).where("not kept"), "dedup")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window of ten words of a benchmark item."""
+    _release(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return _without(spark, docs, contamination(docs, items, t=10).where("contaminated"), "decontaminate")
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with confirmed secrets replaced in their texts."""
+    _release(spark)
     return redact(docs, fit_forest(labelled_findings(spark)))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn to the target mixture, with their training weight as ``mix_weight``."""
+    _release(spark)
     drawn = mix(docs, carry=True).where("sampled")
     return drawn.select("row.*", drawn["weight"].alias("mix_weight"))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tesserae.plans.workspace import Workspace, small_side
@@ -34,17 +34,29 @@ def smoothed_targets(cells: DataFrame, dim: str, power: float) -> DataFrame:
     return m.select(dim, (F.col("s") / F.lit(m.agg(F.sum("s")).first()[0])).alias("target"))
 
 
-def rake(ws: Workspace, cells: DataFrame, targets: dict[str, DataFrame], rounds: int) -> DataFrame:
+def rake(ws: Workspace, cells: DataFrame, targets: dict[str, DataFrame], rounds: int, most: int = 100_000) -> DataFrame:
     """``cells(dims..., tokens)`` -> with ``w``: cell weights summing to 1 whose marginals are the targets'.
 
     Starts from the cells' shares; in each round each dimension in turn is scaled to its target. A category without
-    target or tokens gets 0. Marginals are map-side combined sums, joined back; only cells move, never documents.
+    target or tokens gets 0. Only cells move, never documents. Up to ``most`` cells, counted first, are raked in one task,
+    all rounds in one plan, by sums over windows that need no exchange; beyond that, marginals are map-side combined
+    sums, joined back round by round.
     """
     cur = cells.where("tokens > 0").withColumn("w", F.col("tokens").cast("double"))
+    if cur.count() <= most:
+        cur = cur.coalesce(1)
+        for dim, target in targets.items():
+            met = target.join(cells.select(dim).distinct(), dim, "left_semi")  # no more categories than cells
+            cur = cur.join(F.broadcast(met.withColumnRenamed("target", f"to_{dim}")), dim)
+        for _ in range(rounds):
+            for dim in targets:
+                have = F.sum("w").over(Window.partitionBy(dim))
+                cur = cur.withColumn("w", F.when(have > 0, F.col("w") * F.col(f"to_{dim}") / have).otherwise(0.0))
+        return ws.save(cur.select(*cells.columns, "w"), "raked")
     for i in range(rounds):
         for dim, target in targets.items():
             have = cur.groupBy(dim).agg(F.sum("w").alias("have")).join(target, dim)
-            cur = cur.join(have.select(dim, (F.col("target") / F.col("have")).alias("k")), dim).withColumn("w", F.col("w") * F.col("k")).drop("k")
+            cur = cur.join(have.select(dim, F.when(F.col("have") > 0, F.col("target") / F.col("have")).otherwise(0.0).alias("k")), dim).withColumn("w", F.col("w") * F.col("k")).drop("k")
         cur = ws.save(cur.select(*cells.columns, "w"), f"raked{i + 1}")
         ws.drop(f"raked{i}")
     return cur

@@ -402,12 +402,13 @@ def test_scan_finds_planted_secrets(spark):
 # mixing
 
 
-def test_raking_meets_the_marginals(spark):
+@pytest.mark.parametrize("most", [100_000, 0])
+def test_raking_meets_the_marginals(spark, most):
     rng = random.Random(1)
     cells = spark.createDataFrame([(s, g, t, rng.randrange(1, 1000)) for s in "abc" for g in "xy" for t in "pq"], "source string, lang string, topic string, tokens long")
     want = {"source": {"a": 0.2, "b": 0.3, "c": 0.5}, "lang": {"x": 0.6, "y": 0.4}, "topic": {"p": 0.1, "q": 0.9}}
     targets = {d: spark.createDataFrame(list(v.items()), f"{d} string, target double") for d, v in want.items()}
-    w = mixing.rake(Workspace(spark, "t"), cells, targets, 12)
+    w = mixing.rake(Workspace(spark, "t"), cells, targets, 12, most)
     for d, v in want.items():
         for r in w.groupBy(d).agg(F.sum("w").alias("w")).collect():
             assert math.isclose(r["w"], v[r[d]], rel_tol=1e-6)
