@@ -269,13 +269,14 @@ def test_pages_equal_their_articles(spark):
 # top-k
 
 
-def test_top_k_against_brute_force(spark):
+@pytest.mark.parametrize("group,sample", [(2048, 8192), (16, 40)])
+def test_top_k_against_brute_force(spark, group, sample):
     rng = np.random.default_rng(4)
     rows = [(i, [float(x) for x in rng.normal(size=6) + 3 * (i % 5)], "z") for i in range(400)]
     rows += [(400 + i, rows[0][1], "z") for i in range(60)]
     rows += [(900, None, "z"), (950, [1.0, None], "z"), (1000, [float("nan")] * 6, "z"), (1050, [float("inf")] * 6, "z"), (1100, [], "z"), (None, rows[0][1], "z"), (1150, [1.0, 2.0], "z"), (7, rows[7][1], "z")]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, score string")
-    got = sorted(map(tuple, covertree.top_k(df, 50, 5, group=64, seeds=16).collect()))
+    got = sorted(map(tuple, covertree.top_k(df, 50, 5, group=group, sample=sample).collect()))
     ok = [(i, [math.floor(256 * x) for x in v]) for i, v, _ in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
     want = []
     for q, v in sorted({(i, tuple(v)) for i, v in ok if i % 50 == 0}):
@@ -285,6 +286,25 @@ def test_top_k_against_brute_force(spark):
     assert covertree.top_k(df.limit(0)).count() == 0
 
 
+def test_dual_walk_prunes_clusters():
+    rng = np.random.default_rng(3)
+    centre = rng.normal(size=(20, 16)) * 200
+    x = np.floor(centre[rng.integers(0, 20, 3000)] + rng.normal(size=(3000, 16)) * 5)
+    ids = np.arange(len(x))
+    for data in (x, np.floor(rng.normal(size=(800, 16)) * 100)):
+        q, best = data[::10], covertree.Best(len(data[::10]), 5)
+        scored = covertree.dual_search(q, ids[: len(data) : 10], data, ids[: len(data)], best)
+        s = q @ data.T
+        s[np.arange(len(q)), np.arange(0, len(data), 10)] = -np.inf
+        order = np.array([np.lexsort((ids[: len(data)], -row))[:5] for row in s])
+        assert (best.id == order).all() and (best.score == np.take_along_axis(s, order, 1)).all()
+        assert scored < (0.2 if data is x else 1.01) * len(q) * len(data)
+    tree = covertree.CoverTree.build(x)
+    assert tree.kids and sorted(np.concatenate([k.rows for k in tree.kids])) == list(ids)
+    for k in tree.kids:
+        assert (np.sqrt(((x[k.rows] - k.centre) ** 2).sum(1)) <= k.radius).all()
+
+
 # quality
 
 
