@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -12,8 +13,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tesserae.plans.workspace import Workspace
+
 _TOKEN = re.compile(rb"[A-Za-z0-9\x80-\xff]+|[^\sA-Za-z0-9\x80-\xff]+")
-_LAGS = 8
 
 
 def tokens(text: bytes | None) -> list[bytes]:
@@ -26,19 +28,19 @@ class QualityModel:
     """Fitted on a bounded sample; pickles to a few MB whatever the corpus.
 
     A word's vector is its own sparse random index vector plus the normalised sum of its neighbours' index vectors in
-    the sample; words outside the vocabulary keep the index vector of their hash. A document is the mean of its words'
-    vectors, the share of capitals, symbols and digits among its tokens, and the shares of tokens equal to the one
-    1 to 8 places before.
+    the sample, permuted by their side; words outside the vocabulary keep the index vector of their hash. Two words
+    ``k`` apart are bound by the product of their index vectors, component by component. A document is the mean of its words'
+    vectors and, for each of the lags, the mean of its bound pairs.
     """
 
-    def __init__(self, dim: int = 64, hidden: int = 24, vocabulary: int = 20000, buckets: int = 4096, seed: int = 7):
-        self.dim, self.hidden, self.size, self.buckets = dim, hidden, vocabulary, buckets
+    def __init__(self, dim: int = 64, hidden: int = 24, vocabulary: int = 20000, buckets: int = 4096, lags: tuple = (1, 2, 3, 4), seed: int = 7):
+        self.dim, self.hidden, self.size, self.buckets, self.lags = dim, hidden, vocabulary, buckets, lags
         rng = np.random.default_rng(seed)
         self.index = np.zeros((buckets, dim), np.float32)
         for row in self.index:
             row[rng.choice(dim, 8, replace=False)] = rng.choice([-1.0, 1.0], 8)
         self.ids: dict[bytes, int] = {}
-        self.vectors = self.index
+        self.vectors = self.own = self.index
         self.rng = rng
         self.net: tuple | None = None
         self.base, self.temperature = 0.5, 1.0
@@ -48,26 +50,29 @@ class QualityModel:
 
     def _rows(self, ts: list[bytes]) -> np.ndarray:
         get, n = self.ids.get, len(ts)
-        out = np.fromiter((get(t, -1) for t in ts), np.int64, n)
+        out = np.fromiter(map(get, ts, repeat(-1)), np.int64, n)
         for i in np.nonzero(out < 0)[0]:
             out[i] = self._bucket(ts[i])
         return out
 
-    def features(self, text: bytes | None) -> np.ndarray:
-        ts = tokens(text)
-        n = len(ts)
-        x = np.zeros(self.dim + 3 + _LAGS, np.float32)
-        if not n:
-            return x
-        ids = self._rows(ts)
+    def features(self, text: bytes | None, part: int = 1 << 14) -> np.ndarray:
+        ids = self._rows(tokens(text))
+        x = np.zeros((1 + len(self.lags), self.dim))
+        if not len(ids):
+            return x.ravel()
         rows, count = np.unique(ids, return_counts=True)
-        x[: self.dim] = count.astype(np.float32) @ self.vectors[rows] / n
-        x[self.dim] = sum(t.isupper() for t in ts) / n
-        x[self.dim + 1] = sum(not (c := t[0]) >= 0x80 and not chr(c).isalnum() for t in ts) / n
-        x[self.dim + 2] = sum(t[0] in b"0123456789" for t in ts) / n
-        for k in range(1, _LAGS + 1):
-            x[self.dim + 2 + k] = float((ids[k:] == ids[:-k]).mean()) if n > k else 0.0
-        return x
+        x[0] = count.astype(np.float32) @ self.vectors[rows] / len(ids)
+        most = max(self.lags, default=0)
+        for lo in range(0, len(ids), part):  # a long text in parts
+            v = self.own[ids[max(lo - most, 0) : lo + part]]
+            skip = min(lo, most)
+            for i, k in enumerate(self.lags):
+                at = max(skip, k)
+                if len(v) > at:
+                    x[1 + i] += np.einsum("td,td->d", v[at:], v[at - k : len(v) - k])
+        for i, k in enumerate(self.lags):
+            x[1 + i] /= max(len(ids) - k, 1)
+        return x.ravel()
 
     def fit(self, texts: list[bytes], y: np.ndarray) -> QualityModel:
         """Learn vectors and network; one class or no rows leave a constant score."""
@@ -86,10 +91,11 @@ class QualityModel:
             iv = self.index[np.where(at >= 0, own[at] if len(own) else 0, 0)] if len(at) else None
             for k in (1, 2):
                 if len(at) > k:
-                    np.add.at(ctx, at[k:], iv[:-k])
-                    np.add.at(ctx, at[:-k], iv[k:])
+                    np.add.at(ctx, at[k:], np.roll(iv[:-k], k, 1))
+                    np.add.at(ctx, at[:-k], np.roll(iv[k:], -k, 1))
         ctx = ctx[:-1] / np.maximum(np.linalg.norm(ctx[:-1], axis=1, keepdims=True), 1e-6)
         self.ids = {t: i + self.buckets for i, t in enumerate(kept)}
+        self.own = np.concatenate([self.index, self.index[own]])
         self.vectors = np.concatenate([self.index, self.index[own] + 2 * ctx])
         self._train(np.array([self.features(t) for t in texts], np.float64), y.astype(np.float64))
         return self
@@ -128,14 +134,25 @@ class QualityModel:
         return 1 / (1 + np.exp(-np.clip(self._logits(x) / self.temperature, -60, 60)))
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, sample: int = 3000) -> QualityModel:
-    """Fit on at most ``sample`` labelled documents outside the held fold, drawn by a hash of doc_id over all labels."""
-    known = labels.where("doc_id is not null and quality in (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).distinct()
-    known = known.where(F.crc32(F.col("doc_id").cast("string")) % folds != held)
-    ids = known.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("t")).join(F.broadcast(ids), "doc_id").collect()
-    rows = sorted(((r["doc_id"], r["quality"], bytes(r["t"] or b"")) for r in rows))[: 2 * sample]
-    return QualityModel().fit([r[2] for r in rows], np.array([r[1] for r in rows], np.int64))
+def fit_quality(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, sample: int = 3000, sample_bytes: int = 64 << 20) -> QualityModel:
+    """Fit on at most ``sample`` labelled documents outside the held fold, of at most ``sample_bytes`` together.
+
+    They are the first by a hash of doc_id over all labels; whole texts, of which those that no longer fit are passed over.
+    A doc_id with both labels teaches nothing; of documents that repeat a doc_id, the least text does.
+    """
+    known = labels.where("doc_id is not null and quality in (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
+    known = known.where(F.crc32(F.col("doc_id").cast("string")) % folds != held).groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("most")).where("quality = most")
+    ids = known.select("doc_id", "quality", F.xxhash64("doc_id").alias("turn")).orderBy("turn", "doc_id").limit(sample)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("t")).join(F.broadcast(ids), "doc_id")
+    rows = Workspace(docs.sparkSession, "quality").save(rows.groupBy("turn", "doc_id", "quality").agg(F.min(F.coalesce("t", F.lit(b""))).alias("t")), "sample")
+    total, kept = 0, []
+    for r in rows.select("turn", "doc_id", F.octet_length("t").alias("n")).orderBy("turn", "doc_id").collect():
+        if total + r["n"] <= sample_bytes:
+            total += r["n"]
+            kept.append(r["doc_id"])
+    some = docs.sparkSession.createDataFrame([(i,) for i in kept], "doc_id long")
+    found = sorted((r["turn"], r["doc_id"], r["quality"], bytes(r["t"])) for r in rows.join(F.broadcast(some), "doc_id", "left_semi").collect())
+    return QualityModel().fit([r[3] for r in found], np.array([r[2] for r in found], np.int64))
 
 
 def score_quality(docs: DataFrame, model: QualityModel, threshold: float = 0.3, folds: int = 5, held: int = 0) -> DataFrame:

@@ -171,18 +171,22 @@ def test_winnowing_meets_every_shared_run():
         assert np.intersect1d(decontam.winnow(a, 5, 10), decontam.winnow(b, 5, 10)).size
 
 
-def test_contamination_against_brute_force(spark):
+@pytest.mark.parametrize("held", [4 << 20, 0])
+def test_contamination_against_brute_force(spark, held):
     rng = random.Random(9)
     vocab = [f"v{i}" for i in range(30)]
     items = [(k, " ".join(rng.choice(vocab) for _ in range(n))) for k, n in enumerate((12, 10, 25, 3, 1, 9))] + [(40, None), (41, "?!"), (None, "v1 v2"), (2, "v7 v8 v9")]
-    rows = []
+    items += [(50 + n, " ".join(f"s{x}" for x in range(n))) for n in range(1, 10)]  # an item of each short length
+    phrase = " ".join(f"c{x}" for x in range(12))
+    items += [(1000 + i, f"{phrase} z{i}") for i in range(300)]  # a phrase that many items share
+    rows = [(200, "so s0 s1 s2 s3 s4 s5 s6 s7 s8"), (201, phrase), (202, f"{phrase} z7 {phrase}"), (203, "c1 " * 20)]
     for i in range(60):
         w = [rng.choice(vocab + [f"x{rng.randrange(99)}"] * 30) for _ in range(rng.randrange(0, 40))]
         if i % 2 and items[i % 6][1]:
             w[5:5] = items[i % 6][1].upper().split()
         rows.append((i, "-".join(w)))
     rows += [(100, None), (101, ""), (5, rows[5][1])]
-    got = decontam.contamination(docs_of(spark, rows), spark.createDataFrame(items, "item_id long, text string"))
+    got = decontam.contamination(docs_of(spark, rows), spark.createDataFrame(items, "item_id long, text string"), held=held)
 
     def words(t):
         return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
@@ -321,6 +325,23 @@ def test_quality_held_out(spark):
     assert quality.keep_quality(odd, model).columns == odd.columns
 
 
+def test_quality_sample_is_bounded(spark):
+    docs = docs_of(spark, [(i, f"good plain words {i}" if i % 2 else "!!! ??? !!!") for i in range(1, 60)] + [(1, "z" * 10), (100, "w " * 5000), (101, None)])
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(1, 60)] + [(5, 0, 0), (100, 1, 0), (101, 0, 0), (7, 1, 0)], "doc_id long, quality int, toxic int")
+    model = quality.fit_quality(docs, labels, sample_bytes=2000)
+    assert b"w" not in model.ids and b"good" in model.ids  # the long text is passed over
+    scores = {r["doc_id"]: r["score"] for r in quality.score_quality(docs, model).collect()}
+    assert scores[3] > scores[4]
+
+
+def test_features_do_not_depend_on_the_parts():
+    model = quality.QualityModel()
+    text = b" ".join(random.Random(1).choice([b"a", b"b", b"CC", b"!!"]) for _ in range(100))
+    assert np.allclose(model.features(text, part=7), model.features(text)) and np.allclose(model.features(text, part=1), model.features(text))
+    v = model.own[[model._bucket(t) for t in quality.tokens(text)]]
+    assert np.allclose(model.features(text).reshape(5, -1)[2], (v[2:] * v[:-2]).mean(0), atol=1e-5)
+
+
 def test_quality_without_labels(spark):
     docs = docs_of(spark, [(1, "a b"), (2, "c")])
     for rows, want in (([], 0.5), ([(1, 1, 0), (2, None, 0)], 1.0)):
