@@ -256,6 +256,44 @@ def test_noise_names_of_article_parts_and_formulas():
     assert htmltext.main_text(page) == "\n".join(["Related", "a" * 300, "b" * 100, "b" * 100, "so x=1"])
 
 
+WORDS = "Lorem ipsum dolor sit amet, consectetur adipiscing elit, sed do eiusmod tempor incididunt ut labore."
+PARTS = ["The title", *(f"{WORDS} {WORDS} {i}." for i in range(6))]
+ART = "<h1>The title</h1>" + "".join(f"<p>{x}</p>" for x in PARTS[1:])
+LINKS = "<ul>" + "".join(f"<li><a href='/{i}'>link number {i}</a></li>" for i in range(12)) + "</ul>"
+TEMPLATES = {
+    "plain divs": f"<body><div>{LINKS}</div><div>{ART}</div><div>{LINKS}</div></body>",
+    "opaque classes": f"<div class='x1'>{LINKS}</div><div class='x2'><div class='x3'>{ART}</div><div class='x4'>{LINKS}</div></div><div class='x5'><a href=a>About</a> | <a href=b>Terms</a> | <a href=c>Contact us</a></div>",
+    "table": f"<table><tr><td>{LINKS}</td><td>{ART}</td></tr></table>",
+    "main": f"<header><h2>Site</h2>{LINKS}</header><main>{ART}</main><footer>Copyright and so on</footer>",
+    "comments inside": f"<article>{ART}<div class='comments'><p>{WORDS}</p><p>{WORDS}</p></div></article>",
+    "sections": f"<div><nav>{LINKS}</nav><div><section>{ART[: ART.index('<p>', 200)]}</section><section>{ART[ART.index('<p>', 200) :]}</section></div></div>",
+    "cookies": f"<div class='cookie-banner'><p>{WORDS}</p><button>OK</button></div><div id='wrap'><div id='c'>{ART}</div></div>",
+    "aside": f"<div><div>{ART}</div><aside><h3>Read more</h3>{LINKS}<p>{WORDS}</p></aside></div>",
+    "form": f"<div><div>{ART}</div><form><p>Sign up for our letter and get it weekly</p><input></form></div>",
+    "sidebar": f"<div id=page><div class='col-8'>{ART}</div><div class='sidebar'><p>{WORDS}</p>{LINKS}</div></div>",
+    "advert inside": "<div>" + ART.replace("<p>", "<div class=ad>Buy " + WORDS + "</div><p>", 1) + "</div>",
+}
+
+
+@pytest.mark.parametrize("name", TEMPLATES)
+def test_page_templates(name):
+    assert htmltext.main_text(TEMPLATES[name]).split("\n") == PARTS
+
+
+def test_density_finds_the_article(spark, monkeypatch):
+    pages = [r["html"] for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
+    want = [htmltext.main_text(p) for p in pages]
+    with monkeypatch.context() as m:  # without the hints of tags and names, density alone still finds most articles
+        m.setattr(htmltext, "_hint", lambda tag, attrs: 0)
+        assert np.mean([a == htmltext.main_text(p) for a, p in zip(want, pages, strict=True)]) > 0.95
+        assert [n for n in TEMPLATES if htmltext.main_text(TEMPLATES[n]).split("\n")[:7] == PARTS][:3] == ["plain divs", "opaque classes", "table"]
+
+
+@pytest.mark.parametrize("page", ["<article><p title=\"x>Hello there</p><p>more</p></article>", "<article><p title='x>Hello there</p><p>more</p></article>", "<article><p class=x title=\"a>b\">Hello there</p><p>more</article>"])
+def test_no_markup_leaks(page):
+    assert htmltext.main_text(page) == "Hello there\nmore"
+
+
 def test_pages_equal_their_articles(spark):
     import html
 
