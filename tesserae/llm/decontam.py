@@ -1,17 +1,17 @@
-"""Benchmark decontamination by winnowed word fingerprints, an equi-join, and extension of the hits."""
+"""Benchmark decontamination by winnowed word fingerprints, their join, and extension of the hits."""
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tesserae.llm.shingles import grams, word_hashes
-from tesserae.plans.workspace import Workspace, small_side
+from tesserae.plans.workspace import Workspace, fits_broadcast
 
 #: Bytes of words stay (0-9, a-z, all of non-ASCII), A-Z become a-z, all others part words.
 _FOLD = bytes(b if b >= 0x80 or 48 <= b <= 57 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
@@ -35,58 +35,64 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def _prints(df: DataFrame, k: int, t: int, short: list[int], item: bool) -> DataFrame:
-    """(id, n_words, keys, own_id) of (id, text, own_id): winnowed fingerprints, and for texts the whole-run grams of the lengths of short items."""
+def _item_prints(items: DataFrame, k: int, t: int) -> DataFrame:
+    """(item_id, n_words, keys, windows): fingerprints (of items shorter than ``t``, the whole run) and window hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            h = [word_hashes(words(x)) for x in b.column(1).to_pylist()]
+            keys = [_signed(winnow(x, k, t) if len(x) >= t else grams(x, len(x))) for x in h]
+            windows = [np.unique(_signed(grams(x, min(t, len(x))))) for x in h]
+            listed = pa.list_(pa.int64())
+            yield pa.record_batch([b.column(0), pa.array(list(map(len, h)), pa.int64()), pa.array(keys, listed), pa.array(windows, listed)], ["item_id", "n_words", "keys", "windows"])
+
+    return items.mapInArrow(run, "item_id long, n_words long, keys array<long>, windows array<long>")
+
+
+def _known(x: np.ndarray, among) -> np.ndarray:
+    """Which of x are in a sorted broadcast array; all where there is none to look in."""
+    if among is None:
+        return np.ones(len(x), bool)
+    a = among.value
+    return a[np.minimum(np.searchsorted(a, x), len(a) - 1)] == x if len(a) else np.zeros(len(x), bool)
+
+
+def _doc_prints(docs: DataFrame, k: int, t: int, short: list[int], among) -> DataFrame:
+    """(id, doc_id, n_words, keys, text): fingerprints that are among the items', and the text if there are any."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = TaskContext.get().partitionId() << 33
         for b in batches:
             n, keys = [], []
-            for text in b.column(1).to_pylist():
-                h = word_hashes(words(text))
+            for text in b.column(1):
+                h = word_hashes(words(text.as_py()))
                 n.append(len(h))
-                got = [winnow(h, k, t)]
-                if item:
-                    got += [grams(h, len(h))] if 0 < len(h) < t else []
-                else:
-                    got += [np.unique(grams(h, m)) for m in short if m <= len(h)]
-                keys.append(_signed(np.concatenate(got)))
-            yield pa.record_batch([b.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.list_(pa.int64())), b.column(2)], ["id", "n_words", "keys", "own_id"])
+                got = _signed(np.concatenate([winnow(h, k, t), *(np.unique(grams(h, m)) for m in short if m <= len(h))]))
+                keys.append(got[_known(got, among)])
+            text = pa.array([x if len(y) else None for x, y in zip(b.column(1), keys, strict=True)], pa.binary())
+            yield pa.record_batch([pa.array(np.arange(at, at + len(n))), b.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.list_(pa.int64())), text], ["id", "doc_id", "n_words", "keys", "text"])
+            at += len(n)
 
-    return df.mapInArrow(run, "id long, n_words long, keys array<long>, own_id long")
+    return docs.mapInArrow(run, "id long, doc_id long, n_words long, keys array<long>, text binary")
 
 
-def _extended(df: DataFrame, t: int) -> DataFrame:
-    """Per candidate text the words inside any window of its candidate items, and the items with such windows."""
+def _hits(texts: DataFrame, t: int, short: list[int], among) -> DataFrame:
+    """(id, at, m, win) of every window of ``t`` words, and of the lengths of short items, that is among the items'."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            hit, n_items, ids = [], [], []
-            for text, items in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                h = word_hashes(words(text))
-                cover = np.zeros(len(h) + 1, np.int64)
-                own: dict[int, np.ndarray] = {}
-                found = set()
-                for x in items:
-                    w = word_hashes(words(x["t"]))
-                    m = min(t, len(w))
-                    if not 0 < m <= len(h):
-                        continue
-                    if m not in own:
-                        own[m] = grams(h, m)
-                    at = np.nonzero(np.isin(own[m], grams(w, m)))[0]
-                    if len(at):
-                        found.add(x["item_id"])
-                        np.add.at(cover, at, 1)
-                        np.add.at(cover, at + m, -1)
-                hit.append(int((np.cumsum(cover) > 0).sum()))
-                n_items.append(len(found))
-                ids.append(hashlib.sha256(",".join(sorted(map(str, found))).encode()).hexdigest())
-            yield pa.record_batch([b.column(0), pa.array(hit, pa.int64()), pa.array(n_items, pa.int64()), pa.array(ids, pa.string())], ["id", "n_hit", "n_items", "items_sha256"])
-
-    return df.mapInArrow(run, "id long, n_hit long, n_items long, items_sha256 string")
-
-
-def contamination(docs: DataFrame, items: DataFrame, t: int = 10, k: int = 5) -> DataFrame:
+            for i, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                h = word_hashes(words(text.as_py()))
+                for m in (*short, t):
+                    if m <= len(h):
+                        win = _signed(grams(h, m))
+                        at = np.nonzero(_known(win, among))[0]
+                        yield pa.record_batch([pa.array(np.full(len(at), i)), pa.array(at), pa.array(np.full(len(at), m)), pa.array(win[at])], ["id", "at", "m", "win"])
+
+    return texts.mapInArrow(run, "id long, at long, m long, win long")
+
+
+def contamination(docs: DataFrame, items: DataFrame, t: int = 10, k: int = 5, held: int = 4 << 20) -> DataFrame:
     """Words of ``docs(doc_id, text)`` inside windows of ``t`` consecutive words of ``items(item_id, text)``.
 
     An item of fewer than ``t`` words, but not none, is one window. Returns a row for each document row: doc_id,
@@ -94,26 +100,46 @@ def contamination(docs: DataFrame, items: DataFrame, t: int = 10, k: int = 5) ->
     their ids, sorted as strings and comma-joined), contaminated (n_hit > 0).
 
     Both tables are fingerprinted by winnowing (k-grams, windows of ``t - k + 1``), which meets every shared run of
-    ``t`` words; the fingerprints are equi-joined, and only documents that share one are read again, with the texts of
-    just those items, to extend the hits to exact windows. Items shorter than ``t`` are looked up by whole-run hashes
-    of their lengths. Spark broadcasts the item fingerprints only if their written size is small.
+    ``t`` words; items shorter than ``t`` give the hash of their whole run. Documents that share a fingerprint with an
+    item are extended: their windows are joined to the items' distinct windows, and the ids of items follow by window, so
+    a passage of many items is matched once. Up to ``held`` fingerprints, and windows, of items are counted and looked up
+    inside the tasks, so that no other leaves them; beyond that both joins are shuffled. Words, fingerprints and windows are
+    compared by 64-bit hashes.
 
     Null or wordless texts have no words and no hits. Items without id or words are ignored; repeated items count
     once. Repeated documents are returned one by one. Other columns are ignored. Empty tables are fine.
     """
-    ws = Workspace(docs.sparkSession, "winnow")
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("id", F.xxhash64("doc_id", "text"))
-    items = items.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
-    keys = ws.save(_prints(items.select("item_id", F.col("text").cast("binary"), "item_id"), k, t, [], True), "items")
-    short = [r[0] for r in keys.where(f"n_words > 0 and n_words < {t}").select("n_words").distinct().collect()]
-    keyed = ws.save(keys.select(F.col("id").alias("item_id"), F.explode("keys").alias("key")).distinct(), "item-keys")
-    prints = ws.save(_prints(docs.select("id", F.col("text").cast("binary"), "doc_id"), k, t, sorted(short), False), "prints")
-    pairs = ws.save(prints.select("id", F.explode("keys").alias("key")).join(keyed, "key").select("id", "item_id").distinct(), "pairs")
-    wanted = pairs.join(items, "item_id").groupBy("id").agg(F.collect_list(F.struct("item_id", F.col("text").cast("binary").alias("t"))).alias("items"))
-    wanted = ws.save(wanted, "wanted")
-    ids = ws.save(pairs.select("id").distinct(), "ids")
-    texts = ws.save(docs.join(small_side(ids, 16), "id", "left_semi").dropDuplicates(["id"]).select("id", F.col("text").cast("binary").alias("text")), "texts")
-    found = ws.save(_extended(texts.join(wanted, "id").select("id", "text", "items"), t), "found")
-    out = prints.select("id", F.col("own_id").alias("doc_id"), "n_words").join(found, "id", "left")
-    none = hashlib.sha256(b"").hexdigest()
-    return out.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"), F.coalesce("items_sha256", F.lit(none)).alias("items_sha256"), F.coalesce(F.col("n_hit") > 0, F.lit(False)).alias("contaminated"))
+    spark = docs.sparkSession
+    ws = Workspace(spark, "winnow")
+    items = items.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("binary").alias("text")).distinct()
+    prints = ws.save(_item_prints(items, k, t).where("n_words > 0"), "items")
+    short = sorted(r[0] for r in prints.where(f"n_words < {t}").select("n_words").distinct().collect())
+    owners = ws.save(prints.select("item_id", F.explode("windows").alias("win")).distinct(), "owners")
+
+    def lookup(keys: DataFrame):
+        """The distinct keys as a sorted broadcast array, if they are few."""
+        n = keys.count()
+        return spark.sparkContext.broadcast(np.sort(keys.toArrow().column(0).to_numpy())) if n <= held and fits_broadcast(n, 8) else None
+
+    keys = prints.select(F.explode("keys").alias("key")).distinct()
+    wins = owners.select("win").distinct()
+    among, among_wins = lookup(keys), lookup(wins)
+    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    rows = ws.save(_doc_prints(src, k, t, short, among), "prints")
+    near = rows.where("size(keys) > 0")
+    if among is None:
+        ids = rows.select("id", F.explode("keys").alias("key")).join(keys, "key", "left_semi").select("id").distinct()
+        near = near.join(ids, "id", "left_semi")
+    hits = _hits(near.select("id", "text"), t, short, among_wins)
+    hits = ws.save(hits if among_wins else hits.join(wins, "win", "left_semi"), "hits")
+    # words covered by windows that may overlap: ends are met in order
+    ends = F.array_sort(F.collect_list(F.struct("at", (F.col("at") + F.col("m")).alias("end"))))
+    zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("upto"))
+    cover = F.aggregate(ends, zero, lambda a, w: F.struct((a["n"] + F.greatest(w["end"] - F.greatest(w["at"], a["upto"]), F.lit(0))).alias("n"), F.greatest(a["upto"], w["end"]).alias("upto")))["n"]
+    covered = hits.groupBy("id").agg(cover.alias("n_hit"))
+    owned = hits.select("id", "win").distinct().join(owners, "win").select("id", F.col("item_id").cast("string").alias("item")).distinct()
+    owned = owned.groupBy("id").agg(F.count("*").alias("n_items"), F.sha2(F.array_join(F.sort_array(F.collect_list("item")), ","), 256).alias("items_sha256"))
+    found = ws.save(covered.join(owned, "id"), "found")
+    out = rows.select("id", "doc_id", "n_words").join(found, "id", "left")
+    none = F.sha2(F.lit("").cast("binary"), 256)
+    return out.select("doc_id", "n_words", *(F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("n_hit", "n_items")), F.coalesce("items_sha256", none).alias("items_sha256"), F.coalesce(F.col("n_hit") > 0, F.lit(False)).alias("contaminated"))
