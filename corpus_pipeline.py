@@ -46,7 +46,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with confirmed secrets replaced in their texts."""
     _release(spark)
-    return redact(docs, fit_forest(labelled_findings(spark)))
+    return redact(docs, fit_forest(labelled_findings(spark), docs))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

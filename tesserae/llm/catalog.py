@@ -22,8 +22,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = fit_forest(labelled_findings(spark))
-    found = scan(_table(spark, sf_dir, "documents"), model)
+    docs = _table(spark, sf_dir, "documents")
+    found = scan(docs, fit_forest(labelled_findings(spark), docs))
     return found.select("doc_id", "finding", "start", "kind", F.length("value").alias("n_chars"), F.sha2("value", 256).alias("value_sha256"), "probability", "is_secret")
 
 
