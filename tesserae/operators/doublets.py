@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tesserae.operators.neighbors import knn
+from tesserae.operators.running import sum_below
+
 
 def overlap_zone(df: DataFrame, score: str, klass: str, least: float = 0.05, points: int = 512, digits: int = 4) -> DataFrame:
     """One row (lo, hi, n_singlet, n_doublet): first and last grid point where both classes' densities, each scaled to
@@ -48,31 +49,23 @@ def guard_small(df: DataFrame, sample: str, least_cells: int = 25, skip: tuple[s
     return out.withColumns({"score": F.when(small, 0.0).otherwise(F.col("score")), "class": F.when(small, "singlet").otherwise(F.col("class"))}).drop("_n")
 
 
-def score_doublets(latent: DataFrame, batch: str, rate: float, k: int = 15, seed: int = 42, block: int = 20000) -> DataFrame:
+def score_doublets(latent: DataFrame, batch: str, rate: float, k: int = 15, seed: int = 42) -> DataFrame:
     """(batch, cell_id, score, class): share of simulated doublets among a cell's neighbours.
 
-    Not the reference's boosted classifier: random pairs of a batch are averaged, the nearest ``k`` of cells and pairs
-    are counted, and the ``rate`` highest scores of a batch are doublets. Batches of more than ``block`` cells are
-    dealt by hash into blocks of about that size, each scored by itself, so no task gathers an unbounded batch.
+    Not the reference's boosted classifier: as many random pairs as a batch has cells are averaged, the nearest ``k`` of the
+    batch's cells and pairs are counted, and scores above the batch's exact quantile 1 - ``rate`` are doublets. Pairs are
+    drawn by hashes of cell_id, so they are the same in every run. A batch of any size is scored as a whole, block by block.
     """
-    n = latent.groupBy(batch).agg(F.count("*").alias("_n"))
-    dealt = latent.join(n, batch).withColumn("_block", F.pmod(F.xxhash64("cell_id"), F.ceil(F.col("_n") / F.lit(block))).cast("int"))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = np.stack(pdf["vec"].to_numpy()).astype(np.float64)
-        rng = np.random.default_rng(seed)
-        pairs = rng.integers(0, len(x), (len(x), 2))
-        y = np.concatenate([x, (x[pairs[:, 0]] + x[pairs[:, 1]]) / 2])
-        kk, score = min(k, len(y) - 1), np.zeros(len(x))
-        norm = (y * y).sum(1)
-        for i in range(0, len(x), 512):
-            part = x[i : i + 512]
-            d = (part * part).sum(1)[:, None] + norm[None] - 2 * part @ y.T
-            d[np.arange(len(d)), np.arange(i, i + len(d))] = np.inf
-            near = np.argpartition(d, kk - 1, axis=1)[:, :kk] if kk else np.zeros((len(d), 0), int)
-            score[i : i + 512] = (near >= len(x)).mean(1) if kk else 0
-        cut = np.quantile(score, 1 - rate) if len(score) else 1
-        return pd.DataFrame({batch: pdf[batch], "cell_id": pdf["cell_id"], "score": score, "class": np.where(score > cut, "doublet", "singlet")})
-
-    types = dict(latent.dtypes)
-    return dealt.groupBy(batch, "_block").applyInPandas(run, f"{batch} {types[batch]}, cell_id {types['cell_id']}, score double, class string")
+    cells = sum_below(latent.select(batch, "cell_id", F.col("vec").cast("array<double>").alias("vec")), [batch], F.md5(F.col("cell_id").cast("string")), F.lit(1))
+    cells = cells.withColumnRenamed("below", "at").withColumn("id", F.col("cell_id").cast("string"))
+    n = cells.groupBy(batch).agg(F.count("*").alias("n"))
+    drawn = cells.join(n, batch).select(batch, "id", *(F.pmod(F.xxhash64("id", F.lit(seed), F.lit(i)), F.col("n")).alias(f"at{i}") for i in (1, 2)))
+    for i in (1, 2):
+        drawn = drawn.join(cells.select(batch, F.col("at").alias(f"at{i}"), F.col("vec").alias(f"vec{i}")), [batch, f"at{i}"])
+    pairs = drawn.select(batch, F.concat(F.lit("p"), "id").alias("id"), F.zip_with("vec1", "vec2", lambda x, y: (x + y) / 2).alias("vec"))
+    mine = cells.select(batch, F.concat(F.lit("c"), "id").alias("id"), "vec")
+    near = knn(mine, mine.unionByName(pairs), k, include_self=False, by=batch)
+    score = near.groupBy(batch, "query").agg(F.avg(F.col("neighbour").startswith("p").cast("double")).alias("score"))
+    out = cells.join(score.select(batch, F.expr("substring(query, 2)").alias("id"), "score"), [batch, "id"], "left").select(batch, "cell_id", F.coalesce("score", F.lit(0.0)).alias("score"))
+    cut = out.groupBy(batch).agg(F.percentile("score", F.lit(1 - rate)).alias("cut"))
+    return out.join(cut, batch).select(batch, "cell_id", "score", F.when(F.col("score") > F.col("cut"), "doublet").otherwise("singlet").alias("class"))

@@ -11,25 +11,40 @@ from tesserae.operators.components import connected_components
 from tesserae.plans.workspace import Workspace
 
 
-def knn(queries: DataFrame, anchors: DataFrame, k: int, id_: str = "id", vec: str = "vec", include_self: bool = True, q_block: int = 2048, a_block: int = 8192) -> DataFrame:
+def _blocks(left: DataFrame, right: DataFrame, by: list[str], q_block: int, a_block: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides, dealt by a hash of ``id`` into blocks of about so many rows (within ``by``), each block copied to the blocks
+    of the other side that it meets: columns q and a number the pair."""
+
+    def size(df: DataFrame, block: int, name: str) -> DataFrame:
+        return df.groupBy(*by).agg(F.greatest(F.lit(1), F.ceil(F.count("*") / F.lit(block))).cast("int").alias(name))
+
+    n = size(left, q_block, "_qb").join(size(right, a_block, "_ab"), by) if by else size(left, q_block, "_qb").join(F.broadcast(size(right, a_block, "_ab")))
+    left, right = (x.join(n, by) if by else x.join(F.broadcast(n)) for x in (left, right))
+    mine = lambda c: F.pmod(F.xxhash64("id"), F.col(c)).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    left = left.withColumn("q", mine("_qb")).withColumn("a", every("_ab"))
+    right = right.withColumn("a", mine("_ab")).withColumn("q", every("_qb")).drop("_qb", "_ab")
+    return left.drop("_qb", "_ab"), right.select(*(F.col(c).alias(c) for c in right.columns))  # its own columns, should both be one table
+
+
+def knn(queries: DataFrame, anchors: DataFrame, k: int, id_: str = "id", vec: str = "vec", include_self: bool = True, q_block: int = 2048, a_block: int = 8192, by: str | None = None) -> DataFrame:
     """(query, neighbour, rank from 1, dist): the ``k`` nearest anchors of each query, Euclidean, ties to the smaller id.
 
     Both sides are dealt by hash into blocks of about ``q_block`` and ``a_block`` rows; each block of queries meets each
     block of anchors by an equi-join of block numbers, in a task that returns ``k`` rows a query. Distances that decide
-    are recomputed exactly. Without ``include_self``, an anchor of the query's own id is no neighbour.
+    are recomputed exactly. Without ``include_self``, an anchor of the query's own id is no neighbour. With ``by``, a query's
+    neighbours are those of its own group, which is then the first column.
     """
-    nq, na = queries.count(), anchors.count()
-    qb, ab = max(1, -(-nq // q_block)), max(1, -(-na // a_block))
-    kinds = dict(queries.dtypes)[id_]
+    kinds, keys = dict(queries.dtypes)[id_], [by] if by else []
 
-    def dealt(df: DataFrame, blocks: int) -> DataFrame:
-        return df.select(F.col(id_).alias("id"), F.col(vec).cast("array<double>").alias("vec"), F.pmod(F.xxhash64(id_), F.lit(blocks)).cast("int").alias("b"))
+    def named(df: DataFrame) -> DataFrame:
+        return df.select(*keys, F.col(id_).alias("id"), F.col(vec).cast("array<double>").alias("vec"))
 
-    left = dealt(queries, qb).select("id", "vec", F.col("b").alias("q"), F.explode(F.sequence(F.lit(0), F.lit(ab - 1))).alias("a"))
-    right = dealt(anchors, ab).select("id", "vec", F.explode(F.sequence(F.lit(0), F.lit(qb - 1))).alias("q"), F.col("b").alias("a"))
+    left, right = _blocks(named(queries), named(anchors), keys, q_block, a_block)
 
     def run(q: pd.DataFrame, a: pd.DataFrame) -> pd.DataFrame:
         out = {"query": [], "neighbour": [], "dist": []}
+        group = {by: q[by].iloc[0]} if by and len(q) else {by: []} if by else {}
         if len(q) and len(a):
             a = a.sort_values("id")
             x, y, ids = np.stack(q["vec"].to_numpy()), np.stack(a["vec"].to_numpy()), a["id"].to_numpy()
@@ -49,11 +64,12 @@ def knn(queries: DataFrame, anchors: DataFrame, k: int, id_: str = "id", vec: st
                     out["query"] += [me] * len(best)
                     out["neighbour"] += list(ids[near[best]])
                     out["dist"] += list(d[best])
-        return pd.DataFrame(out)
+        return pd.DataFrame(out).assign(**group)[[*keys, *out]]
 
-    found = left.groupBy("q", "a").cogroup(right.groupBy("q", "a")).applyInPandas(run, f"query {kinds}, neighbour {kinds}, dist double")
-    w = Window.partitionBy("query").orderBy("dist", "neighbour")
-    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query", "neighbour", F.col("rank").cast("int").alias("rank"), "dist")
+    head = f"{by} {dict(queries.dtypes)[by]}, " if by else ""
+    found = left.groupBy(*keys, "q", "a").cogroup(right.groupBy(*keys, "q", "a")).applyInPandas(run, f"{head}query {kinds}, neighbour {kinds}, dist double")
+    w = Window.partitionBy(*keys, "query").orderBy("dist", "neighbour")
+    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select(*keys, "query", "neighbour", F.col("rank").cast("int").alias("rank"), "dist")
 
 
 def project(queries: DataFrame, anchors: DataFrame, k: int = 30, id_: str = "id") -> DataFrame:
@@ -104,33 +120,47 @@ def graph_connectivity(edges: DataFrame, nodes: DataFrame, id_: str = "id", labe
     return size.groupBy("label").agg(F.sum("n").alias("n"), F.max("n").alias("largest")).withColumn("connectivity", F.col("largest") / F.col("n"))
 
 
-def silhouettes(points: DataFrame, id_: str = "id", vec: str = "vec", label: str = "label", sample: int = 5000, seed: int = 42) -> DataFrame:
-    """(id, label, silhouette) by exact Euclidean distances within at most ``sample`` points drawn by hash (the
-    reference's own cap). A point alone in its cluster has 0; with one cluster there are no rows."""
-    drawn = points.where(F.col(label).isNotNull()).orderBy(F.xxhash64(F.col(id_), F.lit(seed)), id_).limit(sample).select(F.col(id_).alias("id"), F.col(vec).cast("array<double>").alias("vec"), F.col(label).alias("label"))
-    rows = drawn.toPandas()
-    shared = points.sparkSession.sparkContext.broadcast((np.stack(rows["vec"].to_numpy()) if len(rows) else np.empty((0, 1)), rows["label"].to_numpy()))
-
-    def run(frames):
-        y, labs = shared.value
-        kinds, inv, n = np.unique(labs, return_inverse=True, return_counts=True)
-        for pdf in frames:
-            s = []
-            for v, mine in zip(pdf["vec"], pdf["label"], strict=True):
-                d = np.bincount(inv, np.sqrt(((y - np.asarray(v)) ** 2).sum(1)), minlength=len(kinds))
-                me = int(np.searchsorted(kinds, mine))
-                if n[me] < 2:
-                    s.append(0.0)
-                    continue
-                a, b = d[me] / (n[me] - 1), np.delete(d / n, me).min()
-                s.append((b - a) / max(a, b) if max(a, b) > 0 else 0.0)
-            yield pdf[["id", "label"]].assign(silhouette=s)
-
-    kinds = dict(drawn.dtypes)
-    if rows["label"].nunique() < 2:
-        return drawn.select("id", "label", F.lit(None).cast("double").alias("silhouette")).limit(0)
-    frame = points.sparkSession.createDataFrame(rows, drawn.schema).repartition(8)
-    return frame.mapInPandas(run, f"id {kinds['id']}, label {kinds['label']}, silhouette double")
+def silhouettes(points: DataFrame, id_: str = "id", vec: str = "vec", label: str = "label", by: str | None = None, sample: int | None = None, seed: int = 42, block: int = 2048) -> DataFrame:
+    """(by, id, label, silhouette) of all points by exact Euclidean distances; ids are distinct.
+
+    Blocks of points meet, and a task returns for each point the sum of its distances to each label of the other block. A
+    point alone in its label has 0; with one label there are no rows. With ``by``, each group is scored by itself. Rows of
+    null label take no part. ``sample`` draws that many points by a hash first, where an estimate will do.
+    """
+    keys = [by] if by else []
+    x = points.where(F.col(label).isNotNull())
+    if sample is not None:
+        x = x.orderBy(F.xxhash64(F.col(id_), F.lit(seed)), id_).limit(sample)
+    x = x.select(*keys, F.col(id_).alias("id"), F.col(vec).cast("array<double>").alias("vec"), F.col(label).alias("label"))
+    types = dict(x.dtypes)
+    left, right = _blocks(x, x, keys, block, block)
+
+    def run(q: pd.DataFrame, a: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(q) and len(a):
+            y = np.stack(a["vec"].to_numpy())
+            kinds, of = np.unique(a["label"].to_numpy(), return_inverse=True)
+            n = np.bincount(of)
+            for i, v, mine in zip(q["id"], q["vec"], q["label"], strict=True):
+                s = np.bincount(of, np.sqrt(((y - v) ** 2).sum(1)))
+                out += zip([i] * len(kinds), [mine] * len(kinds), kinds, s, n, strict=True)
+        frame = pd.DataFrame(out, columns=["id", "label", "other", "s", "n"])
+        return frame.assign(**{by: q[by].iloc[0] if len(q) else None})[[*keys, *frame.columns]] if by else frame
+
+    head = f"{by} {types[by]}, " if by else ""
+    met = left.groupBy(*keys, "q", "a").cogroup(right.groupBy(*keys, "q", "a")).applyInPandas(run, f"{head}id {types['id']}, label {types['label']}, other {types['label']}, s double, n long")
+    met = met.groupBy(*keys, "id", "label", "other").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
+    own = F.col("label") == F.col("other")
+    near = met.groupBy(*keys, "id", "label").agg(F.max(F.when(own, F.col("n"))).alias("n"), F.max(F.when(own, F.try_divide("s", F.col("n") - 1))).alias("a"), F.min(F.when(~own, F.col("s") / F.col("n"))).alias("b"))
+    score = F.when(F.col("n") < 2, 0.0).otherwise(F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0)))
+    return near.where("b is not null").select(*keys, "id", "label", score.alias("silhouette"))
+
+
+def batch_asw(points: DataFrame, label: str, batch: str, id_: str = "id", vec: str = "vec") -> DataFrame:
+    """One row ``asw_batch``: 1 - |silhouette| of batches within each label, averaged by label, then over labels of two
+    batches or more; 1 is well mixed."""
+    s = silhouettes(points.withColumn("within", F.col(label)), id_, vec, batch, by="within")
+    return s.groupBy("within").agg(F.avg(1 - F.abs("silhouette")).alias("asw")).agg(F.avg("asw").alias("asw_batch"))
 
 
 def asw(scores: DataFrame) -> DataFrame:

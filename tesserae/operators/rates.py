@@ -41,7 +41,7 @@ def interpolate_rates(df: DataFrame, rates: DataFrame, cells: str = "cells", che
 
 def table_chemistry(chemistry: Column) -> Column:
     """Table that a chemistry uses: v2 shares v3's, 5' equals 5p; null and unknown use v3."""
-    c = F.lower(F.trim(chemistry))
+    c = F.lower(F.trim(chemistry))  # fixed values: the spellings of chemistries
     return F.when(c == "v4", "v4").when(c.isin("5p", "5prime", "5'"), "5p").otherwise("v3")
 
 

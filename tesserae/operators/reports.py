@@ -119,13 +119,17 @@ def to_long(df: DataFrame, ids: list[str], values: list[str], names: dict[str, s
     return long.withColumn("stage", F.coalesce(F.try_element_at(m, F.col("stage")), F.col("stage")))
 
 
-def split_columns(df: DataFrame, preferred: list[str], low: int = 2, high: int = 24, excluded: str = r"_res[0-9.]|^leiden_res|^integrated\.|^Level_|_clusters$|^celltype|^ident$") -> DataFrame:
+# fixed values: columns of clusterings and labels, which figures are not split by; patterns and whole names
+UNSPLIT = (r"_res[0-9]", r"_res\.", "^SCT_snn_res", "^RNA_snn_res", r"^integrated\.", "(?i)^leiden_res", "^Level_", "_clusters$", "^celltype_final$", "^celltype$", "^seurat_clusters$", "^ident$")
+
+
+def split_columns(df: DataFrame, preferred: list[str], low: int = 2, high: int = 24, excluded: tuple[str, ...] = UNSPLIT) -> DataFrame:
     """(column, n_levels) of text columns with ``low`` to ``high`` distinct non-empty values; preferred ones first."""
     texts = [c for c, t in df.dtypes if t in ("string", "boolean")]
     levels = df.agg(*(F.count_distinct(F.nullif(F.trim(F.col(c).cast("string")), F.lit(""))).alias(c) for c in texts))
     long = levels.unpivot([], texts, "column", "n_levels")
     order = F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for i, c in enumerate(preferred) for x in (c, i))), F.col("column")), F.lit(len(preferred))) if preferred else F.lit(0)
-    return long.where(F.col("n_levels").between(low, high) & ~F.col("column").rlike(excluded)).orderBy(order, "column")
+    return long.where(F.col("n_levels").between(low, high) & ~F.col("column").rlike("|".join(f"(?:{p})" for p in excluded) or "^$")).orderBy(order, "column")
 
 
 def majority_map(df: DataFrame, source: str, target: str) -> DataFrame:
@@ -137,4 +141,4 @@ def majority_map(df: DataFrame, source: str, target: str) -> DataFrame:
 
 def subsample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """``n`` rows by a hash of the key and the seed: the same rows in every run."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    return df.orderBy(F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}"))), key).limit(n)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tesserae.operators.running import sum_below
+
 
 def contingency(df: DataFrame, a: str, b: str) -> DataFrame:
     """(a, b, n) of rows with both labels; all agreement scores need no more than this."""
@@ -77,12 +79,11 @@ def best_resolution(scores: DataFrame, min_resolution: float = 0.4, min_clusters
 
 def average_ranks(df: DataFrame, value: str, group: str, by: list[str] | None = None) -> DataFrame:
     """by..., group, value, m (rows), r (their tie-averaged rank). Equal values are counted before they are ranked, so
-    a sort holds distinct values only."""
+    a sort holds distinct values only, and ranks add up over ranges of them."""
     by = by or []
     n = df.groupBy(*by, group, value).agg(F.count("*").alias("m"))
     t = n.groupBy(*by, value).agg(F.sum("m").alias("t"))
-    w = Window.partitionBy(*by).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    t = t.withColumn("r", F.sum("t").over(w) - F.col("t") + (F.col("t") + 1) / F.lit(2.0))
+    t = sum_below(t, by, F.col(value), F.col("t")).withColumn("r", F.col("below") + (F.col("t") + 1) / F.lit(2.0)).drop("below")
     return n.join(t, [*by, value])
 
 
@@ -98,6 +99,49 @@ def rank_sums(df: DataFrame, value: str, group: str, by: list[str] | None = None
     return g.withColumns({"auroc": F.try_divide(F.col("u"), F.col("n1") * F.col("n2")), "z": F.try_divide(F.col("u") - F.col("n1") * F.col("n2") / 2, F.nullif(F.sqrt(var), F.lit(0.0)))})
 
 
+def rank_genes(counts: DataFrame, cells: DataFrame, cluster: str = "cluster", gene: str = "gene") -> DataFrame:
+    """(gene, cluster, n1, n2, rank_sum, auroc, z, pct_in, pct_out): one-vs-rest Wilcoxon test of every gene and cluster.
+
+    ``counts(cell, gene, value)`` holds positive values; all other cells of ``cells(cell, cluster)`` count as zeros. The
+    zeros of a gene are one block of ties, counted and never made. Genes without a positive value have no rows.
+    """
+    size = cells.groupBy(cluster).agg(F.count("*").alias("n1"))
+    whole = size.agg(F.sum("n1").alias("total"))
+    hit = counts.where("value > 0").join(cells, "cell")
+    n = hit.groupBy(gene, cluster, "value").agg(F.count("*").alias("m"))
+    t = sum_below(n.groupBy(gene, "value").agg(F.sum("m").alias("t")), [gene], F.col("value"), F.col("t"))
+    cube = lambda c: F.pow(c.cast("double"), F.lit(3)) - c
+    per = t.groupBy(gene).agg(F.sum("t").alias("some"), F.sum(cube(F.col("t"))).alias("ties")).join(F.broadcast(whole))
+    per = per.withColumn("zeros", F.col("total") - F.col("some")).withColumn("ties", F.col("ties") + cube(F.col("zeros")))
+    own = n.join(t, [gene, "value"]).groupBy(gene, cluster).agg(F.sum("m").alias("k"), F.sum(F.col("m") * (F.col("below") + (F.col("t") + 1) / 2.0)).alias("above"))
+    x = per.join(F.broadcast(size)).join(own, [gene, cluster], "left").withColumns({"k": F.coalesce("k", F.lit(0)), "above": F.coalesce("above", F.lit(0.0))})
+    x = x.withColumn("n2", F.col("total") - F.col("n1"))
+    x = x.withColumn("rank_sum", F.col("above") + F.col("k") * F.col("zeros") + (F.col("n1") - F.col("k")) * (F.col("zeros") + 1) / 2.0)
+    u = F.col("rank_sum") - F.col("n1") * (F.col("n1") + 1) / 2
+    var = F.col("n1") * F.col("n2") / 12 * (F.col("total") + 1 - F.try_divide(F.col("ties"), F.col("total") * (F.col("total") - 1)))
+    return x.select(gene, cluster, "n1", "n2", "rank_sum", F.try_divide(u, F.col("n1") * F.col("n2")).alias("auroc"), F.try_divide(u - F.col("n1") * F.col("n2") / 2, F.nullif(F.sqrt(var), F.lit(0.0))).alias("z"), (F.col("k") / F.col("n1")).alias("pct_in"), F.try_divide(F.col("some") - F.col("k"), F.col("n2")).alias("pct_out"))
+
+
+def label_hierarchy(counts: DataFrame, cells: DataFrame, markers: DataFrame, cluster: str = "cluster", depth: int = 3) -> DataFrame:
+    """(cluster, level_k, level_k_score, level_k_auc, level_k_expr for k from 1): best label of each cluster, level by level.
+
+    ``markers(level, label, parent, gene)``; below the first level only the children of the label chosen before compete.
+    Ties go to the smaller name; a label without children ends the descent, and the lower levels are null.
+    """
+    out = cells.select(cluster).distinct()
+    for k in range(1, depth + 1):
+        level = markers.where(F.col("level") == k)
+        s = marker_scores(counts, cells, level.select("label", "gene"), cluster)
+        if k > 1:
+            tree = level.select("label", F.col("parent").alias(f"level_{k - 1}")).distinct()
+            s = s.join(tree, "label").join(out.select(cluster, f"level_{k - 1}"), [cluster, f"level_{k - 1}"])
+        rank = Window.partitionBy(cluster).orderBy(F.desc_nulls_last(F.round("score", 9)), "label")
+        best = s.withColumn("_n", F.row_number().over(rank)).where("_n = 1")
+        best = best.select(cluster, F.col("label").alias(f"level_{k}"), *(F.col(c).alias(f"level_{k}_{c}") for c in ("score", "auc", "expr")))
+        out = out.join(best, cluster, "left")
+    return out
+
+
 def marker_scores(counts: DataFrame, cells: DataFrame, markers: DataFrame, cluster: str = "cluster") -> DataFrame:
     """(cluster, label, auc, expr, score): AUROC of the mean marker expression of a cluster's cells against all others,
     share of expressed marker entries, and their product.

@@ -21,7 +21,11 @@ def prefer_singlets(datasets: DataFrame, on: str = "dataset") -> DataFrame:
     return out.where((F.col("_any") == 0) | ~name.contains("_with_doublet_calls")).drop("_any")
 
 
-def complete_sample(cells: DataFrame, fallback: str, aliases: tuple[str, ...] = ("sample_id", "sample", "orig.ident", "batch", "library")) -> DataFrame:
+# fixed values: columns that name a cell's sample, in the order in which they are tried
+SAMPLE_ALIASES = ("sample_id", "sample", "donor_id", "batch", "orig.ident", "library_id")
+
+
+def complete_sample(cells: DataFrame, fallback: str, aliases: tuple[str, ...] = SAMPLE_ALIASES) -> DataFrame:
     """Cells with ``sample_id``: the first present alias that is not missing, else a constant."""
     have = [F.when(~is_missing(F.col(f"`{c}`").cast("string")), F.col(f"`{c}`").cast("string")) for c in aliases if c in cells.columns]
     return cells.withColumn("sample_id", F.coalesce(*have, F.lit(fallback)))
@@ -43,9 +47,7 @@ def first_usable(df: DataFrame, candidates: list[str]) -> str | None:
     return next((c for i, c in enumerate(have) if r[i]), None)
 
 
-def join_shared(left: DataFrame, right: DataFrame, on: str, least: int = 10) -> DataFrame:
-    """Inner join by cell; fewer than ``least`` shared cells are an error. Never by position."""
+def join_shared(left: DataFrame, right: DataFrame, on: str, least: int = 10) -> DataFrame | None:
+    """Inner join by cell, never by position; None, so that the method is passed over, with fewer than ``least`` shared cells."""
     out = left.join(right, on)
-    if (n := out.select(on).distinct().limit(least).count()) < least:
-        raise ValueError(f"only {n} shared {on}")
-    return out
+    return out if out.select(on).distinct().limit(least).count() >= least else None

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tesserae.operators.running import sum_below
+
 
 @dataclass(frozen=True)
 class Method:
@@ -104,18 +106,15 @@ def renyi_threshold(df: DataFrame, by: list[str], value: str, bins: int = 256) -
 def knee_threshold(df: DataFrame, by: list[str], value: str) -> DataFrame:
     """Value at the knee of the descending log-log rank curve; with fewer than five distinct values, the median.
 
-    Only distinct positive values are ranked, with their multiplicities, so a group's sort holds no repeated rows.
+    Only distinct positive values are ranked, with their multiplicities, range by range, so no task holds a whole group.
     """
     x = df.where(F.col(value) > 0).select(*by, F.col(value).cast("double").alias("v"))
     d = x.groupBy(*by, "v").agg(F.count("*").alias("m"))
-    w = Window.partitionBy(*by).orderBy(F.desc("v"))
-    g = Window.partitionBy(*by)
-    d = d.withColumn("first", F.sum("m").over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col("m") + 1)
-    d = d.withColumns({"x": F.log10("first"), "y": F.log10(F.col("v") + 1), "n": F.sum("m").over(g), "k": F.count("*").over(g)})
-    nx = F.log10("n")
-    sy, ly = F.max("y").over(g), F.min("y").over(g)
-    d = d.withColumn("dist", F.round(F.try_divide(F.col("x"), nx) + F.try_divide(F.col("y") - ly, sy - ly) - 1, 9))
-    best = _first(d, by, [F.desc("dist"), F.desc("v")])
+    d = sum_below(d, by, -F.col("v"), F.col("m")).withColumns({"x": F.log10(F.col("below") + 1), "y": F.log10(F.col("v") + 1)})
+    span = d.groupBy(*by).agg(F.log10(F.sum("m")).alias("nx"), F.max("y").alias("sy"), F.min("y").alias("ly"))
+    d = d.join(span, by) if by else d.join(F.broadcast(span))
+    dist = F.round(F.try_divide(F.col("x"), F.col("nx")) + F.try_divide(F.col("y") - F.col("ly"), F.col("sy") - F.col("ly")) - 1, 9)
+    best = d.groupBy(*by).agg(F.max(F.struct(dist.alias("dist"), F.col("v"))).alias("best")).select(*by, F.col("best.v").alias("v"))
     few = x.groupBy(*by).agg(F.median("v").alias("med"), F.count_distinct("v").alias("distinct"))
     best = best.join(few, by) if by else best.join(F.broadcast(few))
     return best.select(*by, F.when(F.col("distinct") < 5, F.col("med")).otherwise(F.col("v")).alias("threshold"))

@@ -78,5 +78,5 @@ def singlet_preference(spark, d):
 @query("SELECT c_custkey, coalesce(nullif(CASE WHEN c_mktsegment = 'MACHINERY' THEN ' ' ELSE c_mktsegment END, ' '), 'q1') sample_id, 'query' study FROM customer")
 def condition_completion(spark, d):
     """G4 G5."""
-    c = table(spark, d, "customer").select("c_custkey", F.when(F.col("c_mktsegment") == "MACHINERY", " ").otherwise(F.col("c_mktsegment")).alias("library"))
+    c = table(spark, d, "customer").select("c_custkey", F.when(F.col("c_mktsegment") == "MACHINERY", " ").otherwise(F.col("c_mktsegment")).alias("library_id"))
     return selection.complete_conditions(selection.complete_sample(c, "q1"), ["study", "sample_id"], "sample_id").select("c_custkey", "sample_id", "study")

@@ -91,6 +91,26 @@ def wilcoxon_ranks(spark, d):
     return r.select("event_type", "n1", F.col("rank_sum").cast("double").alias("rank_sum"), F.round("auroc", 9).alias("auroc"), F.round("z", 6).alias("z"))
 
 
+@query(
+    """
+WITH c AS (SELECT o_orderkey cell, o_orderstatus cluster FROM orders), s AS (SELECT cluster, count(*) n1 FROM c GROUP BY 1), w AS (SELECT count(*) total FROM c),
+h AS (SELECT l_partkey gene, cell, cluster, sum(l_quantity) v FROM lineitem JOIN c ON cell = l_orderkey WHERE l_partkey <= 100 GROUP BY 1, 2, 3),
+f AS (SELECT g.gene, c.cell, c.cluster, coalesce(h.v, 0) v FROM (SELECT DISTINCT gene FROM h) g CROSS JOIN c LEFT JOIN h ON h.gene = g.gene AND h.cell = c.cell),
+n AS (SELECT gene, cluster, v, count(*) m FROM f GROUP BY 1, 2, 3), t AS (SELECT gene, v, sum(m) t FROM n GROUP BY 1, 2),
+r AS (SELECT gene, v, t, sum(t) OVER (PARTITION BY gene ORDER BY v ROWS UNBOUNDED PRECEDING) - t + (t + 1) / 2.0 r FROM t),
+k AS (SELECT gene, sum(pow(t::DOUBLE, 3) - t) ties FROM t GROUP BY 1),
+x AS (SELECT gene, cluster, sum(r * m)::DOUBLE rs, coalesce(sum(m) FILTER (v > 0), 0) k FROM n JOIN r USING (gene, v) GROUP BY 1, 2), y AS (SELECT gene, sum(k) a FROM x GROUP BY 1)
+SELECT gene, cluster, n1, (total - n1)::BIGINT n2, rs rank_sum, round((rs - n1 * (n1 + 1) / 2) / (n1 * (total - n1)), 9) auroc,
+round((rs - n1 * (n1 + 1) / 2 - n1 * (total - n1) / 2) / sqrt(n1 * (total - n1) / 12 * (total + 1 - ties / (total::DOUBLE * (total - 1)))), 6) z, round(k / n1, 9) pct_in, round((a - k) / (total - n1), 9) pct_out
+FROM x JOIN y USING (gene) JOIN k USING (gene) JOIN s USING (cluster), w"""
+)
+def rank_genes(spark, d):
+    """One-vs-rest test of each gene with its zeros."""
+    c = counts(spark, d).where("gene <= 100").groupBy("cell", "gene").agg(F.sum("count").alias("value"))
+    cells = table(spark, d, "orders").selectExpr("o_orderkey as cell", "o_orderstatus as cluster")
+    return scores.rank_genes(c, cells).withColumns({x: F.round(x, p) for x, p in (("auroc", 9), ("z", 6), ("pct_in", 9), ("pct_out", 9))})
+
+
 _MARK = [("reds", "red ring"), ("reds", "red widget"), ("blues", "blue bolt"), ("blues", "blue ring"), ("hots", "hot bolt")]
 
 
@@ -222,15 +242,16 @@ def active_metrics(spark, d):
 
 @query(
     f"""
-WITH {_E}, a AS (SELECT id, v, v[1] x, v[2] y FROM e WHERE id < 400), q AS (SELECT id, v FROM e WHERE id >= 400),
+WITH {_E}, h AS (SELECT *, ('0x' || substr(md5(id::VARCHAR), 1, 4))::INT % 5 > 0 ref FROM e), a AS (SELECT id, v, v[1] x, v[2] y FROM h WHERE ref), q AS (SELECT id, v FROM h WHERE NOT ref),
 k AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY d, n) r FROM (SELECT q.id q, a.id n, x, y, list_distance(q.v, a.v) d FROM q, a)),
 o AS (SELECT quantile_cont(d, 0.95) ref FROM (SELECT d, row_number() OVER (PARTITION BY i ORDER BY d, j) r FROM (SELECT a.id i, b.id j, list_distance(a.v, b.v) d FROM a, a b)) WHERE r = 5)
 SELECT q AS query, round(sum(x / (d + 1e-6)) / sum(1 / (d + 1e-6)), 6) x, round(sum(y / (d + 1e-6)) / sum(1 / (d + 1e-6)), 6) y, round(min(d), 6) d1, round(least(greatest(1 - min(d) / (SELECT greatest(ref, 1e-6) FROM o), 0), 1), 6) similarity FROM k WHERE r <= 30 GROUP BY 1"""
 )
 def knn_projection(spark, d):
-    """G1 G2 G9."""
+    """A fifth of the points, by a hash, placed on the map of the others."""
     v = _vec(spark, d).withColumns({"x": F.col("vec")[0].cast("double"), "y": F.col("vec")[1].cast("double")})
-    p = neighbors.project(v.where("id >= 400"), v.where("id < 400"))
+    ref = F.conv(F.substring(F.md5(F.col("id").cast("string")), 1, 4), 16, 10).cast("int") % 5 > 0
+    p = neighbors.project(v.where(~ref), v.where(ref))
     return p.select("query", *(F.round(c, 6).alias(c) for c in ("x", "y", "d1", "similarity")))
 
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tesserae.operators import doublets, metrics, rates, reports, thresholds
+from tesserae.operators import doublets, metrics, qc, rates, reports, thresholds
 from tesserae.plans.registry import counts, query, table
+from tesserae.plans.workspace import Workspace
 
 _CELLS = """
 WITH m AS (SELECT o.o_orderpriority sample, l.l_orderkey cell, sum(l_quantity) nCount, count(*) FILTER (l_quantity > 0) nFeature,
@@ -34,18 +35,9 @@ SELECT sample, cells_raw, cells_filtered, cells_raw - cells_filtered cells_remov
 )
 def qc_mad_filter_summary(spark, d):
     """MAD bounds per sample, hard floor, inclusive keep, summary with TOTAL."""
-    cells = _cells(spark, d)
-    e = 1e-9
-
-    def t(value, bound, log, name):
-        return thresholds.mad_threshold(cells, ["sample"], value, 3, bound, log).select("sample", F.col("threshold").alias(name))
-
-    b = t("nCount", "lower", True, "cl")
-    for other in (t("nCount", "upper", True, "ch"), t("nFeature", "lower", True, "fl"), t("nFeature", "upper", True, "fh"), t("pct_mito", "upper", False, "mh")):
-        b = b.join(other, "sample")
-    kept = cells.join(b, "sample").withColumn(
-        "keep", F.col("nCount").between(F.col("cl") - e, F.col("ch") + e) & F.col("nFeature").between(F.greatest("fl", F.lit(2.0)) - e, F.col("fh") + e) & (F.col("pct_mito") <= F.col("mh") + e)
-    )
+    cells = Workspace(spark, "qc").save(_cells(spark, d), "cells")
+    bounds = qc.mad_bounds(qc.drop_empty(cells), "sample", {"nCount": True, "nFeature": True, "pct_mito": False})
+    kept = qc.mark_kept(cells, qc.raise_floors(bounds, {"nFeature": 2.0}), "sample")
     out = reports.qc_summary(kept, "sample", ["nCount", "nFeature"])
     keys = ["sample", "cells_raw", "cells_filtered", "cells_removed", "median_nCount_raw", "median_nCount_filtered", "median_nFeature_raw", "median_nFeature_filtered"]
     return out.select(*keys, F.round("pct_cells_removed", 6).alias("pct_cells_removed"))
@@ -171,7 +163,9 @@ def dbr_resolution(spark, d):
 def ghost_filter(spark, d):
     """P6 P7."""
     c = metrics.cell_metrics(counts(spark, d))
-    return c.agg(F.count("*").alias("n_cells"), F.count_if((F.col("nCount") > 100) & (F.col("nFeature") > 3)).alias("n_kept"), F.count_if((F.col("nCount") > 0) & (F.col("nFeature") > 0)).alias("n_nonzero"))
+    n = F.count("*")
+    parts = (c.agg(n.alias("n_cells")), qc.drop_ghosts(c, 100, 3).agg(n.alias("n_kept")), qc.drop_empty(c).agg(n.alias("n_nonzero")))
+    return parts[0].join(F.broadcast(parts[1])).join(F.broadcast(parts[2]))
 
 
 @query(_CELLS + " SELECT cell, nCount, nFeature, round(pct_mito, 6) pct_mito FROM m")
@@ -179,7 +173,7 @@ def pct_feature_set(spark, d):
     return _cells(spark, d).select("cell", "nCount", "nFeature", F.round("pct_mito", 6).alias("pct_mito"))
 
 
-@query("SELECT min(l_quantity) least, max(abs(l_quantity - round(l_quantity))) AS off, true is_counts FROM lineitem")
+@query("SELECT min(l_quantity) least, max(abs(l_quantity - round(l_quantity))) AS off, min(l_quantity) >= -1e-6 AND max(abs(l_quantity - round(l_quantity))) <= 1e-3 is_counts FROM lineitem")
 def raw_count_guard(spark, d):
     """P13 P14 F17."""
     return metrics.count_like(table(spark, d, "lineitem"), "l_quantity")

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tesserae.operators.harmonize import MANDATORY, manifest_problems
+from tesserae.operators.running import numbered
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -58,10 +59,22 @@ def _numbered(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).withColumn("n", F.row_number().over(Window.orderBy(F.monotonically_increasing_id())))
 
 
+def _files(spark: SparkSession, path: str) -> list[str]:
+    """The file itself, or the files of a folder of parts by name."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = [str(f.getPath()) for f in root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)]
+    return sorted(f for f in found if f.rsplit("/", 1)[1][0] not in "_.")
+
+
+def _matrix_lines(spark: SparkSession, paths: list[str], header: bool) -> DataFrame:
+    return spark.read.csv(paths, schema="value string", header=header, enforceSchema=True, comment="%", sep="\u0001", quote="")
+
+
 def read_mtx(spark: SparkSession, folder: str, sample_id: str, prefix: str = "") -> DataFrame:
     """10x triplet (matrix.mtx, barcodes.tsv, features.tsv or genes.tsv, each also .gz) as (sample_id, cell, gene, count).
 
-    The gene name is the second column if there is one. Matrix lines are split and joined to both small name tables.
+    The gene name is the second column if there is one. Matrix lines are split and joined to both small name tables. Each
+    of the three may be a folder of parts, as ``write_mtx`` makes them.
     """
 
     def pick(*names: str) -> str:
@@ -74,30 +87,28 @@ def read_mtx(spark: SparkSession, folder: str, sample_id: str, prefix: str = "")
                     return p
         raise FileNotFoundError(f"none of {names} in {folder}")
 
+    matrix = pick("matrix.mtx")
+    if spark.read.text(matrix).where(~F.col("value").startswith("%")).first() is None:
+        raise ValueError(f"{folder}: empty matrix")
+    # the first line that is no comment holds the dimensions: it goes as a header does, by its place and not by its numbers
+    first, *rest = _files(spark, matrix)
+    lines = _matrix_lines(spark, [first], header=True)
+    lines = lines.unionByName(_matrix_lines(spark, rest, header=False)) if rest else lines
     part = F.split(F.trim("value"), r"\s+")
-    body = spark.read.text(pick("matrix.mtx")).where(~F.col("value").startswith("%")).select(F.get(part, F.lit(0)).cast("long").alias("g"), F.get(part, F.lit(1)).cast("long").alias("c"), F.get(part, F.lit(2)).cast("float").alias("count"))
+    rows = lines.select(F.get(part, F.lit(0)).cast("long").alias("g"), F.get(part, F.lit(1)).cast("long").alias("c"), F.get(part, F.lit(2)).cast("float").alias("count"))
     cols = F.split("value", "\t")
     cells = _numbered(spark, pick("barcodes.tsv")).select(F.col("n").alias("c"), F.trim("value").alias("cell"))
     genes = _numbered(spark, pick("features.tsv", "genes.tsv")).select(F.col("n").cast("long").alias("g"), F.coalesce(F.get(cols, F.lit(1)), F.get(cols, F.lit(0))).alias("gene"))
-    # the line of dimensions names the last gene and cell with the number of entries; it is the first that is no comment
-    dims = spark.read.text(pick("matrix.mtx")).where(~F.col("value").startswith("%")).first()
-    if dims is None:
-        raise ValueError(f"{folder}: empty matrix")
-    first = [float(x) for x in dims[0].split()]
-    same = (F.col("g") == int(first[0])) & (F.col("c") == int(first[1])) & (F.col("count") == first[2])
-    rows = body.withColumn("_i", F.monotonically_increasing_id())
-    at = rows.where(same).agg(F.min("_i")).first()[0]
-    rows = rows.where(F.col("_i") != F.lit(at)).drop("_i")
     return rows.join(cells, "c").join(genes, "g").select(F.lit(sample_id).alias("sample_id"), "cell", "gene", "count")
 
 
 def write_mtx(counts: DataFrame, folder: str) -> None:
     """Counts (cell, gene, count) as a 10x triplet folder of text: matrix.mtx, barcodes.tsv, features.tsv parts.
 
-    Names are numbered over sorted distinct names; the matrix body stays distributed, one directory per file.
+    Names are numbered over sorted distinct names, range by range, and make one file each, as their line numbers count;
+    the matrix body stays distributed, in parts of one directory.
     """
-    cells = counts.select("cell").distinct().withColumn("c", F.row_number().over(Window.orderBy("cell")))
-    genes = counts.select("gene").distinct().withColumn("g", F.row_number().over(Window.orderBy("gene")))
+    cells, genes = (numbered(counts.select(x).distinct(), x, x[0]) for x in ("cell", "gene"))
     summed = counts.groupBy("cell", "gene").agg(F.sum("count").alias("count"))
     n, nc, ng = summed.count(), cells.count(), genes.count()
     body = summed.join(cells, "cell").join(genes, "gene").select(F.concat_ws(" ", "g", "c", F.format_string("%.6g", F.col("count").cast("double"))).alias("value"))

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tesserae.functions import text
-from tesserae.operators import components, doublets, harmonize, labels, metrics, neighbors, rates, reports, scores, thresholds
+from tesserae.operators import components, doublets, harmonize, labels, metrics, neighbors, qc, rates, reports, running, scores, thresholds
 from tesserae.plans.stages import Run, Stage, stages_between
 from tesserae.plans.workspace import Workspace
 from tesserae.sources import tables
@@ -209,6 +209,108 @@ def test_mtx_round_trip(spark, tmp_path):
     assert sorted((r["cell"], r["gene"], r["count"]) for r in back.collect()) == [("c1", "A", 2.0), ("c2", "A", 3.0), ("c2", "B", 1.0)]
 
 
+@pytest.mark.parametrize("entries", ["3", "16777217", "4294967297"])
+def test_mtx_of_ordinary_files(spark, tmp_path, entries):
+    (tmp_path / "matrix.mtx").write_text(f"%%MatrixMarket matrix coordinate integer general\n% a comment\n2 2 {entries}\n1 1 5\n2  2\t7\n2 2 {entries}\n")
+    (tmp_path / "barcodes.tsv").write_text("c1\nc2\n")
+    (tmp_path / "features.tsv").write_text("g1\tA\ng2\tB\n")
+    back = tables.read_mtx(spark, str(tmp_path), "s").collect()
+    assert sorted((r["cell"], r["gene"], r["count"]) for r in back) == sorted([("c1", "A", 5.0), ("c2", "B", 7.0), ("c2", "B", float(__import__("numpy").float32(entries)))])
+    (tmp_path / "matrix.mtx").write_text("%only comments\n")
+    with pytest.raises(ValueError):
+        tables.read_mtx(spark, str(tmp_path), "s")
+
+
+def test_readers_and_writers(spark, tmp_path):
+    c = spark.createDataFrame([("x", "s1", "c1", "A", 2.0), ("x", "s1", "c2", "B", 1.0), ("y", "s2", "c1", "A", 3.0)], "study string, sample_id string, cell string, gene string, count double")
+    tables.write_counts(c, str(tmp_path / "counts"))
+    back = spark.read.parquet(str(tmp_path / "counts")).select(c.columns)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, c.collect()))
+    c.drop("study").where("sample_id = 's1'").write.parquet(str(tmp_path / "a.parquet"))
+    tables.write_mtx(c.where("sample_id = 's2'"), str(tmp_path / "m"))
+    manifest = spark.createDataFrame([("s1", "a.parquet"), ("s2", "m")], "sample_id string, data_path string")
+    got = sorted((r["sample_id"], r["cell"], r["gene"], r["count"]) for r in tables.read_samples(spark, manifest, str(tmp_path)).collect())
+    assert got == [("s1", "c1", "A", 2.0), ("s1", "c2", "B", 1.0), ("s2", "c1", "A", 3.0)]
+    with pytest.raises(ValueError):
+        tables.read_samples(spark, spark.createDataFrame([("s", "x.h5ad")], "sample_id string, data_path string"))
+    v = spark.createDataFrame([("c1", [1.0, 2.0, 3.0])], "cell_id string, vec array<double>")
+    tables.write_embeddings(v, str(tmp_path / "e"), dims=2)
+    assert spark.read.csv(str(tmp_path / "e"), header=True).collect()[0].asDict() == {"cell_id": "c1", "dim_1": "1.0", "dim_2": "2.0"}
+    head = "Dataset_Name,Lower_Feature_Method,Upper_Feature_Method,Lower_Count_Method,Upper_Count_Method,Upper_Mito_Method\n"
+    (tmp_path / "q.csv").write_text(head + "a,mad3,mad3,none,knee,mad5\nb_singlets,renyi,mad3,none,knee,mad5\n")
+    got = {r["Dataset_Name"]: r["Lower_Feature_Method"] for r in tables.qc_decisions(spark, ["a", "b", "c"], str(tmp_path / "q.csv")).collect()}
+    assert got == {"a": "mad3", "b": "renyi", "c": None}
+    for content in (None, "", head):
+        if content is not None:
+            (tmp_path / "t.csv").write_text(content)
+        assert tables.read_table(spark, str(tmp_path / "t.csv"), "a string, b int").count() == 0
+
+
+def test_running_sums_over_ranges(spark):
+    import random
+
+    rng = random.Random(2)
+    rows = [(rng.choice("ab") if i % 7 else None, i, rng.randrange(5)) for i in range(500)]
+    df = spark.createDataFrame(rows, "g string, i int, w int").orderBy(F.rand(3))
+    got = {r["i"]: r["below"] for r in running.sum_below(df, ["g"], F.col("i"), F.col("w")).collect()}
+    assert got == {i: sum(w for h, j, w in rows if h == g and j < i) for g, i, _ in rows}
+    assert sorted((r["i"], r["n"]) for r in running.numbered(df.select("i"), "i", "n").collect()) == [(i, i + 1) for i in range(500)]
+    assert running.numbered(df.select("i").limit(0), "i", "n").count() == 0
+
+
+def test_silhouettes_in_blocks(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    x, lab = rng.normal(size=(60, 3)), rng.integers(0, 3, 60)
+    lab[0] = 9
+    pts = spark.createDataFrame([(i, [float(y) for y in x[i]], int(lab[i]), i % 2) for i in range(60)], "id long, vec array<double>, label int, half int")
+    got = {r["id"]: r["silhouette"] for r in neighbors.silhouettes(pts, block=7).collect()}
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
+
+    def plain(i, among):
+        own = [j for j in among if lab[j] == lab[i] and j != i]
+        b = min(d[i][[j for j in among if lab[j] == z]].mean() for z in set(lab[among]) - {lab[i]})
+        return (b - d[i][own].mean()) / max(b, d[i][own].mean()) if own else 0.0
+
+    assert got.keys() == set(range(60)) and all(math.isclose(got[i], plain(i, np.arange(60)), abs_tol=1e-9) for i in got)
+    half = {r["id"]: r["silhouette"] for r in neighbors.silhouettes(pts, by="half", block=7).collect()}
+    assert all(math.isclose(half[i], plain(i, np.arange(i % 2, 60, 2)), abs_tol=1e-9) for i in half)
+    assert neighbors.silhouettes(pts, sample=10).count() <= 10 and 0 <= one(neighbors.batch_asw(pts, "label", "half"), "asw_batch") <= 1
+
+
+def test_doublet_scores_of_a_whole_batch(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    a, b = rng.normal(size=(60, 4)), rng.normal(size=(60, 4)) + 20
+    mixed = (a[:10] + b[:10]) / 2
+    rows = [("s", f"c{i}", [float(y) for y in v]) for i, v in enumerate([*a, *b, *mixed])] + [("t", "only", [0.0] * 4)]
+    latent = spark.createDataFrame(rows, "batch string, cell_id string, vec array<double>")
+    out = {(r["batch"], r["cell_id"]): r for r in doublets.score_doublets(latent, "batch", 0.1, k=8).collect()}
+    assert len(out) == 131 and np.mean([out["s", f"c{i}"]["score"] for i in range(120, 130)]) > np.mean([out["s", f"c{i}"]["score"] for i in range(120)]) + 0.3
+    assert sum(r["class"] == "doublet" for r in out.values()) <= 14
+
+
+def test_label_hierarchy(spark):
+    markers = spark.createDataFrame([(1, "A", None, "a"), (1, "B", None, "b"), (2, "A1", "A", "x"), (2, "A2", "A", "y"), (2, "B1", "B", "x")], "level int, label string, parent string, gene string")
+    cells = spark.createDataFrame([(i, i // 10) for i in range(30)], "cell int, cluster int")
+    rows = [(i, g, 5.0) for i in range(30) for g in {0: "ax", 1: "ay", 2: "b"}[i // 10]]
+    counts = spark.createDataFrame(rows, "cell int, gene string, value double")
+    got = {r["cluster"]: (r["level_1"], r["level_2"], r["level_3"]) for r in scores.label_hierarchy(counts, cells, markers).collect()}
+    assert got == {0: ("A", "A1", None), 1: ("A", "A2", None), 2: ("B", "B1", None)}
+
+
+def test_qc_filters(spark):
+    cells = spark.createDataFrame([(i, "s", float(100 + i), i % 60, 1.0) for i in range(100)] + [(200, "s", 1e6, 55, 90.0), (201, "u", 0.0, 0, 0.0)], "cell int, sample string, nCount double, nFeature int, pct_mito double")
+    assert qc.drop_ghosts(cells).count() == cells.where("nCount > 100 and nFeature > 50").count() and qc.drop_empty(cells).count() == cells.where("nCount > 0 and nFeature > 0").count()
+    bounds = qc.raise_floors(qc.mad_bounds(cells.where("sample = 's'"), "sample", {"nCount": True, "nFeature": False, "pct_mito": False}), {"nFeature": 20.0, "nCount": 0.0})
+    r = bounds.first()
+    assert r["lo_nFeature"] >= 20 and r["lo_pct_mito"] == r["hi_pct_mito"] == 1.0
+    kept = qc.mark_kept(cells, bounds, "sample")
+    assert not any(x["keep"] for x in kept.where("cell >= 200 or nFeature < 20").collect()) and kept.where("keep").count() > 50
+
+
 def test_configurations(spark, tmp_path, monkeypatch):
     assert tables.parse_dcf("# c\na: 1\n  more\nb:2\n") == {"a": "1\nmore", "b": "2"}
     p = tmp_path / "c.ini"
