@@ -50,6 +50,47 @@ def funnel(raw: DataFrame, doublets: DataFrame, qc: DataFrame) -> DataFrame:
     })
 
 
+def qc_summary_detailed(cells: DataFrame, by: str, metrics: list[str], bounds: DataFrame, genes: DataFrame, methods: dict[str, str] | None = None, keep: str = "keep") -> DataFrame:
+    """Per dataset and in total: cells and genes before and after, and for each metric its median, mean and maximum before
+    and after, its cut-offs from ``bounds`` (by, lo_*, hi_*), and the methods that set them as algo_* columns.
+
+    ``genes`` is (by, genes_raw, genes_filtered). In the TOTAL row cells are sums, the removed share comes from these, and all
+    else is null. Datasets that lose all cells keep their row.
+    """
+    k = F.col(keep)
+    aggs = [F.count("*").alias("cells_raw"), F.count_if(k).alias("cells_filtered")]
+    for m in metrics:
+        for name, f in (("median", F.median), ("mean", F.avg), ("max", F.max)):
+            aggs += [f(F.col(m)).alias(f"{name}_{m}_raw"), f(F.when(k, F.col(m))).alias(f"{name}_{m}_filtered")]
+    out = cells.groupBy(by).agg(*aggs).join(genes.select(by, "genes_raw", "genes_filtered"), by, "left")
+    ends = [F.col(f"{side}_{m}").alias(f"cutoff_{m}_{name}") for m in metrics for side, name in (("lo", "lower"), ("hi", "upper")) if f"{side}_{m}" in bounds.columns]
+    out = out.join(bounds.select(by, *ends), by, "left").withColumns({f"algo_{m}": F.lit(a) for m, a in (methods or {}).items()})
+    out = with_total(out, by, ["cells_raw", "cells_filtered"])
+    return out.withColumns({
+        "cells_removed": F.col("cells_raw") - F.col("cells_filtered"),
+        "pct_cells_removed": pct(F.col("cells_raw") - F.col("cells_filtered"), F.col("cells_raw")),
+        "median_inflation_ratio": F.try_divide("median_nCount_filtered", "median_nCount_raw") if "nCount" in metrics else F.lit(None).cast("double"),
+    })
+
+
+def integrated_summary(raw: DataFrame, doublets: DataFrame, qc: DataFrame, of_raw: bool = False) -> DataFrame:
+    """Full outer funnel by sample: raw(sample, cells_raw), doublets(sample, cells_after_ghost, dbr_used, doublets_found,
+    ambiguous_found), qc(sample, cells_after_qc), with removals, percentages and a TOTAL whose ratios come from its sums.
+
+    Percentages are of the cells that reach a step or, with ``of_raw``, of all cells at first; the rate has no total.
+    """
+    j = raw.join(doublets, "sample", "full").join(qc, "sample", "full")
+    j = j.withColumn("cells_after_doublet_removal", F.col("cells_after_ghost") - F.col("doublets_found")).withColumn("total_cells_removal", F.col("cells_raw") - F.col("cells_after_qc"))
+    out = with_total(j, "sample", [c for c in j.columns if c not in ("sample", "dbr_used")])
+    seen, left = (F.col("cells_raw"), F.col("cells_raw")) if of_raw else (F.col("cells_after_ghost"), F.col("cells_after_doublet_removal"))
+    return out.withColumns({
+        "pct_doublets": pct(F.col("doublets_found"), seen),
+        "pct_ambiguous": pct(F.col("ambiguous_found"), seen),
+        "pct_qc_removal": pct(F.col("cells_after_doublet_removal") - F.col("cells_after_qc"), left),
+        "pct_total_cells_removal": pct(F.col("total_cells_removal"), F.col("cells_raw")),
+    })
+
+
 def collapse_samples(df: DataFrame, by: str = "sample") -> DataFrame:
     """One row per sample: the maximum of each column (of texts too, so the result does not depend on row order)."""
     return df.groupBy(by).agg(*(F.max(c).alias(c) for c in df.columns if c != by))

@@ -43,6 +43,65 @@ def qc_mad_filter_summary(spark, d):
     return out.select(*keys, F.round("pct_cells_removed", 6).alias("pct_cells_removed"))
 
 
+_FOUR = ("nCount", "nFeature", "pct_mito", "pct_ribo")
+
+
+@query(
+    f"""
+WITH m AS (SELECT o.o_orderpriority sample, l.l_orderkey cell, sum(l_quantity) nCount, count(*) FILTER (l_quantity > 0) nFeature,
+  100 * sum(CASE WHEN p_name LIKE 'red %' THEN l_quantity ELSE 0 END) / sum(l_quantity) pct_mito, 100 * sum(CASE WHEN p_name LIKE 'blue %' THEN l_quantity ELSE 0 END) / sum(l_quantity) pct_ribo
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN orders o ON o.o_orderkey = l.l_orderkey GROUP BY 1, 2),
+q AS (SELECT *, nCount BETWEEN 50 AND 250 AND nFeature BETWEEN 2 AND 6 AND pct_mito <= 40 keep FROM m),
+g AS (SELECT sample, count(DISTINCT p_name) genes_raw, count(DISTINCT CASE WHEN keep THEN p_name END) genes_filtered FROM q JOIN lineitem ON l_orderkey = cell JOIN part ON l_partkey = p_partkey GROUP BY 1),
+s AS (SELECT sample, count(*) cells_raw, count(*) FILTER (keep) cells_filtered, {", ".join(f"round({f}({c}), 6) {n}_{c}_raw, round({f}({c}) FILTER (keep), 6) {n}_{c}_filtered" for c in _FOUR for n, f in (("median", "median"), ("mean", "avg"), ("max", "max")))} FROM q GROUP BY 1),
+t AS (SELECT s.*, genes_raw, genes_filtered, 50.0::DOUBLE cutoff_nCount_lower, 250.0::DOUBLE cutoff_nCount_upper, 2.0::DOUBLE cutoff_nFeature_lower, 6.0::DOUBLE cutoff_nFeature_upper, 40.0::DOUBLE cutoff_pct_mito_upper, 'manual' algo_nCount FROM s JOIN g USING (sample)),
+u AS (SELECT * FROM t UNION ALL BY NAME SELECT 'TOTAL' sample, sum(cells_raw)::BIGINT cells_raw, sum(cells_filtered)::BIGINT cells_filtered FROM t)
+SELECT *, cells_raw - cells_filtered cells_removed, round(100.0 * (cells_raw - cells_filtered) / cells_raw, 6) pct_cells_removed, round(median_nCount_filtered / median_nCount_raw, 6) median_inflation_ratio FROM u"""
+)
+def qc_summary_detailed(spark, d):
+    """K8 A3 A4: the whole report of a filter with fixed bounds."""
+    c = Workspace(spark, "qc").save(counts(spark, d, "name"), "counts")
+    sample = table(spark, d, "orders").selectExpr("o_orderkey as cell", "o_orderpriority as sample")
+    cells = metrics.cell_metrics(c, sets={"pct_mito": F.col("gene").rlike("^red "), "pct_ribo": F.col("gene").rlike("^blue ")}).join(sample, "cell")
+    ends = {"lo_nCount": 50.0, "hi_nCount": 250.0, "lo_nFeature": 2.0, "hi_nFeature": 6.0, "hi_pct_mito": 40.0}
+    bounds = sample.select("sample").distinct().withColumns({k: F.lit(x) for k, x in ends.items()})
+    kept = Workspace(spark, "qc").save(qc.mark_kept(cells, bounds, "sample"), "kept")
+    genes = c.join(kept.select("cell", "sample", "keep"), "cell").groupBy("sample").agg(F.count_distinct("gene").alias("genes_raw"), F.count_distinct(F.when(F.col("keep"), F.col("gene"))).alias("genes_filtered"))
+    out = reports.qc_summary_detailed(kept, "sample", list(_FOUR), bounds, genes, {"nCount": "manual"})
+    return out.withColumns({x: F.round(x, 6) for x, t in out.dtypes if t == "double"})
+
+
+def _funnel_sql(seen: str, left: str) -> str:
+    return f"""
+WITH r AS (SELECT c_nationkey::VARCHAR sample, count(*) cells_raw FROM customer GROUP BY 1),
+b AS (SELECT c_nationkey::VARCHAR sample, count(*) cells_after_ghost, 0.05::DOUBLE dbr_used, count(*) FILTER (c_acctbal < 0) doublets_found, count(*) FILTER (c_acctbal BETWEEN 0 AND 500) ambiguous_found FROM customer WHERE c_custkey % 10 > 0 GROUP BY 1),
+q AS (SELECT s_nationkey::VARCHAR sample, count(*) cells_after_qc FROM supplier GROUP BY 1),
+j AS (SELECT sample, cells_raw, cells_after_ghost, dbr_used, doublets_found, ambiguous_found, cells_after_qc, cells_after_ghost - doublets_found cells_after_doublet_removal, cells_raw - cells_after_qc total_cells_removal FROM r FULL JOIN b USING (sample) FULL JOIN q USING (sample)),
+u AS (SELECT * FROM j UNION ALL SELECT 'TOTAL', sum(cells_raw)::BIGINT, sum(cells_after_ghost)::BIGINT, NULL, sum(doublets_found)::BIGINT, sum(ambiguous_found)::BIGINT, sum(cells_after_qc)::BIGINT, sum(cells_after_doublet_removal)::BIGINT, sum(total_cells_removal)::BIGINT FROM j)
+SELECT *, round(100.0 * doublets_found / {seen}, 6) pct_doublets, round(100.0 * ambiguous_found / {seen}, 6) pct_ambiguous, round(100.0 * (cells_after_doublet_removal - cells_after_qc) / {left}, 6) pct_qc_removal, round(100.0 * total_cells_removal / cells_raw, 6) pct_total_cells_removal FROM u"""
+
+
+def _integrated(spark, d, of_raw):
+    c = table(spark, d, "customer").withColumn("sample", F.col("c_nationkey").cast("string"))
+    b = F.col("c_acctbal")
+    doublet = c.where("c_custkey % 10 > 0").groupBy("sample").agg(F.count("*").alias("cells_after_ghost"), F.lit(0.05).alias("dbr_used"), F.count_if(b < 0).alias("doublets_found"), F.count_if(b.between(0, 500)).alias("ambiguous_found"))
+    left = table(spark, d, "supplier").groupBy(F.col("s_nationkey").cast("string").alias("sample")).agg(F.count("*").alias("cells_after_qc"))
+    out = reports.integrated_summary(c.groupBy("sample").agg(F.count("*").alias("cells_raw")), doublet, left, of_raw)
+    return out.withColumns({x: F.round(x, 6) for x in out.columns if x.startswith("pct_")})
+
+
+@query(_funnel_sql("cells_after_ghost", "cells_after_doublet_removal"))
+def integrated_summary(spark, d):
+    """K9 A5 A7 A8."""
+    return _integrated(spark, d, False)
+
+
+@query(_funnel_sql("cells_raw", "cells_raw"))
+def integrated_summary_of_raw(spark, d):
+    """A6."""
+    return _integrated(spark, d, True)
+
+
 @query(
     _CELLS
     + """, b AS (SELECT sample, ln(1 + nCount) v FROM m), md AS (SELECT sample, median(v) med FROM b GROUP BY 1)

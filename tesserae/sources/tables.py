@@ -224,6 +224,7 @@ def read_markers(spark: SparkSession, path: str) -> DataFrame:
 def qc_decisions(spark: SparkSession, datasets: list[str], path: str | None = None, default: str = "mad3") -> DataFrame:
     """Threshold methods of each dataset: from a CSV of six columns, or ``default`` for all; names without a row are
     looked up with ``_singlets``."""
+    # fixed values: the columns of a decisions file
     cols = ["Dataset_Name", "Lower_Feature_Method", "Upper_Feature_Method", "Lower_Count_Method", "Upper_Count_Method", "Upper_Mito_Method"]
     if path is None:
         return spark.createDataFrame([(d, *[default] * 5) for d in datasets], ", ".join(f"{c} string" for c in cols))
