@@ -80,14 +80,15 @@ class QualityModel:
             self.base = float(np.mean(y))
         if len(set(y.tolist())) < 2:
             return self
-        docs = [tokens(t) for t in texts]
-        count = Counter(t for d in docs for t in d)
+        count: Counter = Counter()
+        for t in texts:  # tokens are made twice rather than held
+            count.update(tokens(t))
         kept = sorted((t for t, c in count.items() if c > 1), key=lambda t: (-count[t], t))[: self.size]
         own = np.array([self._bucket(t) for t in kept], np.int64)
         place = {t: i for i, t in enumerate(kept)}
         ctx = np.zeros((len(kept) + 1, self.dim), np.float32)
-        for d in docs:
-            at = np.array([place.get(t, -1) for t in d], np.int64)
+        for text in texts:
+            at = np.array([place.get(t, -1) for t in tokens(text)], np.int64)
             iv = self.index[np.where(at >= 0, own[at] if len(own) else 0, 0)] if len(at) else None
             for k in (1, 2):
                 if len(at) > k:
@@ -151,8 +152,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int =
             total += r["n"]
             kept.append(r["doc_id"])
     some = docs.sparkSession.createDataFrame([(i,) for i in kept], "doc_id long")
-    found = sorted((r["turn"], r["doc_id"], r["quality"], bytes(r["t"])) for r in rows.join(F.broadcast(some), "doc_id", "left_semi").collect())
-    return QualityModel().fit([r[3] for r in found], np.array([r[2] for r in found], np.int64))
+    found = rows.join(F.broadcast(some), "doc_id", "left_semi").toArrow().sort_by([("turn", "ascending"), ("doc_id", "ascending")])
+    return QualityModel().fit(found.column("t").to_pylist(), found.column("quality").to_numpy().astype(np.int64))
 
 
 def score_quality(docs: DataFrame, model: QualityModel, threshold: float = 0.3, folds: int = 5, held: int = 0) -> DataFrame:

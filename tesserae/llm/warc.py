@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tesserae.plans.workspace import Workspace
+
 # fixed values: fields that a not-modified answer must not change in a stored response (hop-by-hop or of the body)
 KEPT_FIELDS = (
     "connection content-encoding content-length content-md5 content-range content-type digest keep-alive "
@@ -38,7 +40,7 @@ def merge_headers(stored: Column, update: Column) -> Column:
     return F.concat(F.filter(stored, lambda h: ~F.array_contains(_names(allowed), F.coalesce(F.lower(h["name"]), F.lit("")))), allowed)
 
 
-def resolve_revisits(records: DataFrame, slice_rows: int = 20000, most_slices: int = 512) -> DataFrame:
+def resolve_revisits(records: DataFrame, slice_rows: int = 20000) -> DataFrame:
     """The full response that each not-modified revisit stands for.
 
     ``records``: record_id long, url string, ts long, kind string (``response`` or ``revisit``), etag, last_modified,
@@ -51,29 +53,24 @@ def resolve_revisits(records: DataFrame, slice_rows: int = 20000, most_slices: i
     and a null digest; an orphan has a null response_id. Revisits with a null URL or ts are orphans; other nulls never
     match. Repeated rows are resolved one by one. An empty table gives an empty result; other columns are ignored.
 
-    A URL may hold a third of all records, so windows run over (URL, time slice): slices are cut at quantiles of ts,
-    about ``slice_rows`` records each, and a slice inherits from earlier ones by a window over at most
-    ``most_slices`` summaries of a URL. Bodies are never moved.
+    A URL may hold a third of all records, so windows run over (URL, slice): slices are ranges of (URL, time) of about
+    ``slice_rows`` records, as many as that takes, and a slice inherits from earlier ones of its URL by a window over their
+    summaries, one a slice. Bodies are never moved.
     """
     r = records.select("record_id", canonical_url(F.col("url")).alias("url_key"), "ts", "kind", "etag", "last_modified", "digest", "headers")
-    n, low = r.agg(F.count("*"), F.min("ts")).first()
-    cuts = min(most_slices, n // slice_rows)
-    bounds = []
-    if cuts and low is not None:
-        bounds = sorted(set(r.agg(F.percentile_approx("ts", [i / (cuts + 1) for i in range(1, cuts + 1)], 10000)).first()[0]))
-    part = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= F.col("ts"))) if bounds else F.lit(0)
-    r = r.withColumn("part", part)
     usable = F.col("url_key").isNotNull() & F.col("ts").isNotNull()
     full = usable & (F.col("kind") == "response") & F.col("digest").isNotNull()
     held = F.struct("ts", "record_id", "etag", "last_modified", "digest", "headers")
-    live = r.where(usable & (full | (F.col("kind") == "revisit")))
+    slices = records.count() // slice_rows + 1
+    live = r.where(usable & (full | (F.col("kind") == "revisit"))).repartitionByRange(slices, "url_key", "ts", "record_id")
+    live = Workspace(records.sparkSession, "revisits").save(live.withColumn("part", F.spark_partition_id()), "live")
 
     before = Window.partitionBy("url_key", "part").orderBy("ts", "record_id", F.desc("kind")).rowsBetween(Window.unboundedPreceding, -1)
     near = live.withColumn("own", F.last(F.when(full, held), ignorenulls=True).over(before)).where("kind = 'revisit'")
     sums = live.groupBy("url_key", "part").agg(F.max_by(F.when(full, held), F.when(full, F.struct("ts", "record_id"))).alias("end"))
     earlier = Window.partitionBy("url_key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    carry = sums.select("url_key", "part", F.last("end", ignorenulls=True).over(earlier).alias("carry")).where("carry is not null")
-    got = near.join(carry, ["url_key", "part"], "left").withColumn("hit", F.coalesce("own", "carry")).drop("own", "carry")
+    carry = sums.select("url_key", "part", F.last("end", ignorenulls=True).over(earlier).alias("carry")).where("carry is not null").hint("merge")  # near is dealt and sorted that way already
+    got = near.join(carry, ["url_key", "part"], "left").withColumn("hit", F.coalesce("own", "carry")).drop("own", "carry", "part")
     lost = r.where(~usable & (F.col("kind") == "revisit")).withColumn("hit", F.lit(None).cast(got.schema["hit"].dataType))
     got = got.unionByName(lost)
 
