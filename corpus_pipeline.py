@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tesserae.llm.decontam import contamination
 from tesserae.llm.minhash import near_duplicates
@@ -12,10 +13,26 @@ from tesserae.llm.secrets import fit_forest, labelled_findings, redact
 from tesserae.plans.workspace import Workspace, small_side
 
 
-def _without(spark: SparkSession, docs: DataFrame, rejected: DataFrame, label: str) -> DataFrame:
-    """``docs`` less the rejected ids (few, and broadcast only if counted so); rows of null id are never rejected."""
-    ids = Workspace(spark, label).save(rejected.select("doc_id").where("doc_id is not null").distinct(), "rejected")
-    return docs.join(small_side(ids, 16), "doc_id", "left_anti").select(*docs.columns)
+def _rows(spark: SparkSession, docs: DataFrame, label: str) -> tuple[DataFrame, bool]:
+    """(row, doc_id, text, odd) of ``docs``, and whether any row is odd: its doc_id is null or repeated.
+
+    ``doc_id`` tells the rows apart: an odd row has a hash of its id and text, above all ids that are met, so that rejecting
+    one text of an id leaves the others.
+    """
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")).select("row", F.col("row.doc_id").cast("long").alias("id"), F.col("row.text").alias("text"))
+    odd = rows.groupBy("id").agg(F.count("*").alias("n")).where("n > 1 or id is null").select(F.col("id").alias("odd_id"), F.lit(True).alias("odd"))
+    odd = Workspace(spark, label).save(odd, "odd")
+    if odd.isEmpty():
+        return rows.select("row", F.col("id").alias("doc_id"), "text", F.lit(False).alias("odd")), False
+    key = F.lit(1 << 62) + F.xxhash64("id", "text").bitwiseAND((1 << 60) - 1)
+    rows = rows.join(small_side(odd, 16), F.col("id").eqNullSafe(F.col("odd_id")), "left")
+    return rows.select("row", F.when(F.col("odd"), key).otherwise(F.col("id")).alias("doc_id"), "text", F.coalesce("odd", F.lit(False)).alias("odd")), True
+
+
+def _without(spark: SparkSession, rows: DataFrame, rejected: DataFrame, label: str) -> DataFrame:
+    """``rows`` less the rejected doc_ids (few, and broadcast only if counted so)."""
+    ids = Workspace(spark, label).save(rejected.select("doc_id").distinct(), "rejected")
+    return rows.join(small_side(ids, 16), "doc_id", "left_anti")
 
 
 def _release(spark: SparkSession) -> None:
@@ -31,16 +48,24 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each near-duplicate group (five-word shingles, similarity of 0.8 or more)."""
+    """The document of least id of each near-duplicate group (five-word shingles, similarity of 0.8 or more).
+
+    Rows without an id or with a repeated one are told apart by their texts, and of equal rows one stays.
+    """
     _release(spark)
-    return _without(spark, docs, near_duplicates(docs, n=5, num=80, den=100).where("not kept"), "dedup")
+    rows, odd = _rows(spark, docs, "dedup")
+    kept = _without(spark, rows, near_duplicates(rows, n=5, num=80, den=100).where("not kept"), "dedup")
+    if odd:
+        kept = kept.where("not odd").unionByName(kept.where("odd").dropDuplicates(["doc_id"]))
+    return kept.select("row.*")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a window of ten words of a benchmark item."""
+    """Documents without a window of ten words of a benchmark item; each row is judged by its own text."""
     _release(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return _without(spark, docs, contamination(docs, items, t=10).where("contaminated"), "decontaminate")
+    rows, _ = _rows(spark, docs, "decontaminate")
+    return _without(spark, rows, contamination(rows, items, t=10).where("contaminated"), "decontaminate").select("row.*")
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
