@@ -14,16 +14,17 @@ from tesserae.plans.workspace import Workspace, small_side
 
 
 def _rows(spark: SparkSession, docs: DataFrame, label: str) -> tuple[DataFrame, bool]:
-    """(row, doc_id, text, odd) of ``docs``, and whether any row is odd: its doc_id is null or repeated.
+    """``docs`` and False or, if any row is odd (its doc_id is null or repeated), (row, doc_id, text, odd) of them and True.
 
-    ``doc_id`` tells the rows apart: an odd row has a hash of its id and text, above all ids that are met, so that rejecting
+    That ``doc_id`` tells the rows apart: an odd row has a hash of its id and text, above all ids that are met, so that rejecting
     one text of an id leaves the others.
     """
+    n, distinct = docs.agg(F.count("*"), F.count_distinct("doc_id")).first()
+    if n == distinct:
+        return docs, False
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")).select("row", F.col("row.doc_id").cast("long").alias("id"), F.col("row.text").alias("text"))
     odd = rows.groupBy("id").agg(F.count("*").alias("n")).where("n > 1 or id is null").select(F.col("id").alias("odd_id"), F.lit(True).alias("odd"))
     odd = Workspace(spark, label).save(odd, "odd")
-    if odd.isEmpty():
-        return rows.select("row", F.col("id").alias("doc_id"), "text", F.lit(False).alias("odd")), False
     key = F.lit(1 << 62) + F.xxhash64("id", "text").bitwiseAND((1 << 60) - 1)
     rows = rows.join(small_side(odd, 16), F.col("id").eqNullSafe(F.col("odd_id")), "left")
     return rows.select("row", F.when(F.col("odd"), key).otherwise(F.col("id")).alias("doc_id"), "text", F.coalesce("odd", F.lit(False)).alias("odd")), True
@@ -55,17 +56,18 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     _release(spark)
     rows, odd = _rows(spark, docs, "dedup")
     kept = _without(spark, rows, near_duplicates(rows, n=5, num=80, den=100).where("not kept"), "dedup")
-    if odd:
-        kept = kept.where("not odd").unionByName(kept.where("odd").dropDuplicates(["doc_id"]))
-    return kept.select("row.*")
+    if not odd:
+        return kept.select(*docs.columns)
+    return kept.where("not odd").unionByName(kept.where("odd").dropDuplicates(["doc_id"])).select("row.*")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window of ten words of a benchmark item; each row is judged by its own text."""
     _release(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    rows, _ = _rows(spark, docs, "decontaminate")
-    return _without(spark, rows, contamination(rows, items, t=10).where("contaminated"), "decontaminate").select("row.*")
+    rows, odd = _rows(spark, docs, "decontaminate")
+    kept = _without(spark, rows, contamination(rows, items, t=10).where("contaminated"), "decontaminate")
+    return kept.select("row.*") if odd else kept.select(*docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

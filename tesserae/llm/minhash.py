@@ -144,6 +144,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     edges = ws.save(work.join(sets, "doc").groupBy("centre", "i", "j").applyInPandas(_forest(num, den), "a long, b long"), "star-edges")
     comp = ws.save(_labels(used, connected_components(ws, edges, "stars")), "comp")
 
+    ws.release()
     # families that still span components: blocks outside the centre's component against all blocks
     fam = family.union(family.select("centre", F.col("centre").alias("doc")).distinct())
     fam = fam.join(comp, "doc").join(comp.select(F.col("doc").alias("centre"), F.col("comp").alias("comp_c")), "centre")

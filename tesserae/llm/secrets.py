@@ -63,6 +63,7 @@ def learn_language(docs: DataFrame) -> Language:
     abc = "abcdefghijklmnopqrstuvwxyz"
     after = {a: sum(met.get(a + b, 0) for b in abc) for a in abc}
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    ws.release()
     return Language(words, max(5, math.ceil(total * 1e-8)), [math.log((met.get(a + b, 0) + 1) / (after[a] + 26)) for a in abc for b in abc])
 
 
