@@ -230,7 +230,9 @@ def fit_forest(labelled: DataFrame, docs: DataFrame, trees: int = 32, depth: int
     words and letter transitions of ``docs(text)``."""
     language = learn_language(docs)
     x = features(candidates(labelled), language).join(labelled.select("doc_id", F.col("label").cast("double").alias("label")), "doc_id")
-    x = VectorAssembler(inputCols=FEATURES, outputCol="x").transform(x.orderBy("doc_id", "finding"))
+    # the forest reads its rows several times: take them apart once
+    x = Workspace(docs.sparkSession, "secret-training").save(x.select("doc_id", "finding", "label", *FEATURES).orderBy("doc_id", "finding"), "features")
+    x = VectorAssembler(inputCols=FEATURES, outputCol="x").transform(x)
     forest = RandomForestClassifier(featuresCol="x", labelCol="label", numTrees=trees, maxDepth=depth, seed=seed, subsamplingRate=0.8, featureSubsetStrategy="0.4")
     return SecretModel(forest.fit(x.select("x", "label")), language)
 
