@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -139,6 +140,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int =
     """Fit on at most ``sample`` labelled documents outside the held fold, of at most ``sample_bytes`` together.
 
     They are the first by a hash of doc_id over all labels; whole texts, of which those that no longer fit are passed over.
+    The sample, bounded so, meets in one task, and the driver gets the fitted model alone. No rows leave a constant score.
     A doc_id with both labels teaches nothing; of documents that repeat a doc_id, the least text does.
     """
     known = labels.where("doc_id is not null and quality in (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
@@ -152,8 +154,16 @@ def fit_quality(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int =
             total += r["n"]
             kept.append(r["doc_id"])
     some = docs.sparkSession.createDataFrame([(i,) for i in kept], "doc_id long")
-    found = rows.join(F.broadcast(some), "doc_id", "left_semi").toArrow().sort_by([("turn", "ascending"), ("doc_id", "ascending")])
-    return QualityModel().fit(found.column("t").to_pylist(), found.column("quality").to_numpy().astype(np.int64))
+    found = rows.join(F.broadcast(some), "doc_id", "left_semi").select("turn", "doc_id", "quality", "t")
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if got := [b for b in batches if len(b)]:
+            table = pa.Table.from_batches(got).sort_by([("turn", "ascending"), ("doc_id", "ascending")])
+            model = QualityModel().fit(table.column("t").to_pylist(), table.column("quality").to_numpy().astype(np.int64))
+            yield pa.record_batch([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    made = found.coalesce(1).mapInArrow(fit, "model binary").collect()
+    return pickle.loads(made[0]["model"]) if made else QualityModel()
 
 
 def score_quality(docs: DataFrame, model: QualityModel, threshold: float = 0.3, folds: int = 5, held: int = 0) -> DataFrame:
