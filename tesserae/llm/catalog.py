@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tesserae.llm.audit import filter_audit
 from tesserae.llm.covertree import top_k
 from tesserae.llm.decontam import contamination
 from tesserae.llm.htmltext import extract_pages
@@ -13,7 +14,9 @@ from tesserae.llm.minhash import near_duplicates
 from tesserae.llm.mixing import mix
 from tesserae.llm.ppm import score_language
 from tesserae.llm.quality import fit_quality, score_quality
+from tesserae.llm.runs import detect_runs
 from tesserae.llm.secrets import fit_forest, labelled_findings, scan
+from tesserae.llm.toxicity import fit_toxicity, score_toxicity
 from tesserae.llm.warc import page_records, resolve_revisits
 
 
@@ -70,6 +73,21 @@ def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("record_id", "url_key", "response_id", "state", "digest", fields.alias("headers"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = detect_runs(_table(spark, sf_dir, "documents"), plant=True)
+    return found.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = score_toxicity(docs, fit_toxicity(docs, _table(spark, sf_dir, "labels")), threshold=0.7)
+    return found.select("doc_id", "held_out", "score", "predicted", F.size("spans").cast("long").alias("n_spans"))
+
+
 #: Items' and documents' words in SQL: A-Z folded, runs of 0-9, a-z and all that is not ASCII.
 _WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -141,9 +159,24 @@ SELECT record_id, url_key, rp * 2 response_id, CASE WHEN rp IS NULL THEN 'orphan
 CASE WHEN etag = re THEN 'Content-Type: text/html' || chr(10) || 'Content-Length: ' || rs || chr(10) || 'ETag: ' || etag || chr(10) || 'Age: 500' || chr(10) || 'Cache-Control: max-age=60'
 ELSE 'Content-Length: 0' || chr(10) || 'ETag: ' || coalesce(etag, '') || chr(10) || 'Age: 500' || chr(10) || 'Cache-Control: max-age=60' END headers FROM m WHERE n = 1"""
 
+ORACLES["op11_filter_audit"] = r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') part, coalesce(text, '') t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') w, coalesce(min(doc_id) OVER (PARTITION BY t) < doc_id, false) late FROM d),
+g AS (SELECT doc_id, max((quality = 1)::INT) good, max((toxic = 1)::INT) toxic FROM labels GROUP BY 1),
+m AS (SELECT part, (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT + 4 * (100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * len(t))::INT
+  + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * late::INT mask, count(*) n, coalesce(sum(good), 0) good, coalesce(sum(toxic), 0) toxic FROM w LEFT JOIN g USING (doc_id) GROUP BY ALL),
+l AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) l(x, b)),
+o AS (SELECT concat(p.x, q.x, r.x, s.x, t.x) filter_order, [p.b, q.b, r.b, s.b, t.b] b FROM l p, l q, l r, l s, l t WHERE p.b | q.b | r.b | s.b | t.b = 31),
+k AS (SELECT filter_order, step::INTEGER step, b[step] own, coalesce(list_sum(b[1:step - 1]), 0)::INT prior FROM o, range(1, 6) x(step)),
+c AS (SELECT part, filter_order, step, own, sum(CASE WHEN mask & (own | prior) = 0 THEN n ELSE 0 END) kept, sum(CASE WHEN mask & own > 0 AND mask & prior = 0 THEN n ELSE 0 END) removed,
+  sum(CASE WHEN mask & own > 0 AND mask & prior > 0 THEN n ELSE 0 END) redundant, sum(CASE WHEN mask = own THEN n ELSE 0 END) unique_fails,
+  sum(CASE WHEN mask & own > 0 AND mask & prior = 0 THEN good ELSE 0 END) good_lost, sum(CASE WHEN mask & own > 0 AND mask & prior = 0 THEN toxic ELSE 0 END) toxic_lost FROM m, k GROUP BY ALL)
+SELECT part, filter_order, step, kept::BIGINT kept, removed::BIGINT removed, redundant::BIGINT redundant, unique_fails::BIGINT unique_fails, good_lost::BIGINT good_lost, toxic_lost::BIGINT toxic_lost,
+(sum(removed) OVER (PARTITION BY part, own))::BIGINT shapley FROM c"""
+
 
 def queries() -> dict:
-    found = (op1_secret_scans, op2_minhash_near_dedup, op3_lm_scoring, op4_benchmark_decontamination, op5_html_extraction, op6_mixing, op7_exact_top_k, op8_quality_classifier, op9_language_id, op10_warc_revisits)
+    found = (op1_secret_scans, op2_minhash_near_dedup, op3_lm_scoring, op4_benchmark_decontamination, op5_html_extraction, op6_mixing, op7_exact_top_k, op8_quality_classifier, op9_language_id, op10_warc_revisits, op11_filter_audit, op12_periodic_runs, op13_toxicity)
     return {f.__name__: f for f in found}
 
 
