@@ -126,12 +126,12 @@ class ToxicityModel:
 
     @staticmethod
     def summary(p: np.ndarray, cut: np.ndarray) -> np.ndarray:
-        """Of each text: expected toxic words, their greatest probability, and the length; without words, zeros."""
+        """Of each text: expected toxic words, on two scales and by the text's length, and their greatest probability."""
         n = np.diff(cut)
         s, top, some = np.zeros(len(n)), np.zeros(len(n)), n > 0
         if some.any():
             s[some], top[some] = np.add.reduceat(p, cut[:-1][some]), np.maximum.reduceat(p, cut[:-1][some])
-        return np.column_stack([np.log(s + 1e-3), np.log1p(s), top, np.log1p(n)])
+        return np.column_stack([np.log(s + 1e-3), np.log1p(s), top, np.log((s + 1e-2) / (n + 20))])
 
     def judge(self, p: np.ndarray, cut: np.ndarray) -> np.ndarray:
         """Scores of texts from the marginals of their words."""
@@ -233,17 +233,23 @@ class ToxicityModel:
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2, steps: int = 50) -> np.ndarray:
-    """Coefficients and intercept by Newton's method."""
+    """Coefficients, none of them negative, and intercept, by Newton's method; columns that would count against go one by one."""
     z = np.column_stack([x, np.ones(len(x))])
-    b = np.zeros(z.shape[1])
-    for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(z @ b, -30, 30)))
-        h = (z * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ z + ridge * np.eye(len(b))
-        move = np.linalg.solve(h, z.T @ (weight * (p - y)) + ridge * b)
-        b = b - np.clip(move, -4, 4)
-        if np.abs(move).max() < 1e-8:
-            break
-    return b
+    kept = list(range(z.shape[1]))
+    while True:
+        u, b = z[:, kept], np.zeros(len(kept))
+        for _ in range(steps):
+            p = 1 / (1 + np.exp(-np.clip(u @ b, -30, 30)))
+            h = (u * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ u + ridge * np.eye(len(b))
+            move = np.linalg.solve(h, u.T @ (weight * (p - y)) + ridge * b)
+            b = b - np.clip(move, -4, 4)
+            if np.abs(move).max() < 1e-8:
+                break
+        if len(kept) == 1 or b[:-1].min() >= 0:
+            out = np.zeros(z.shape[1])
+            out[kept] = b
+            return out
+        kept.pop(int(np.argmin(b[:-1])))
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1, toxic: int = 800, clean: int = 2400, sample_bytes: int = 10 << 20) -> ToxicityModel:
