@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from itertools import permutations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,15 +19,23 @@ from tesserae.plans.workspace import Workspace, small_side
 
 FILTERS = "ABCDE"
 _BIT = {f: 1 << i for i, f in enumerate(FILTERS)}
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_SIGNS = re.compile(rb"[#$%&*|]")
 
 
-def text_mask(text: Column, words: Column) -> Column:
-    """Bits of the filters A to D that a text fails; ``words`` is its array of words."""
-    n, chars = F.size(words), F.length(text)
-    capitals = chars - F.length(F.translate(text, _UPPER, ""))
-    fails = {"A": n < 200, "B": 100 * F.size(F.array_distinct(words)) < 50 * n, "C": 100 * capitals > 2 * chars, "D": text.rlike("[#$%&*|]")}
-    return sum((F.when(c, _BIT[f]).otherwise(0) for f, c in fails.items()), F.lit(0))
+def text_mask(text: bytes, chars: int) -> int:
+    """Bits of the filters A to D that a text of ``chars`` code points fails."""
+    words = text.split()
+    n = len(words)
+    fails = n < 200, 100 * len(set(words)) < 50 * n, 100 * (len(text) - len(text.translate(None, _UPPER))) > 2 * chars, _SIGNS.search(text) is not None
+    return sum(_BIT[f] for f, x in zip("ABCD", fails, strict=True) if x)
+
+
+def _flagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        text = b.column("text")
+        mask = [text_mask(t.as_py(), n) for t, n in zip(text.cast(pa.binary()), pc.utf8_length(text).to_pylist(), strict=True)]
+        yield pa.record_batch([b.column("doc_id"), b.column("part"), pa.array(mask, pa.int32()), b.column("h")], ["doc_id", "part", "mask", "h"])
 
 
 class CountingBloom:
@@ -118,8 +128,7 @@ def filter_audit(docs: DataFrame, labels: DataFrame) -> DataFrame:
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("part"), text.alias("text"))
     lab = labels.where("doc_id is not null and (quality = 1 or toxic = 1)").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
     lab = lab.agg(F.max(F.coalesce(F.col("quality") == 1, F.lit(False)).cast("int")).alias("good"), F.max(F.coalesce(F.col("toxic") == 1, F.lit(False)).cast("int")).alias("toxic"))
-    rows = d.withColumn("words", F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), ""))
-    rows = rows.select("doc_id", "part", text_mask(F.col("text"), F.col("words")).alias("mask"), F.xxhash64("text").alias("h"))
+    rows = d.withColumn("h", F.xxhash64("text")).mapInArrow(_flagged, "doc_id long, part string, mask int, h long")
     rows = rows.join(small_side(ws.save(lab, "labels"), 32), "doc_id", "left")
     rows = ws.save(rows.select("doc_id", "part", "mask", "h", F.coalesce("good", F.lit(0)).alias("good"), F.coalesce("toxic", F.lit(0)).alias("toxic")), "rows")
 
