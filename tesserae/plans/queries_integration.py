@@ -69,10 +69,14 @@ def noisy_exclusion(spark, d):
     return selection.exclude(p, p.where("p_size > 49 and p_retailprice > 1000")).groupBy("dataset").agg(F.count("*").alias("n"))
 
 
-@query("SELECT dataset FROM (VALUES ('A_singlets'), ('B_singlets'), ('C')) t(dataset)")
+_DATASETS = "SELECT DISTINCT p_brand || CASE p_size % 3 WHEN 0 THEN '_singlets' WHEN 1 THEN '_with_doublet_calls' ELSE '' END dataset FROM part"
+
+
+@query(f"WITH n AS ({_DATASETS}) SELECT dataset FROM n WHERE NOT (dataset LIKE '%\\_with\\_doublet\\_calls' ESCAPE '\\' AND (SELECT count(*) FROM n WHERE dataset LIKE '%\\_singlets' ESCAPE '\\') > 0)")
 def singlet_preference(spark, d):
     """P12."""
-    return selection.prefer_singlets(spark.createDataFrame([("A_singlets",), ("A_with_doublet_calls",), ("B_singlets",), ("C",)], "dataset string"))
+    end = F.get(F.array(F.lit("_singlets"), F.lit("_with_doublet_calls"), F.lit("")), (F.col("p_size") % 3).cast("int"))
+    return selection.prefer_singlets(table(spark, d, "part").select(F.concat("p_brand", end).alias("dataset")).distinct())
 
 
 @query("SELECT c_custkey, coalesce(nullif(CASE WHEN c_mktsegment = 'MACHINERY' THEN ' ' ELSE c_mktsegment END, ' '), 'q1') sample_id, 'query' study FROM customer")

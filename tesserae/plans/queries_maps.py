@@ -160,13 +160,21 @@ def silhouette(spark, d):
     return neighbors.silhouettes(_vec(spark, d)).select("id", "label", F.round("silhouette", 6).alias("silhouette"))
 
 
-RES = [(0.2, 0.40, 3), (0.4, 0.31, 6), (0.6, 0.35, 8), (0.8, 0.35, 12), (1.0, None, 15), (0.5, 0.39, 4)]
-
-
-@query("SELECT 0.6::DOUBLE resolution, 0.35::DOUBLE silhouette, 8 n_clusters")
+@query(
+    """
+WITH e AS (SELECT vec_id id, embedding::DOUBLE[] v, label FROM embeddings), r(resolution, k) AS (VALUES (0.2::DOUBLE, 2), (0.5, 5), (1.0, 10)),
+x AS (SELECT p.id, q.label lb, p.label la, list_distance(p.v, q.v) d, p.id <> q.id other FROM e p, e q),
+c AS (SELECT resolution, id, la % k a, lb % k b, sum(d) s, count(*) n FROM x, r GROUP BY ALL),
+m AS (SELECT resolution, id, a label, min(CASE WHEN a = b THEN s / (n - 1) END) own, min(CASE WHEN a <> b THEN s / n END) near FROM c GROUP BY ALL),
+s AS (SELECT resolution, round(avg((near - own) / greatest(near, own)), 9) silhouette, count(DISTINCT label)::INT n_clusters FROM m GROUP BY 1)
+SELECT * FROM s WHERE resolution >= 0.4 AND n_clusters >= 5 ORDER BY silhouette DESC, resolution LIMIT 1"""
+)
 def best_resolution(spark, d):
-    """P18 O6 E17 A24."""
-    return scores.best_resolution(spark.createDataFrame(RES, "resolution double, silhouette double, n_clusters int"))
+    """Silhouettes of three clusterings of the embeddings choose."""
+    sizes = F.explode(F.array(*(F.struct(F.lit(r).alias("resolution"), F.lit(k).alias("k")) for r, k in ((0.2, 2), (0.5, 5), (1.0, 10)))))
+    c = _vec(spark, d).withColumn("r", sizes).select("id", "vec", "r.resolution", (F.col("label") % F.col("r.k")).alias("label"))
+    s = neighbors.silhouettes(c, by="resolution").groupBy("resolution").agg(F.round(F.avg("silhouette"), 9).alias("silhouette"), F.count_distinct("label").cast("int").alias("n_clusters"))
+    return scores.best_resolution(s)
 
 
 @query(
@@ -222,22 +230,40 @@ def isolated_labels(spark, d):
     return scores.isolated_labels(table(spark, d, "embeddings").withColumn("batch", F.col("vec_id") % 4), "label", "batch")
 
 
-METRICS = [("none", 0.5, 0.6, None, 0.4, 0.2), ("harmony", 0.7, 0.8, 0.9, 0.8, 0.6), ("rpca", None, None, None, 0.9, 0.3), ("cca", 0.4, float("nan"), None, None, float("nan"))]
-_COLS = "method string, ARI double, NMI double, cLISI double, ASW_batch double, iLISI double"
+# metrics of methods: types of parts stand in for methods; one lacks a metric, one has a metric that is not a number
+_MET = """m AS (SELECT p_type AS method, avg(p_size) / 50 ARI, avg(p_retailprice) / 2000 NMI, CASE WHEN p_type <> 'ECONOMY' THEN min(p_size) / 50.0 END::DOUBLE cLISI,
+CASE WHEN p_type = 'SMALL' THEN 'nan'::DOUBLE ELSE avg(p_size % 7) / 7 END ASW_batch, max(p_size) / 60.0::DOUBLE iLISI FROM part GROUP BY 1)"""
+_BIO, _BATCH = ["ARI", "NMI", "cLISI"], ["ASW_batch", "iLISI"]
+
 
+def _metrics(spark, d):
+    size = F.col("p_size")
+    return table(spark, d, "part").groupBy(F.col("p_type").alias("method")).agg(
+        (F.avg(size) / 50).alias("ARI"), (F.avg("p_retailprice") / 2000).alias("NMI"), F.when(F.col("method") != "ECONOMY", F.min(size) / 50.0).alias("cLISI"),
+        F.when(F.col("method") == "SMALL", float("nan")).otherwise(F.avg(size % 7) / 7).alias("ASW_batch"), (F.max(size) / 60.0).alias("iLISI"),
+    )
 
-@query("SELECT * FROM (VALUES ('none', 0.45::DOUBLE), ('harmony', 0.76), ('rpca', 0.6), ('cca', 0.4)) t(method, overall)")
+
+_OVERALL = f"WITH {_MET}, o AS (SELECT method, 0.6 * list_avg(list_filter([ARI, NMI, cLISI], lambda x: isfinite(x))) + 0.4 * list_avg(list_filter([ASW_batch, iLISI], lambda x: isfinite(x))) overall FROM m)"
+
+
+@query(f"{_OVERALL} SELECT method, round(overall, 9) overall FROM o")
 def overall_score(spark, d):
-    """A27 A28 K17."""
-    m = scores.overall_score(spark.createDataFrame(METRICS, _COLS), ["ARI", "NMI", "cLISI"], ["ASW_batch", "iLISI"])
-    return m.select("method", F.round("overall", 9).alias("overall"))
+    """A27 K17."""
+    return scores.overall_score(_metrics(spark, d), _BIO, _BATCH).select("method", F.round("overall", 9).alias("overall"))
+
+
+@query(f"{_OVERALL} SELECT method, round(overall, 9) overall FROM o ORDER BY round(overall, 9) DESC, method LIMIT 1")
+def best_method(spark, d):
+    """The method of the greatest overall score."""
+    m = scores.overall_score(_metrics(spark, d), _BIO, _BATCH).select("method", F.round("overall", 9).alias("overall"))
+    return scores.best_row(m, "overall", "method")
 
 
-@query("SELECT * FROM (VALUES ('ARI', true), ('NMI', true), ('cLISI', true), ('ASW_batch', true), ('iLISI', true), ('zero', false)) t(metric, active)")
+@query(f"WITH {_MET} SELECT unnest(['ARI', 'NMI', 'cLISI', 'ASW_batch', 'iLISI', 'zero']) metric, unnest([bool_or(isfinite(ARI)), bool_or(isfinite(NMI)), bool_or(isfinite(cLISI)), bool_or(isfinite(ASW_batch)), bool_or(isfinite(iLISI)), false]) active FROM m")
 def active_metrics(spark, d):
     """A28."""
-    m = spark.createDataFrame(METRICS, _COLS).withColumn("zero", F.lit(float("nan")))
-    return scores.active_metrics(m, ["ARI", "NMI", "cLISI", "ASW_batch", "iLISI", "zero"])
+    return scores.active_metrics(_metrics(spark, d).withColumn("zero", F.lit(float("nan"))), [*_BIO, *_BATCH, "zero"])
 
 
 @query(

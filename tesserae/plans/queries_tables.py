@@ -8,7 +8,18 @@ from tesserae.functions import text
 from tesserae.operators import harmonize, labels, reports
 from tesserae.plans.registry import counts, query, table
 
-NAMES = [" S1_harmonized_singlets ", "S2_harmonized_filtered.rds", "s3.RDS", "S4_with_doublet_calls", "S5_filtered_singlets", "plain", None]
+# what stages append to names, and spellings of protocols; rows of the tables take them in turn
+SUFFIXES = ["_harmonized_singlets ", "_harmonized_filtered.rds", ".RDS", "_with_doublet_calls", "_filtered_singlets", "", None]
+PROTOCOLS = ["10x_3_v3.1", "10X_5", "10x_5'_v2", "Drop-seq", "dropseq", "PIPseq V4", "10x v1", "10x_v4", "10x", "Smart-seq2", None]
+
+
+def _in_turn(values, key):
+    """The value whose turn it is by a row's key."""
+    return F.get(F.array(*(F.lit(v) for v in values)), (F.col(key) % len(values)).cast("int"))
+
+
+def _turn_sql(values, key):
+    return "list_extract([" + ", ".join("NULL" if v is None else "'" + v.replace("'", "''") + "'" for v in values) + f"], ({key} % {len(values)} + 1)::INT)"
 
 
 def _values(rows):
@@ -16,27 +27,27 @@ def _values(rows):
 
 
 @query(
-    f"SELECT raw, regexp_replace(regexp_replace(lower(trim(raw)), '\\.rds$', ''), '(_(harmonized_filtered|harmonized|filtered|with_doublet_calls|singlets))+$', '') canonical FROM (VALUES {_values([(n,) for n in NAMES])}) t(raw)"
+    f"SELECT c_custkey, regexp_replace(regexp_replace(lower(trim(' ' || c_name || {_turn_sql(SUFFIXES, 'c_custkey')})), '\\.rds$', ''), '(_(harmonized_filtered|harmonized|filtered|with_doublet_calls|singlets))+$', '') canonical FROM customer"
 )
 def canon_name(spark, d):
     """Suffixes stripped to a fixpoint."""
-    return spark.createDataFrame([(n,) for n in NAMES], "raw string").select("raw", text.canonical_sample(F.col("raw")).alias("canonical"))
-
-
-PROTOCOLS = ["10x_3_v3.1", "10X_5", "10x_5'_v2", "Drop-seq", "dropseq", "PIPseq V4", "10x v1", "10x_v4", "10x", "Smart-seq2", None]
+    raw = F.concat(F.lit(" "), "c_name", _in_turn(SUFFIXES, "c_custkey"))
+    return table(spark, d, "customer").select("c_custkey", text.canonical_sample(raw).alias("canonical"))
 
 
 @query(
     f"""
-WITH s AS (SELECT raw, lower(trim(raw)) s FROM (VALUES {_values([(n,) for n in PROTOCOLS])}) t(raw)),
+WITH r AS (SELECT p_partkey, {_turn_sql(PROTOCOLS, "p_partkey")} t, p_size FROM part), s AS (SELECT p_partkey, lower(trim(CASE WHEN p_size % 2 = 0 THEN t ELSE ' ' || upper(t) || ' ' END)) s FROM r),
 v AS (SELECT *, regexp_extract(s, 'v[0-9]+(\\.[0-9]+)?') v FROM s)
-SELECT raw, CASE WHEN regexp_matches(s, 'drop.?seq') THEN 'dropseq' WHEN contains(s, 'pipseq') THEN 'pipseq' WHEN starts_with(s, '10x') THEN '10x' ELSE s END platform,
+SELECT p_partkey, CASE WHEN regexp_matches(s, 'drop.?seq') THEN 'dropseq' WHEN contains(s, 'pipseq') THEN 'pipseq' WHEN starts_with(s, '10x') THEN '10x' ELSE s END platform,
 CASE WHEN regexp_matches(s, 'drop.?seq') OR contains(s, 'pipseq') OR NOT starts_with(s, '10x') THEN NULL WHEN regexp_matches(s, '_5($|[_''])') THEN '5p' WHEN v = 'v3.1' THEN 'v3' WHEN v = 'v1' THEN 'v2' WHEN v <> '' THEN v WHEN s IS NOT NULL THEN 'v3' END chemistry FROM v"""
 )
 def protocol_parse(spark, d):
     """F2."""
-    x = spark.createDataFrame([(n,) for n in PROTOCOLS], "raw string").withColumn("p", text.parse_protocol(F.col("raw")))
-    return x.select("raw", "p.platform", "p.chemistry")
+    t = _in_turn(PROTOCOLS, "p_partkey")
+    raw = F.when(F.col("p_size") % 2 == 0, t).otherwise(F.concat(F.lit(" "), F.upper(t), F.lit(" ")))
+    x = table(spark, d, "part").select("p_partkey", text.parse_protocol(raw).alias("p"))
+    return x.select("p_partkey", "p.platform", "p.chemistry")
 
 
 @query(
@@ -250,41 +261,66 @@ def _assign(spark):
     return spark.createDataFrame(ASSIGN, "cluster string, level_1 string, level_2 string, level_3 string")
 
 
+# labels of parts with gaps, as clusters' labels come
+_B = """WITH a AS (SELECT p_partkey::VARCHAR AS cluster, CASE WHEN p_size % 10 = 0 THEN ' NaN' ELSE p_type END level_1, CASE WHEN p_size % 3 = 1 THEN 'Unassigned' WHEN p_size % 3 = 2 THEN p_brand END level_2,
+CASE WHEN p_size % 4 = 0 THEN p_name ELSE '' END level_3, p_retailprice level_1_score, CASE WHEN p_size % 5 = 0 THEN p_size / 10.0 END::DOUBLE level_2_score FROM part)"""
+_LEVELS = ["level_1", "level_2", "level_3"]
+
+
+def _part_labels(spark, d):
+    n = F.col("p_size")
+    level_2 = F.when(n % 3 == 1, "Unassigned").when(n % 3 == 2, F.col("p_brand"))
+    return table(spark, d, "part").select(
+        F.col("p_partkey").cast("string").alias("cluster"), F.when(n % 10 == 0, " NaN").otherwise(F.col("p_type")).alias("level_1"), level_2.alias("level_2"), F.when(n % 4 == 0, F.col("p_name")).otherwise("").alias("level_3"),
+        F.col("p_retailprice").alias("level_1_score"), F.when(n % 5 == 0, n / 10.0).alias("level_2_score"), F.lit(None).cast("double").alias("level_3_score"),
+    )
+
+
 _PROP = (
-    _A
-    + f""", b AS (SELECT cluster, level_1, CASE WHEN {_MISS.format("level_2")} THEN level_1 ELSE level_2 END level_2, level_3 FROM a),
-c AS (SELECT cluster, level_1, level_2, CASE WHEN {_MISS.format("level_3")} THEN level_2 ELSE level_3 END level_3 FROM b),
-p AS (SELECT cluster, {", ".join(f"CASE WHEN {_MISS.format(f'level_{i}')} THEN 'Unassigned' ELSE level_{i} END level_{i}" for i in (1, 2, 3))} FROM c)"""
+    _B
+    + f""", b AS (SELECT * REPLACE (CASE WHEN {_MISS.format("level_2")} THEN level_1 ELSE level_2 END AS level_2) FROM a),
+c AS (SELECT * REPLACE (CASE WHEN {_MISS.format("level_3")} THEN level_2 ELSE level_3 END AS level_3) FROM b),
+p AS (SELECT cluster, {", ".join(f"CASE WHEN {_MISS.format(c)} THEN 'Unassigned' ELSE {c} END {c}" for c in _LEVELS)}, level_1_score, level_2_score FROM c)"""
 )
 
 
-@query(_PROP + " SELECT * FROM p")
+@query(_PROP + " SELECT cluster, level_1, level_2, level_3 FROM p")
 def label_propagate(spark, d):
     """W7."""
-    return labels.propagate_labels(_assign(spark), ["level_1", "level_2", "level_3"])
+    return labels.propagate_labels(_part_labels(spark, d), _LEVELS).select("cluster", *_LEVELS)
 
 
 @query(
     _PROP
-    + """, s AS (SELECT *, length(cluster) + cluster::INT * 0.5 level_1_score, CASE WHEN cluster IN ('3') THEN 0.25 END::DOUBLE level_2_score, NULL::DOUBLE level_3_score FROM p),
-t AS (SELECT * REPLACE (CASE WHEN level_2_score IS NULL AND level_2 = level_1 THEN level_1_score ELSE level_2_score END AS level_2_score) FROM s)
-SELECT cluster, level_1_score::DOUBLE level_1_score, level_2_score::DOUBLE level_2_score, (CASE WHEN level_3_score IS NULL AND level_3 = level_2 THEN level_2_score ELSE level_3_score END)::DOUBLE level_3_score FROM t"""
+    + """, t AS (SELECT * REPLACE (CASE WHEN level_2_score IS NULL AND level_2 = level_1 THEN level_1_score ELSE level_2_score END AS level_2_score) FROM p)
+SELECT cluster, level_1_score, level_2_score, CASE WHEN level_3 = level_2 THEN level_2_score END level_3_score FROM t"""
 )
 def score_propagate(spark, d):
-    """W8 J8."""
-    a = labels.propagate_labels(_assign(spark), ["level_1", "level_2", "level_3"])
-    a = a.withColumns({"level_1_score": F.length("cluster") + F.col("cluster").cast("int") * 0.5, "level_2_score": F.when(F.col("cluster") == "3", 0.25), "level_3_score": F.lit(None).cast("double")})
-    a = a.withColumn("level_1_score", F.col("level_1_score").cast("double"))
-    return labels.propagate_scores(a, ["level_1", "level_2", "level_3"]).select("cluster", "level_1_score", "level_2_score", "level_3_score")
+    """W8."""
+    a = labels.propagate_labels(_part_labels(spark, d), _LEVELS)
+    return labels.propagate_scores(a, _LEVELS).select("cluster", *(f"{c}_score" for c in _LEVELS))
 
 
-OVER = [("0", "Level2", "Inhibitory"), ("3", "LEVEL_1", "Glia"), ("9", "level_1", "Ghost"), ("1", "level_9", "X")]
+@query(_PROP + ", q AS (SELECT cluster, level_1, level_2, level_2_score, level_2_score + 1 seq FROM p WHERE level_2_score IS NOT NULL UNION ALL SELECT cluster, level_1, level_2, level_1_score, level_1_score FROM p) SELECT cluster, max_by(level_2_score, seq) score FROM q GROUP BY 1")
+def last_metric_row(spark, d):
+    """Of repeated metrics rows of a cluster, the last."""
+    a = _part_labels(spark, d)
+    rows = a.where("level_2_score is not null").selectExpr("cluster", "level_2_score as score", "level_2_score + 1 as seq").union(a.selectExpr("cluster", "level_1_score", "level_1_score"))
+    return labels.last_per_cluster(rows).select("cluster", "score")
 
 
-@query(_A + f", o(cluster, level, label) AS (VALUES {_values(OVER)}) SELECT a.cluster, {', '.join(f'coalesce((SELECT max(label) FROM o WHERE o.cluster = a.cluster AND lower(replace(level, chr(95), chr(32))) IN (chr(108) || chr(101) || chr(118) || chr(101) || chr(108) || chr(32) || {i}, chr(108) || chr(101) || chr(118) || chr(101) || chr(108) || {i})), level_{i}) level_{i}' for i in (1, 2, 3))} FROM a")
+SPELT = ["Level2", "LEVEL_1", "level_9", "Level_3"]
+
+
+@query(
+    _B
+    + f""", o AS (SELECT s_suppkey::VARCHAR AS cluster, lower(replace({_turn_sql(SPELT, "s_suppkey")}, '_', '')) k, s_name FROM supplier)
+SELECT cluster, {", ".join(f"coalesce((SELECT max(s_name) FROM o WHERE o.cluster = a.cluster AND k = 'level{i}'), level_{i}) level_{i}" for i in (1, 2, 3))} FROM a"""
+)
 def manual_override(spark, d):
-    """J6 S26."""
-    return labels.override_labels(_assign(spark), spark.createDataFrame(OVER, "cluster string, level string, label string"), ["level_1", "level_2", "level_3"])
+    """Labels given by hand, suppliers standing in for the file."""
+    o = table(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("cluster"), _in_turn(SPELT, "s_suppkey").alias("level"), F.col("s_name").alias("label"))
+    return labels.override_labels(_part_labels(spark, d), o, _LEVELS).select("cluster", *_LEVELS)
 
 
 @query(_A + " SELECT vec_id, level_1, level_2, level_3, coalesce(level_3, level_2, level_1, label::VARCHAR) latest FROM embeddings LEFT JOIN a ON a.cluster = label::VARCHAR")
