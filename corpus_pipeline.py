@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tesserae.llm.decontam import contamination
@@ -13,6 +13,11 @@ from tesserae.llm.secrets import fit_forest, labelled_findings, redact
 from tesserae.plans.workspace import Workspace, small_side
 
 
+def _named(columns: list[str]) -> list[Column]:
+    """Columns by their whole names, dots and backticks included."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in columns]
+
+
 def _rows(spark: SparkSession, docs: DataFrame, label: str) -> tuple[DataFrame, bool]:
     """``docs`` and False or, if any row is odd (its doc_id is null or repeated), (row, doc_id, text, odd) of them and True.
 
@@ -22,7 +27,7 @@ def _rows(spark: SparkSession, docs: DataFrame, label: str) -> tuple[DataFrame,
     n, distinct = docs.agg(F.count("*"), F.count_distinct("doc_id")).first()
     if n == distinct:
         return docs, False
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")).select("row", F.col("row.doc_id").cast("long").alias("id"), F.col("row.text").alias("text"))
+    rows = docs.select(F.struct(*_named(docs.columns)).alias("row")).select("row", F.col("row.doc_id").cast("long").alias("id"), F.col("row.text").alias("text"))
     odd = rows.groupBy("id").agg(F.count("*").alias("n")).where("n > 1 or id is null").select(F.col("id").alias("odd_id"), F.lit(True).alias("odd"))
     odd = Workspace(spark, label).save(odd, "odd")
     key = F.lit(1 << 62) + F.xxhash64("id", "text").bitwiseAND((1 << 60) - 1)
@@ -57,7 +62,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows, odd = _rows(spark, docs, "dedup")
     kept = _without(spark, rows, near_duplicates(rows, n=5, num=80, den=100).where("not kept"), "dedup")
     if not odd:
-        return kept.select(*docs.columns)
+        return kept.select(*_named(docs.columns))
     return kept.where("not odd").unionByName(kept.where("odd").dropDuplicates(["doc_id"])).select("row.*")
 
 
@@ -67,7 +72,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     rows, odd = _rows(spark, docs, "decontaminate")
     kept = _without(spark, rows, contamination(rows, items, t=10).where("contaminated"), "decontaminate")
-    return kept.select("row.*") if odd else kept.select(*docs.columns)
+    return kept.select("row.*") if odd else kept.select(*_named(docs.columns))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -77,10 +82,14 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn to the target mixture, with their training weight as ``mix_weight``."""
+    """Documents drawn to the target mixture, with their training weight as ``mix_weight`` (``mix_weight_2``, 3, ... if taken)."""
     _release(spark)
     drawn = mix(docs, carry=True).where("sampled")
-    return drawn.select("row.*", drawn["weight"].alias("mix_weight"))
+    taken, name, n = {c.lower() for c in docs.columns}, "mix_weight", 1
+    while name in taken:
+        n += 1
+        name = f"mix_weight_{n}"
+    return drawn.select("row.*", drawn["weight"].alias(name))
 
 
 STAGES = [("quality", quality), ("near_dedup", near_dedup), ("decontaminate", decontaminate), ("secrets", secrets), ("mixture", mixture)]
