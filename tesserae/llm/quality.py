@@ -194,4 +194,5 @@ def keep_quality(docs: DataFrame, model: QualityModel, threshold: float = 0.3) -
             texts = [None if t is None else t.encode() for t in b.column(at).to_pylist()]
             yield b.filter(pa.array(shared.value.score(texts) >= threshold, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))  # names of any kind pass by their places
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
