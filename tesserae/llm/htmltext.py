@@ -24,8 +24,12 @@ _SPACE = frozenset("br td th img".split())
 _CLOSES_P = _BLOCK - frozenset("body html dd dt li tbody td tfoot th thead tr".split())
 _SCOPE = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "td": ("table",), "th": ("table",), "tr": ("table",)}
 _CLOSED_BY = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th"), "tr": ("tr", "td", "th")}
+_HEAD = frozenset("base link meta noscript script style template title".split())
+_LABELS = frozenset("button select".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _BESIDE = frozenset("nav footer aside form dialog menu".split())
+_QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
+_UNSEEN = re.compile(r"display\s*:\s*none", re.I)
 #: A name hints at a thing beside the text if all its parts are such words or words for a place or a box, and one is such a word.
 _NOISE = re.compile(r"ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|popup|modal|newsletter|subscribe|share|sharing|social|sidebar|related|recommended|breadcrumbs?|pagination|pager|menu|navbar|navigation|nav|footer|masthead|comments?|disqus|respond|replies|widget|contentinfo|complementary|search")
 _PLACE = re.compile(r"\d+|area|articles?|bar|block|bottom|box|buttons?|container|form|icons?|inner|items?|left|links?|list|main|outer|page|panel|posts?|primary|right|secondary|section|signup|site|slot|thread|top|unit|wrap|wrapper")
@@ -51,17 +55,39 @@ class _Node:
         self.kids: list[_Node | str] = []
 
 
+def _unseen(attrs: str) -> bool:
+    """Whether an element is hidden by its attributes."""
+    low = attrs.lower()
+    return ("hidden" in low and re.search(r"(?:^|\s)hidden(?:[\s=/]|$)", _QUOTED.sub("", low)) is not None) or ("display" in low and _UNSEEN.search(attrs) is not None)
+
+
+def _leave(node: _Node, to: _Node) -> _Node:
+    """``to``, with all below it on the way closed. A button or select that no end tag closed had no end: its start tag alone
+    is dropped, and what came after it stays."""
+    while node is not to:
+        if node.tag in _LABELS:
+            node.tag = "span"
+            node.parent.kids.append(node)
+        node = node.parent
+    return to
+
+
 def parse(page: str) -> _Node:
-    """A forgiving tree of all elements but scripts, styles and the like: unknown, unclosed and stray tags never fail."""
+    """A forgiving tree of all elements but scripts, styles, hidden ones and the like: unknown, unclosed and stray tags never fail.
+
+    A head ends at the first thing that is none of its own, a button or select at a block; end tags are optional.
+    """
     root = node = _Node("html", None)
     at, size = 0, len(page)
     while at < size:
         m = _MARKUP.search(page, at)
+        text = page[at : m.start()] if m else page[at:]
+        if text:
+            if node.tag == "head" and text.strip():
+                node = node.parent
+            node.kids.append(text)
         if m is None:
-            node.kids.append(page[at:])
             break
-        if m.start() > at:
-            node.kids.append(page[at : m.start()])
         at, gap = m.end(), m[1]
         close, tag, attrs = (m[2], m[3], m[4]) if m[3] else (m[5], m[6] or "", m[7])
         tag = tag.lower()
@@ -74,11 +100,15 @@ def parse(page: str) -> _Node:
             while up is not root and up.tag != tag:
                 up = up.parent
             if up is not root:
-                node = up.parent
+                node = _leave(node, up).parent
             continue
+        if node.tag == "head" and tag not in _HEAD:
+            node = node.parent
         if tag in ("html", "body"):
             continue
-        if tag in _RAW and tag not in ("head", "button", "select"):
+        if tag in _BLOCK and (label := next((n for n in _above(node) if n.tag in _LABELS), None)):
+            node = label.parent
+        if tag in _RAW and tag != "head" and tag not in _LABELS:
             stop = re.compile(rf"</{re.escape(tag)}\s*[^>]*>", re.I).search(page, at)
             at = stop.end() if stop else (size if tag in ("script", "style", "template", "title", "textarea") else at)
             continue
@@ -92,10 +122,11 @@ def parse(page: str) -> _Node:
                     up = up.parent
                 node = up.parent
         child = _Node(tag, node, _hint(tag, attrs or ""))
-        if tag not in _RAW:
+        if tag not in _RAW and not (attrs and _unseen(attrs)):
             node.kids.append(child)
         if tag not in _VOID and not (attrs or "").endswith("/"):
             node = child
+    _leave(node, root)
     return root
 
 

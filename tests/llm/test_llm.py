@@ -674,3 +674,26 @@ def test_pipeline_of_awkward_documents(spark, tmp_path):
     assert p.run(spark, str(tmp_path)).count() == 0
     docs.write.mode("overwrite").parquet(str(tmp_path / "documents.parquet"))
     assert set(p.run(spark, str(tmp_path)).columns) == {*docs.columns, "mix_weight_2"}
+
+
+PROSE = "The river rose in the night and the lower fields were under water by morning, as the old men had said it would be. Nobody slept."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<html><head><title>t</title><body><article><p>{PROSE}</p></article></body></html>",
+        f"<html><head><meta charset=utf-8><title>t</title><article><p>{PROSE}</p></article>",
+        f"<head><title>t</title>{PROSE}",
+        f"<title>t</title><p>{PROSE}",
+        f"<body><article><button>Menu<p>{PROSE}</p></article></body>",
+        f"<body><article><button>{PROSE}</article></body>",
+        f"<body><article><select><option>a<p>{PROSE}</p></article></body>",
+        f"<body><article><p>{PROSE}</p><button>Share</button><select><option>x</select></article></body>",
+        f"<body><article><p>{PROSE}</p><p hidden>gone</p><div style='display: none'>gone too</div><p class='hidden' title=hidden-x></p></article></body>",
+        f"<body><article><ul hidden='hidden'><li>gone<li>gone</ul><p data-note='hidden'>{PROSE}</article>",
+    ],
+)
+def test_optional_end_tags_lose_no_text(page):
+    assert htmltext.main_text(page).split("\n")[-1].strip() == PROSE
+    assert htmltext.main_text(page) in (PROSE, f"Menu\n{PROSE}")
