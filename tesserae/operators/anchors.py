@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -181,3 +181,15 @@ def integrate_anchors(cells: DataFrame, reduction: str = "cca", dims: int = 30,
         moved = correction(a, b, found, places[-1][1], k_weight)
         done = ws.save(done.unionByName(moved.join(mine.select("id", "batch"), "id").select("id", "batch", "vec")), f"done-{i}")
     return done
+
+
+def integrate_all(cells: DataFrame, methods: dict[str, Callable[[DataFrame], DataFrame]]) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Each method's result, and (method, status, n_cells, message): a method that fails is reported and does not stop the others."""
+    ws, done, rows = Workspace(cells.sparkSession, "methods"), {}, []
+    for name, run in methods.items():
+        try:
+            done[name] = ws.save(run(cells), name)
+            rows.append((name, "ok", done[name].count(), None))
+        except Exception as e:  # whatever a method raises is its status
+            rows.append((name, "failed", 0, str(e).splitlines()[0][:200] if str(e) else type(e).__name__))
+    return done, cells.sparkSession.createDataFrame(rows, "method string, status string, n_cells long, message string")

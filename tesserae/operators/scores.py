@@ -167,7 +167,9 @@ def centroids(points: DataFrame, label: str = "label", vec: str = "vec") -> Data
 def classify_prototypes(points: DataFrame, prototypes: DataFrame, id_: str = "id", vec: str = "vec") -> DataFrame:
     """(id, predicted, dist, uncertainty): nearest prototype by L2, and its distance scaled to [0, 1] over the query.
 
-    Prototypes are one row per cell type; they ride along as one array, so points are not multiplied.
+    Prototypes are one row per cell type; they ride along as one array, so points are not multiplied. The distances are scaled by
+    their range; taking off the median and dividing by the quartiles' distance before, as a robust scaler does, is affine and
+    would change nothing.
     """
     book = prototypes.agg(F.array_sort(F.collect_list(F.struct(F.col("label").alias("label"), F.col("centroid").alias("c")))).alias("book"))
 
@@ -186,3 +188,18 @@ def isolated_labels(df: DataFrame, label: str, batch: str) -> DataFrame:
     n = df.groupBy(label).agg(F.count_distinct(batch).alias("n_batches"))
     least = n.agg(F.min("n_batches").alias("least"))
     return n.join(F.broadcast(least)).select(label, "n_batches", (F.col("n_batches") == F.col("least")).alias("isolated"))
+
+
+def isolated_f1(df: DataFrame, cluster: str, label: str, batch: str) -> DataFrame:
+    """(label, f1): for each label found in the fewest batches, the best F1 of a cluster taken as that label. From the contingency
+    table alone; rows of a null label or cluster take no part in the counts."""
+    c = contingency(df, label, cluster).withColumns({"n_label": F.sum("n").over(Window.partitionBy("a")), "n_cluster": F.sum("n").over(Window.partitionBy("b"))})
+    best = c.groupBy(F.col("a").alias(label)).agg(F.max(2 * F.col("n") / (F.col("n_label") + F.col("n_cluster"))).alias("f1"))
+    return best.join(isolated_labels(df, label, batch).where("isolated").select(label), label)
+
+
+def isolated_asw(scores: DataFrame, cells: DataFrame, label: str, batch: str) -> DataFrame:
+    """(label, asw): mean silhouette, scaled to [0, 1], of the cells of each label found in the fewest batches. ``scores`` has
+    (id, label, silhouette) by label."""
+    alone = isolated_labels(cells, label, batch).where("isolated").select(label)
+    return scores.join(alone, label).groupBy(label).agg(((F.avg("silhouette") + 1) / 2).alias("asw"))
