@@ -6,7 +6,7 @@ refines each community from single nodes into connected parts, and contracts the
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tesserae.plans.workspace import Workspace
@@ -27,7 +27,7 @@ def _turn(key: str, i: int) -> Column:
 class Leiden:
     """One run; ``graph(a, b, w)`` is symmetric and, at the first level, shared by all resolutions."""
 
-    def __init__(self, graph: DataFrame, resolutions: list[float], most: int = 40, tolerance: float = 0.001):
+    def __init__(self, graph: DataFrame, resolutions: list[float], most: int = 16, tolerance: float = 0.02):
         self.ws = Workspace(graph.sparkSession, "leiden")
         self.graph = self.ws.save(graph, "graph")
         self.resolutions, self.most, self.tolerance = sorted({float(r) for r in resolutions}), most, tolerance
@@ -40,6 +40,12 @@ class Leiden:
         self.step += 1
         return self.ws.save(df, f"{name}-{self.step}")
 
+    def _counted(self, df: DataFrame, name: str, flag: str) -> tuple[DataFrame, int, int]:
+        """The saved table, its rows, and the rows whose ``flag`` is set, counted as they are written."""
+        seen = Observation()
+        out = self._save(df.observe(seen, F.count("*").alias("n"), F.count_if(flag).alias("k")), name)
+        return out, seen.get["n"], seen.get["k"]
+
     def _beside(self, edges: DataFrame, cur: DataFrame, column: str) -> DataFrame:
         """(res, node, column, w): weight from each node to each value of ``column`` of its neighbours, itself left out."""
         far = cur.select("res", F.col("node").alias("b"), column)
@@ -50,7 +56,8 @@ class Leiden:
         return F.col("res") * F.col(k) * total / F.lit(self.m2)
 
     def move(self, edges: DataFrame, cur: DataFrame) -> DataFrame:
-        """Local moves of half of the nodes at a time, chosen anew each round, until hardly any has a better community."""
+        """Local moves of half of the nodes at a time, the halves drawn anew every second round, until of all nodes at most the
+        share ``tolerance`` still moves (none, once a level has few)."""
         cur, last = self._save(cur.withColumn("moved", F.lit(False)), "move"), 0
         for i in range(self.most):
             size = cur.groupBy("res", "cluster").agg(F.sum("k").alias("kc"))
@@ -61,16 +68,14 @@ class Leiden:
             gain = F.round(F.col("w") - self._expected("k", F.col("kc") - F.when(stays, F.col("k")).otherwise(0.0)), 9)
             best = x.groupBy("res", "node", "k", "mine").agg(F.max_by("cluster", F.struct(gain.alias("g"), stays.alias("s"), F.xxhash64("cluster").alias("h"))).alias("to"))
             to = F.when(_turn("node", i), F.col("to")).otherwise(F.col("mine"))
-            nxt = self._save(best.select("res", "node", "k", to.alias("cluster"), (to != F.col("mine")).alias("moved")), "move")
+            cur, n, moved = self._counted(best.select("res", "node", "k", to.alias("cluster"), (to != F.col("mine")).alias("moved")), "move", "moved")
             self.ws.drop(f"move-{self.step - 1}")
-            cur = nxt
-            n, moved = cur.agg(F.count("*"), F.count_if("moved")).first()
             if i % 2 and last + moved <= self.tolerance * n:
                 break
             last = moved
         return cur.drop("moved")
 
-    def refine(self, edges: DataFrame, cur: DataFrame, rounds: int = 6) -> DataFrame:
+    def refine(self, edges: DataFrame, cur: DataFrame, rounds: int = 4) -> DataFrame:
         """``cur`` with ``part``: connected parts of each community.
 
         A node alone in its part may join a part that it touches within its community, if both are well connected to the rest
@@ -83,7 +88,7 @@ class Leiden:
         whole = cur.groupBy("res", "cluster").agg(F.sum("k").alias("kc"))
         reach = inner.groupBy("res", F.col("a").alias("node")).agg(F.sum("w").alias("reach"))
         p = cur.join(whole, ["res", "cluster"]).join(reach, ["res", "node"], "left").withColumn("reach", F.coalesce("reach", F.lit(0.0)))
-        p, quiet = self._save(p.withColumns({"part": F.col("node"), "moved": F.lit(False)}), "part"), 0
+        p, last = self._save(p.withColumns({"part": F.col("node"), "moved": F.lit(False)}), "part"), 0
         for i in range(rounds):
             near = self._beside(inner, p, "part")
             # edges that leave a part for the rest of its community: those of its nodes less those within it, both ways
@@ -96,11 +101,11 @@ class Leiden:
             offer = near.join(alone, ["res", "node"]).join(hosts, ["res", "part"]).withColumn("gain", F.round(F.col("w") - self._expected("k", F.col("kp")), 9)).where("gain > 0")
             to = offer.groupBy("res", "node").agg(F.max_by("part", F.struct("gain", F.xxhash64("part"))).alias("to"))
             p = p.drop("moved").join(to, ["res", "node"], "left").withColumns({"part": F.coalesce("to", "part"), "moved": F.col("to").isNotNull()}).drop("to")
-            p = self._save(p, "part")
+            p, _, moved = self._counted(p, "part", "moved")
             self.ws.drop(f"part-{self.step - 1}")
-            quiet = 0 if p.agg(F.count_if("moved")).first()[0] else quiet + 1
-            if quiet > 2:
+            if i % 2 and not last + moved:
                 break
+            last = moved
         return p.select("res", "node", "k", "cluster", "part")
 
     def contract(self, edges: DataFrame, parts: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -121,8 +126,8 @@ class Leiden:
             low = inner.join(cur.select("res", F.col("node").alias("b"), "least"), ["res", "b"]).groupBy("res", F.col("a").alias("node")).agg(F.min("least").alias("low"))
             nxt = cur.join(low, ["res", "node"], "left")
             new = F.least("least", F.coalesce("low", "least"))
-            cur = self._save(nxt.select("res", "node", "k", "cluster", new.alias("least"), (new != F.col("least")).alias("changed")), "least")
-            if not cur.agg(F.count_if("changed")).first()[0]:
+            cur, _, changed = self._counted(nxt.select("res", "node", "k", "cluster", new.alias("least"), (new != F.col("least")).alias("changed")), "least", "changed")
+            if not changed:
                 return cur.select("res", "node", "k", F.col("least").alias("cluster"))
 
     def run(self) -> DataFrame:

@@ -51,6 +51,24 @@ def highly_variable(moments: DataFrame, top: int = 3000, bins: int = 20, gene: s
     return out.orderBy(F.desc(F.round("z", 9)), gene).limit(top)
 
 
+def log_dispersion_genes(moments: DataFrame, top: int = 3000, bins: int = 20, gene: str = "gene") -> DataFrame:
+    """Genes ranked by normalised log dispersion: (gene, bin, mean, dispersion, z), the default flavour of the annotation step.
+
+    ``moments`` are those of unlogged normalised values. The logs of variance over mean are standardised within ``bins``
+    equal bins of log(1 + mean); a bin of one gene takes its own dispersion as spread and 0 as centre, so that its z is 1.
+    Genes without counts or spread are left out. Ties go to the smaller name.
+    """
+    d = moments.where("mean > 0 and variance > 0").select(gene, F.log1p("mean").alias("mean"), F.log(F.col("variance") / F.col("mean")).alias("dispersion"))
+    lo, hi = d.agg(F.min("mean"), F.max("mean")).first()
+    width = (hi - lo) / bins if lo is not None and hi > lo else 1.0
+    at = F.greatest(F.ceil((F.col("mean") - F.lit(lo)) / F.lit(width)), F.lit(1)) - 1  # bins are closed on the right
+    d = d.withColumn("bin", F.least(at, F.lit(bins - 1)).cast("int"))
+    stats = d.groupBy("bin").agg(F.avg("dispersion").alias("m"), F.stddev_samp("dispersion").alias("s"))
+    z = F.when(F.col("s").isNull(), 1.0).otherwise(F.coalesce(F.try_divide(F.col("dispersion") - F.col("m"), F.nullif(F.col("s"), F.lit(0.0))), F.lit(0.0)))
+    out = d.join(F.broadcast(stats), "bin").select(gene, "bin", "mean", "dispersion", z.alias("z"))
+    return out.orderBy(F.desc(F.round("z", 9)), gene).limit(top)
+
+
 def scale_clip(values: DataFrame, moments: DataFrame, limit: float = 10.0, gene: str = "gene") -> DataFrame:
     """``values`` with ``scaled``: (value - mean) / sd cut at ``limit``; without spread 0. Absent rows scale to -mean/sd."""
     z = F.coalesce(F.try_divide(F.col("value") - F.col("mean"), F.nullif(F.sqrt("variance"), F.lit(0.0))), F.lit(0.0))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tesserae.operators import metrics, neighbors, scores
+from tesserae.operators import density, metrics, neighbors, scores
 from tesserae.plans.registry import counts, query, table
 
 _N = "(SELECT count(DISTINCT l_orderkey) FROM lineitem)"
@@ -305,3 +305,34 @@ def cluster_centers(spark, d):
 def clustree(spark, d):
     """Cells shared by the clusters of neighbouring resolutions."""
     return scores.contingency(table(spark, d, "embeddings").withColumn("b", F.col("vec_id") % 3), "label", "b").select(F.col("a").alias("cluster_a"), F.col("b").alias("cluster_b"), F.col("n").cast("long").alias("n"))
+
+
+_GRID = 12
+
+
+@query(
+    f"""
+WITH p AS (SELECT vec_id, embedding[1]::DOUBLE x, embedding[2]::DOUBLE y FROM embeddings),
+s AS (SELECT count(*) n, min(x) ax, max(x) bx, min(y) ay, max(y) b_y, 1.06 * least(stddev_samp(x), (quantile_cont(x, 0.75) - quantile_cont(x, 0.25)) / 1.34) * pow(count(*), -0.2) hx,
+  1.06 * least(stddev_samp(y), (quantile_cont(y, 0.75) - quantile_cont(y, 0.25)) / 1.34) * pow(count(*), -0.2) hy FROM p),
+g AS (SELECT i, j, sum(exp(-0.5 * pow((ax + i * (bx - ax) / {_GRID - 1} - x) / hx, 2) - 0.5 * pow((ay + j * (b_y - ay) / {_GRID - 1} - y) / hy, 2))) / (2 * pi() * any_value(hx * hy * n)) z FROM p, s, range({_GRID}) a(i), range({_GRID}) b(j) GROUP BY ALL)
+SELECT vec_id, round(z, 6) density FROM p, s JOIN g ON i = least(greatest(floor((x - ax) / ((bx - ax) / {_GRID - 1})), 0), {_GRID - 2}) AND j = least(greatest(floor((y - ay) / ((b_y - ay) / {_GRID - 1})), 0), {_GRID - 2})"""
+)
+def point_density(spark, d):
+    """Density of the first two components at each point."""
+    p = table(spark, d, "embeddings").select("vec_id", F.col("embedding")[0].cast("double").alias("x"), F.col("embedding")[1].cast("double").alias("y"))
+    return density.point_density(p, n=_GRID).select("vec_id", F.round("density", 6).alias("density"))
+
+
+@query(
+    """
+WITH v AS (SELECT l_partkey gene, l_quantity * 10000 / sum(l_quantity) OVER (PARTITION BY l_orderkey) v FROM lineitem), n AS (SELECT count(DISTINCT l_orderkey)::DOUBLE n FROM lineitem),
+m AS (SELECT gene, sum(v) / n mean, (sum(v * v) - n * pow(sum(v) / n, 2)) / (n - 1) variance FROM v, n GROUP BY gene, n), d AS (SELECT gene, ln(1 + mean) mean, ln(variance / mean) dispersion FROM m WHERE mean > 0 AND variance > 0),
+b AS (SELECT *, least(greatest(ceil((mean - min(mean) OVER ()) / ((max(mean) OVER () - min(mean) OVER ()) / 20)), 1) - 1, 19)::INT bin FROM d),
+z AS (SELECT *, CASE WHEN count(*) OVER (PARTITION BY bin) = 1 THEN 1 ELSE coalesce((dispersion - avg(dispersion) OVER (PARTITION BY bin)) / nullif(stddev_samp(dispersion) OVER (PARTITION BY bin), 0), 0) END z FROM b)
+SELECT gene, bin, round(mean, 6) mean, round(dispersion, 6) dispersion, round(z, 6) z FROM z ORDER BY round(z, 9) DESC, gene LIMIT 100"""
+)
+def log_dispersion_genes(spark, d):
+    """Variable genes by the default flavour, from unlogged normalised values."""
+    v = _values(spark, d).withColumn("value", F.expm1("value"))
+    return metrics.log_dispersion_genes(metrics.gene_moments(v, _n_cells(spark, d)), 100).select("gene", "bin", *(F.round(c, 6).alias(c) for c in ("mean", "dispersion", "z")))
