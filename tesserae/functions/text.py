@@ -113,3 +113,37 @@ def first_dims(vector: Column, n: int = 30) -> Column:
 def params_digest(*params: Column) -> Column:
     """SHA-256 of a parameter struct, to tell whether an output is of the same run."""
     return F.sha2(F.to_json(F.struct(*params)), 256)
+
+
+def stamp(when: Column | None = None) -> Column:
+    """Time as it stands in file names, ``20240131_235959``; now, if none is given."""
+    return F.date_format(F.current_timestamp() if when is None else when, "yyyyMMdd_HHmmss")
+
+
+def parse_list(text: str | None) -> list[str]:
+    """Trimmed values between commas; none of a blank text."""
+    return [p.strip() for p in text.split(",")] if text and text.strip() else []
+
+
+def parse_resolutions(value: object, default: tuple[float, ...] = (0.4, 0.6, 1.0)) -> list[float]:
+    """Resolutions of a configuration: a number, a list, or a text with commas or semicolons; none gives the default."""
+    if value is None:
+        return list(default)
+    if isinstance(value, str):
+        found = [float(p) for p in parse_list(value.replace(";", ",")) if p]
+        if not found:
+            raise ValueError("no resolutions configured")
+        return found
+    return [float(v) for v in value] if isinstance(value, (list, tuple)) else [float(value)]
+
+
+def parse_dims(text: object) -> list[int]:
+    """Dimensions ``a:b`` (both ends, either way) or a list with commas."""
+    t = str(text).strip()
+    if ":" not in t:
+        return [int(p) for p in t.split(",")]
+    ends = t.split(":")
+    if len(ends) != 2:
+        raise ValueError(f"invalid dimensions: {t}")
+    a, b = map(int, ends)
+    return list(range(a, b + 1)) if a <= b else list(range(a, b - 1, -1))

@@ -183,3 +183,17 @@ def majority_map(df: DataFrame, source: str, target: str) -> DataFrame:
 def subsample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """``n`` rows by a hash of the key and the seed: the same rows in every run."""
     return df.orderBy(F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}"))), key).limit(n)
+
+
+def run_totals(datasets: DataFrame, cells: str = "cells", genes: str = "genes") -> DataFrame:
+    """One row: datasets, cells of all of them, and their mean number of genes."""
+    return datasets.agg(F.count("*").alias("datasets"), F.coalesce(F.sum(cells), F.lit(0)).alias("total_cells"), F.avg(genes).alias("mean_genes"))
+
+
+def stacked_compositions(parts: dict[str, DataFrame], label: str) -> DataFrame:
+    """Compositions of several groups of cells in one table, with the group's name as ``group``."""
+    out = None
+    for name, df in parts.items():
+        x = composition(df, label).withColumn("group", F.lit(name))
+        out = x if out is None else out.unionByName(x)
+    return out

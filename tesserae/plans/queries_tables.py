@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tesserae.functions import text
-from tesserae.operators import harmonize, labels, reports
+from tesserae.operators import harmonize, labels, rates, reports, selection
 from tesserae.plans.registry import counts, query, table
+from tesserae.sources import outputs
 
 # what stages append to names, and spellings of protocols; rows of the tables take them in turn
 SUFFIXES = ["_harmonized_singlets ", "_harmonized_filtered.rds", ".RDS", "_with_doublet_calls", "_filtered_singlets", "", None]
@@ -349,3 +350,78 @@ def prototype_roll_up(spark, d):
     p = table(spark, d, "embeddings").select("vec_id", F.col("label").cast("string").alias("prototype"))
     bridge = spark.createDataFrame([("0", "A"), ("1", "B"), ("2", "A")], "prototype string, label string")
     return labels.roll_up(p, bridge, spark.createDataFrame([("A", "top")], "label string, upper_label string")).select("vec_id", "label", "upper_label")
+
+
+@query(
+    """
+WITH m AS (SELECT c_custkey, c_name, c_mktsegment study, CASE c_custkey % 3 WHEN 0 THEN ' raw/' || c_name || '.H5' WHEN 1 THEN '/abs/' || c_name || '/' ELSE 'dir/' || c_name END data_path, CASE WHEN c_custkey % 5 = 0 THEN 's/' || c_custkey ELSE ' ' END sample_dir, c_acctbal > 0 done FROM customer),
+f AS (SELECT *, trim(data_path) p, coalesce(nullif(trim(sample_dir), ''), CASE WHEN regexp_matches(lower(trim(data_path)), '\\.(h5|h5ad|hdf5)$') THEN regexp_replace(trim(data_path), '/?[^/]*$', '') ELSE trim(data_path) END) d FROM m),
+o AS (SELECT *, CASE WHEN done THEN (CASE WHEN starts_with(d, '/') THEN d ELSE '/w/' || d END) || '/' || c_name || '_clean.h5' WHEN starts_with(p, '/') THEN p ELSE '/w/' || p END path FROM f)
+SELECT CASE WHEN done THEN regexp_replace(path, '/+', '/', 'g') ELSE path END data_path, ' ' || c_name || ' ' sample_id, study, '' AS source FROM o"""
+)
+def prepared_manifest(spark, d):
+    """The manifest with paths swapped where ambient RNA was removed."""
+    key = F.col("c_custkey")
+    path = F.when(key % 3 == 0, F.concat(F.lit(" raw/"), "c_name", F.lit(".H5"))).when(key % 3 == 1, F.concat(F.lit("/abs/"), "c_name", F.lit("/"))).otherwise(F.concat(F.lit("dir/"), "c_name"))
+    folder = F.when(key % 5 == 0, F.concat(F.lit("s/"), key.cast("string"))).otherwise(" ")
+    m = table(spark, d, "customer").select(path.alias("data_path"), F.concat(F.lit(" "), "c_name", F.lit(" ")).alias("sample_id"), F.col("c_mktsegment").alias("study"), folder.alias("sample_dir"), F.lit("false").alias("skip"), "c_acctbal")
+    done = m.where("c_acctbal > 0").select("sample_id")
+    return outputs.prepared_manifest(m, done, "_clean.h5", "/w").select("data_path", "sample_id", "study", "source")
+
+
+@query("SELECT count(*) datasets, sum(cells)::BIGINT total_cells, round(avg(genes), 9) mean_genes FROM (SELECT c_nationkey, count(*) cells, sum(c_custkey % 100) genes FROM customer GROUP BY 1)")
+def run_totals(spark, d):
+    """A14."""
+    per = table(spark, d, "customer").groupBy("c_nationkey").agg(F.count("*").alias("cells"), F.sum(F.col("c_custkey") % 100).alias("genes"))
+    return reports.run_totals(per).withColumn("mean_genes", F.round("mean_genes", 9))
+
+
+@query("WITH f AS (SELECT upper(trim(p_name)) k, min(p_name) gene FROM part WHERE p_size > 10 GROUP BY 1) SELECT DISTINCT upper(p_name) wanted, gene FROM part JOIN f ON k = upper(trim(p_name)) WHERE p_size % 2 = 0")
+def match_features(spark, d):
+    """Names looked up without regard to case."""
+    p = table(spark, d, "part")
+    return selection.match_features(p.where("p_size % 2 = 0").select(F.upper("p_name").alias("gene")), p.where("p_size > 10").select(F.col("p_name").alias("gene")))
+
+
+@query("SELECT o_orderpriority AS label, row_number() OVER (ORDER BY CASE o_orderpriority WHEN '3-MEDIUM' THEN 1 WHEN '1-URGENT' THEN 2 ELSE 4 END, o_orderpriority)::INT AS position FROM (SELECT DISTINCT o_orderpriority FROM orders)")
+def ordered_labels(spark, d):
+    """A fixed order first, the rest by name."""
+    return selection.ordered_labels(table(spark, d, "orders").select(F.col("o_orderpriority").alias("label")), ["3-MEDIUM", "1-URGENT", "absent"])
+
+
+@query("SELECT p_brand AS study, min('out/' || p_brand || '_' || p_partkey || '_filtered.h5ad') FILTER (p_size > 40) path FROM part GROUP BY 1")
+def first_artefact(spark, d):
+    """A study's first file by name; no study takes the files of one whose name begins with its own."""
+    p = table(spark, d, "part")
+    files = p.where("p_size > 40").select(F.concat(F.lit("out/"), "p_brand", F.lit("_"), "p_partkey", F.lit("_filtered.h5ad")).alias("path"))
+    return selection.first_artefact(p.select(F.col("p_brand").alias("study")), files, "_filtered.h5ad")
+
+
+@query("SELECT 'x/doublet_summary_' || strftime(max(o_orderdate), '%Y%m%d_%H%M%S') || '.csv' path FROM orders")
+def latest_summary(spark, d):
+    """The last file by the stamp in its name."""
+    o = table(spark, d, "orders")
+    files = o.select(F.concat(F.lit("x/doublet_summary_"), text.stamp(F.col("o_orderdate")), F.lit(".csv")).alias("path")).union(o.select(F.lit("x/zz_other.csv")))
+    return selection.latest_by_name(files, r"^doublet_summary_.*\.csv$")
+
+
+@query("SELECT CASE WHEN value > 100 THEN 'query' ELSE 'atlas' END \"group\", event_type, count(*) n, round(count(*) / sum(count(*)) OVER (PARTITION BY value > 100), 9) fraction FROM events GROUP BY value > 100, event_type")
+def stacked_compositions(spark, d):
+    """Compositions of two groups of cells in one table."""
+    e = table(spark, d, "events")
+    return reports.stacked_compositions({"query": e.where("value > 100"), "atlas": e.where("value <= 100")}, "event_type").withColumn("fraction", F.round("fraction", 9))
+
+
+@query("WITH c AS (SELECT c_custkey sample_id, c_mktsegment barcode, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) - 1 n FROM customer) SELECT sample_id, CASE WHEN n > 0 THEN barcode || '-' || n ELSE barcode END cell_id FROM c")
+def unique_cells(spark, d):
+    """Repeated barcodes numbered."""
+    return harmonize.unique_cells(table(spark, d, "customer").select(F.col("c_custkey").alias("sample_id"), F.col("c_mktsegment").alias("barcode"))).select("sample_id", "cell_id")
+
+
+CHEMISTRIES = ["v4", " 5prime", "5'", "V2", "other", None, "5P"]
+
+
+@query(f"WITH c AS (SELECT p_partkey, lower(trim({_turn_sql(CHEMISTRIES, 'p_partkey')})) c FROM part) SELECT p_partkey, CASE WHEN c = 'v4' THEN 'v4' WHEN c IN ('5p', '5prime', '5''') THEN '5p' ELSE 'v3' END chemistry FROM c")
+def table_chemistry(spark, d):
+    """M8: the table of rates that a chemistry uses."""
+    return table(spark, d, "part").select("p_partkey", rates.table_chemistry(_in_turn(CHEMISTRIES, "p_partkey")).alias("chemistry"))
