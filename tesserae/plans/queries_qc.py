@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tesserae.operators import doublets, metrics, qc, rates, reports, thresholds
+from tesserae.operators import doublets, metrics, qc, quantiles, rates, reports, thresholds
 from tesserae.plans.registry import counts, query, table
 from tesserae.plans.workspace import Workspace
 
@@ -114,10 +114,18 @@ def mad_thresholds(spark, d):
 
 @query("SELECT l_returnflag, quantile_cont(l_quantity, 0.05) q05, quantile_cont(l_quantity, 0.95) q95, CASE WHEN median(l_quantity) >= 10 THEN quantile_cont(l_quantity, 0.05) ELSE 0 END plot_low, max(l_quantity) plot_high FROM lineitem GROUP BY 1")
 def quantile_bounds(spark, d):
-    q = F.percentile("l_quantity", F.lit(0.05))
-    return table(spark, d, "lineitem").groupBy("l_returnflag").agg(
-        q.alias("q05"), F.percentile("l_quantity", F.lit(0.95)).alias("q95"), F.when(F.median("l_quantity") >= 10, q).otherwise(0.0).alias("plot_low"), F.max("l_quantity").alias("plot_high")
-    )
+    """Bounds of a plot by exact quantiles, without a group's values in one task."""
+    li = table(spark, d, "lineitem")
+    q = quantiles.exact_quantiles(li, ["l_returnflag"], "l_quantity", [0.05, 0.5, 0.95]).groupBy("l_returnflag")
+    q = q.agg(*(F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(c) for p, c in ((0.05, "q05"), (0.5, "q50"), (0.95, "q95"))))
+    q = q.join(li.groupBy("l_returnflag").agg(F.max("l_quantity").alias("plot_high")), "l_returnflag")
+    return q.select("l_returnflag", "q05", "q95", F.when(F.col("q50") >= 10, F.col("q05")).otherwise(0.0).alias("plot_low"), "plot_high")
+
+
+@query("WITH m AS (SELECT event_type, median(value) med FROM events GROUP BY 1) SELECT event_type, round(any_value(med), 9) median, round(1.4826 * median(abs(value - med)), 9) mad FROM events JOIN m USING (event_type) GROUP BY event_type")
+def exact_mad(spark, d):
+    """M1 A3: medians and deviations by selection."""
+    return quantiles.exact_mad(table(spark, d, "events"), ["event_type"], "value").select("event_type", F.round("median", 9).alias("median"), F.round("mad", 9).alias("mad"))
 
 
 _HIST = """
