@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tesserae.operators import density, metrics, neighbors, scores
+from tesserae.operators import density, metrics, neighbors, residuals, scores
 from tesserae.plans.registry import counts, query, table
 
 _N = "(SELECT count(DISTINCT l_orderkey) FROM lineitem)"
@@ -336,3 +336,21 @@ def log_dispersion_genes(spark, d):
     """Variable genes by the default flavour, from unlogged normalised values."""
     v = _values(spark, d).withColumn("value", F.expm1("value"))
     return metrics.log_dispersion_genes(metrics.gene_moments(v, _n_cells(spark, d)), 100).select("gene", "bin", *(F.round(c, 6).alias(c) for c in ("mean", "dispersion", "z")))
+
+
+@query(
+    """
+WITH c AS (SELECT o_orderpriority sample, l_orderkey cell, l_partkey gene, l_quantity::DOUBLE x FROM lineitem JOIN orders ON l_orderkey = o_orderkey), t AS (SELECT sample, cell, sum(x) t FROM c GROUP BY ALL),
+w AS (SELECT sample, sum(t) al, sum(t * t) sq FROM t GROUP BY 1), n AS (SELECT o_orderpriority sample, count(*)::DOUBLE n FROM orders GROUP BY 1),
+p AS (SELECT sample, gene, sum(x) sx, sum(x * x) sxx, sum(x * t) sxt, count(DISTINCT cell) k FROM c JOIN t USING (sample, cell) GROUP BY ALL),
+g AS (SELECT sample, gene, sx / n mean, sx / al share, sxx - 2 * sx / al * sxt + pow(sx / al, 2) * sq - sx excess, pow(sx / al, 2) * sq mu2 FROM p JOIN w USING (sample) JOIN n USING (sample) WHERE k >= 5),
+o AS (SELECT *, CASE WHEN excess > 0 THEN log10(1 + mean * excess / mu2) ELSE 0 END od FROM g), e AS (SELECT *, greatest((max(log10(mean)) OVER (PARTITION BY sample) - min(log10(mean)) OVER (PARTITION BY sample)) / 64, 1e-9) width, min(log10(mean)) OVER (PARTITION BY sample) lo FROM o),
+b AS (SELECT *, least(floor((log10(mean) - lo) / width), 63) bin FROM e), s AS (SELECT sample, width, bin, sum(od) s, count(*) m FROM b GROUP BY ALL),
+k AS (SELECT a.sample, a.bin, sum(exp(-0.5 * pow((a.bin - z.bin) * a.width / 0.3, 2)) * z.s) / sum(exp(-0.5 * pow((a.bin - z.bin) * a.width / 0.3, 2)) * z.m) smooth FROM s a JOIN s z USING (sample) GROUP BY ALL)
+SELECT sample, gene, round(mean, 9) mean, round(share, 12) share, round(od, 6) overdispersion, round(log10(mean / greatest(pow(10, smooth) - 1, 1e-8)), 4) log_theta FROM b JOIN k USING (sample, bin)"""
+)
+def nb_gene_model(spark, d):
+    """Regularised negative-binomial model of each gene in each sample."""
+    o = table(spark, d, "orders").selectExpr("o_orderkey as cell", "o_orderpriority as sample")
+    m = residuals.fit_genes(counts(spark, d).join(o, "cell"), o, bins=64)
+    return m.select("sample", "gene", F.round("mean", 9).alias("mean"), F.round("share", 12).alias("share"), F.round("overdispersion", 6).alias("overdispersion"), F.round(F.log10("theta"), 4).alias("log_theta"))
