@@ -230,3 +230,27 @@ def test_toxicity_of_awkward_texts(spark):
         flat = toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs, few)).select("score").distinct().collect()
         assert len(flat) == 1
     assert toxicity.score_toxicity(docs.limit(0), model).count() == 0
+
+
+# quality features
+
+
+def test_quality_features_against_plain_loops():
+    from tesserae.llm import quality
+
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice(["good", "word", "Plain", "ODD", "x1", "!!", "rare%d" % k]) for _ in range(rng.randrange(1, 60))).encode() for k in range(80)]
+    m = quality.QualityModel().fit(texts, np.array([k % 2 for k in range(80)]))
+    for text in [*texts[:20], b"", None, b"unseen words only", b"one", b"a a a a a a", b"long " * 40_000]:
+        ts = [t if len(t) > 1 and t.isupper() else t.lower() for t in re.findall(rb"[A-Za-z0-9\x80-\xff]+|[^\sA-Za-z0-9\x80-\xff]+", text or b"")]
+        row = [m.ids[t] if t in m.ids else m._bucket(t) for t in ts]
+        want = np.zeros((5, m.dim))
+        for r in row:
+            want[0] += m.vectors[r] / len(row)
+        for lag in (1, 2, 3, 4):
+            for i in range(lag, len(row)):
+                want[lag] += m.own[row[i]].astype(float) * m.own[row[i - lag]] / (len(row) - lag)
+        assert np.allclose(m.features(text), want.ravel(), atol=1e-4)
+        z = (m.features(text) - m.net[0]) / m.net[1]
+        logit = sum(m.net[4][h] * np.tanh(z @ m.net[2][:, h] + m.net[3][h]) for h in range(m.hidden)) + m.net[5][0]
+        assert np.isclose(m.score([text])[0], 1 / (1 + np.exp(-logit / m.temperature)))
