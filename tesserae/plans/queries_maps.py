@@ -36,7 +36,7 @@ z AS (SELECT *, coalesce((dispersion - avg(dispersion) OVER (PARTITION BY bin))
 SELECT gene, bin, round(mean, 6) mean, round(z, 6) z FROM z ORDER BY round(z, 9) DESC, gene LIMIT 100"""
 )
 def hvg_dispersion(spark, d):
-    """Top genes by normalised dispersion."""
+    """Top genes by dispersions of logged values."""
     m = metrics.gene_moments(_values(spark, d), _n_cells(spark, d))
     return metrics.highly_variable(m, 100).select("gene", "bin", F.round("mean", 6).alias("mean"), F.round("z", 6).alias("z"))
 
@@ -195,7 +195,7 @@ ha AS (SELECT -sum(n / t * ln(n / t)) h FROM (SELECT sum(n) n FROM c GROUP BY a)
 SELECT round(2 * (ha.h + hb.h - hab.h) / (ha.h + hb.h), 9) nmi FROM ha, hb, hab"""
 )
 def nmi(spark, d):
-    """B-NMI B-RES."""
+    """B-NMI."""
     e = table(spark, d, "events").withColumn("u", F.col("user_id") % 7)
     return scores.mutual_information(e, "event_type", "u").select(F.round("nmi", 9).alias("nmi"))
 

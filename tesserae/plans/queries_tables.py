@@ -107,7 +107,7 @@ SELECT requested, CASE WHEN gene IS NOT NULL THEN requested ELSE variant END res
 FROM w LEFT JOIN g ON gene = requested LEFT JOIN f ON k = upper(regexp_replace(requested, '[-_.]', '', 'g'))"""
 )
 def transgene_resolve(spark, d):
-    """A requested gene is never renamed away."""
+    """A requested gene is never renamed away."""
     genes = table(spark, d, "part").select(F.replace("p_name", F.lit(" "), F.lit("")).alias("gene"))
     return harmonize.resolve_transgenes(genes, spark.createDataFrame([(n.replace(" ", ""),) for n in WANTED], "gene string"))
 
@@ -188,7 +188,7 @@ def _orders(spark, d):
 
 @query(f"SELECT r_name, count(*) n_cells, count(DISTINCT o_custkey) n_samples, string_agg(DISTINCT c_mktsegment, ', ' ORDER BY c_mktsegment) c_mktsegment, string_agg(DISTINCT o_orderstatus, ', ' ORDER BY o_orderstatus) o_orderstatus FROM {_ORD} GROUP BY 1")
 def dataset_summary(spark, d):
-    """A10 A11 A14 O1."""
+    """A10 A11 O1."""
     return reports.dataset_summary(_orders(spark, d), "r_name", "o_custkey", ["c_mktsegment", "o_orderstatus"])
 
 
