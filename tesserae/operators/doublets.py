@@ -53,12 +53,12 @@ def guard_small(df: DataFrame, sample: str, least_cells: int = 25, skip: tuple[s
 def simulated_pairs(latent: DataFrame, batch: str, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """(cells, pairs), both (batch, id, vec): a batch's cells with ids ``c...``, and as many means of two random ones, ``p...``.
 
-    Pairs are drawn by hashes of cell_id, so they are the same in every run.
+    Pairs are drawn by MD5 of id, seed and turn, so they are the same in every run.
     """
     cells = sum_below(latent.select(batch, "cell_id", F.col("vec").cast("array<double>").alias("vec")), [batch], F.md5(F.col("cell_id").cast("string")), F.lit(1))
     cells = cells.withColumnRenamed("below", "at").withColumn("id", F.col("cell_id").cast("string"))
     n = cells.groupBy(batch).agg(F.count("*").alias("n"))
-    drawn = cells.join(n, batch).select(batch, "id", *(F.pmod(F.xxhash64("id", F.lit(seed), F.lit(i)), F.col("n")).alias(f"at{i}") for i in (1, 2)))
+    drawn = cells.join(n, batch).select(batch, "id", *((F.conv(F.substring(F.md5(F.concat_ws(",", "id", F.lit(seed), F.lit(i))), 1, 12), 16, 10).cast("long") % F.col("n")).alias(f"at{i}") for i in (1, 2)))
     for i in (1, 2):
         drawn = drawn.join(cells.select(batch, F.col("at").alias(f"at{i}"), F.col("vec").alias(f"vec{i}")), [batch, f"at{i}"])
     pairs = drawn.select(batch, F.concat(F.lit("p"), "id").alias("id"), F.zip_with("vec1", "vec2", lambda x, y: (x + y) / 2).alias("vec"))

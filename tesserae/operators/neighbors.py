@@ -1,7 +1,9 @@
-"""Exact nearest neighbours in blocks, placement on a reference map, and neighbour-based quality scores."""
+"""Exact nearest neighbours by places and blocks, placement on a reference map, and neighbour-based quality scores."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -27,24 +29,12 @@ def _blocks(left: DataFrame, right: DataFrame, by: list[str], q_block: int, a_bl
     return left.drop("_qb", "_ab"), right.select(*(F.col(c).alias(c) for c in right.columns))  # its own columns, should both be one table
 
 
-def knn(queries: DataFrame, anchors: DataFrame, k: int, id_: str = "id", vec: str = "vec", include_self: bool = True, q_block: int = 2048, a_block: int = 8192, by: str | None = None) -> DataFrame:
-    """(query, neighbour, rank from 1, dist): the ``k`` nearest anchors of each query, Euclidean, ties to the smaller id.
-
-    Both sides are dealt by hash into blocks of about ``q_block`` and ``a_block`` rows; each block of queries meets each
-    block of anchors by an equi-join of block numbers, in a task that returns ``k`` rows a query. Distances that decide
-    are recomputed exactly. Without ``include_self``, an anchor of the query's own id is no neighbour. With ``by``, a query's
-    neighbours are those of its own group, which is then the first column.
-    """
-    kinds, keys = dict(queries.dtypes)[id_], [by] if by else []
-
-    def named(df: DataFrame) -> DataFrame:
-        return df.select(*keys, F.col(id_).alias("id"), F.col(vec).cast("array<double>").alias("vec"))
-
-    left, right = _blocks(named(queries), named(anchors), keys, q_block, a_block)
+def _nearest(k: int, include_self: bool, keys: list[str]):
+    """For a block of queries and one of anchors: the ``k`` nearest of these anchors, distances that decide computed exactly."""
 
     def run(q: pd.DataFrame, a: pd.DataFrame) -> pd.DataFrame:
         out = {"query": [], "neighbour": [], "dist": []}
-        group = {by: q[by].iloc[0]} if by and len(q) else {by: []} if by else {}
+        group = {c: q[c].iloc[0] if len(q) else [] for c in keys}
         if len(q) and len(a):
             a = a.sort_values("id")
             x, y, ids = np.stack(q["vec"].to_numpy()), np.stack(a["vec"].to_numpy()), a["id"].to_numpy()
@@ -66,10 +56,134 @@ def knn(queries: DataFrame, anchors: DataFrame, k: int, id_: str = "id", vec: st
                     out["dist"] += list(d[best])
         return pd.DataFrame(out).assign(**group)[[*keys, *out]]
 
-    head = f"{by} {dict(queries.dtypes)[by]}, " if by else ""
-    found = left.groupBy(*keys, "q", "a").cogroup(right.groupBy(*keys, "q", "a")).applyInPandas(run, f"{head}query {kinds}, neighbour {kinds}, dist double")
+    return run
+
+
+def _meet(left: DataFrame, right: DataFrame, keys: list[str], k: int, include_self: bool, q_block: int, a_block: int) -> DataFrame:
+    """(keys, query, neighbour, dist): each query's ``k`` nearest in every block of anchors of its own keys."""
+    types = dict(left.dtypes)
+    head = "".join(f"{c} {types[c]}, " for c in keys)
+    left, right = _blocks(left, right, keys, q_block, a_block)
+    pairs = left.groupBy(*keys, "q", "a").cogroup(right.groupBy(*keys, "q", "a"))
+    return pairs.applyInPandas(_nearest(k, include_self, keys), f"{head}query {types['id']}, neighbour {types['id']}, dist double")
+
+
+def _first(found: DataFrame, keys: list[str], k: int) -> DataFrame:
     w = Window.partitionBy(*keys, "query").orderBy("dist", "neighbour")
-    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select(*keys, "query", "neighbour", F.col("rank").cast("int").alias("rank"), "dist")
+    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def _pivots(anchors: DataFrame, n: int, a_block: int, most: int) -> np.ndarray:
+    """Centres of about ``n / a_block`` places, at most ``most`` and 16 MB of them, by a few rounds of k-means over a sample of
+    eight rows a centre, drawn by a hash of id."""
+    dim = max(1, len(anchors.select("vec").first()[0]))
+    p = max(1, min(-(-n // a_block), most, (16 << 20) // (8 * dim)))
+    drawn = np.unique(np.array([r[0] for r in anchors.orderBy(F.xxhash64("id"), "id").select("vec").limit(8 * p).collect()], float), axis=0)
+    centres = drawn[np.linspace(0, len(drawn) - 1, min(p, len(drawn))).astype(int)]
+    for _ in range(6):
+        at = _distances(drawn, centres).argmin(1)
+        total = np.zeros_like(centres)
+        np.add.at(total, at, drawn)
+        m = np.bincount(at, minlength=len(centres))
+        centres = np.where(m[:, None] > 0, total / np.maximum(m, 1)[:, None], centres)
+    return np.unique(centres, axis=0)
+
+
+def _distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    out = np.empty((len(x), len(centres)))
+    for i in range(0, len(x), 256):
+        out[i : i + 256] = np.sqrt(np.maximum((x[i : i + 256] ** 2).sum(1)[:, None] + (centres**2).sum(1)[None] - 2 * x[i : i + 256] @ centres.T, 0))
+    return out
+
+
+def _placed(centres: np.ndarray):
+    """Rows with their nearest centre as ``cell`` and the distance to it as ``far``."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            if len(f):
+                d = _distances(np.stack(f["vec"].to_numpy()), centres)
+                yield f.assign(cell=d.argmin(1).astype(np.int32), far=d.min(1))
+
+    return run
+
+
+def _routed(centres: np.ndarray, filled: np.ndarray, radius: np.ndarray, home_ok: np.ndarray, onward: bool):
+    """Queries with each cell that they have to visit: at first their home, the nearest cell of enough anchors; ``onward``, all
+    others that can hold an anchor within ``tau``, the distance to the k-th at home.
+
+    A cell is left out if its ball is farther away than that, or if the plane halfway between its centre and the query's
+    nearest centre is, since all its anchors lie behind that plane.
+    """
+    gap = np.maximum(_distances(centres, centres), 1e-300)
+    reach = 1 + np.sqrt((centres**2).sum(1)).max() + radius.max()
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            if not len(f):
+                continue
+            x = np.stack(f["vec"].to_numpy())
+            d = _distances(x, centres)
+            home = np.where(home_ok[None], d, np.inf).argmin(1)
+            if onward:
+                tau, own = f["tau"].fillna(np.inf).to_numpy()[:, None], d.argmin(1)
+                scale = reach + np.sqrt((x * x).sum(1))[:, None]  # rounding errors grow with it
+                plane = (d**2 - d.min(1)[:, None] ** 2 - 1e-12 * scale**2) / (2 * gap[own])
+                visit = filled[None] & (np.maximum(d - radius[None], plane) <= tau + 1e-6 * scale)
+                visit[np.arange(len(d)), home] = False
+                row, cell = np.nonzero(visit)
+            else:
+                row, cell = np.arange(len(d)), home
+            for i in range(0, len(row), 4096):
+                yield f[["id", "vec"]].iloc[row[i : i + 4096]].assign(cell=cell[i : i + 4096].astype(np.int32))
+
+    return run
+
+
+def _pruned(left: DataFrame, right: DataFrame, n: int, k: int, include_self: bool, q_block: int, a_block: int, most: int) -> DataFrame:
+    ws = Workspace(left.sparkSession, "knn")
+    kind = dict(right.dtypes)["id"]
+    left, right = ws.save(left, "queries"), ws.save(right, "anchors")
+    centres = _pivots(right, n, a_block, most)
+    anchors = ws.save(right.mapInPandas(_placed(centres), f"id {kind}, vec array<double>, cell int, far double"), "placed")
+    size, radius = np.zeros(len(centres), np.int64), np.zeros(len(centres))
+    for r in anchors.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("far")).collect():  # a row a centre
+        size[r["cell"]], radius[r["cell"]] = r["n"], r["far"]
+    enough = size > k if (size > k).any() else size == size.max()
+    route = f"id {kind}, vec array<double>, cell int"
+    at_home = ws.save(left.mapInPandas(_routed(centres, size > 0, radius, enough, False), route), "home")
+    places = anchors.drop("far")
+    first = ws.save(_first(_meet(at_home, places, ["cell"], k, include_self, q_block, a_block), [], k).select("query", "neighbour", "dist"), "first")
+    tau = first.groupBy(F.col("query").alias("id")).agg(F.when(F.count("*") >= k, F.max("dist")).alias("tau"))
+    onward = ws.save(left.join(tau, "id", "left").mapInPandas(_routed(centres, size > 0, radius, enough, True), route), "onward")
+    return first.unionByName(_meet(onward, places, ["cell"], k, include_self, q_block, a_block).drop("cell"))
+
+
+def knn(queries: DataFrame, anchors: DataFrame, k: int, id_: str = "id", vec: str = "vec", include_self: bool = True, q_block: int = 2048, a_block: int = 8192, by: str | None = None, places: int = 1024) -> DataFrame:
+    """(query, neighbour, rank from 1, dist): the ``k`` nearest anchors of each query, Euclidean, ties to the smaller id.
+
+    Anchors of more than one block are dealt by place: ``places`` centres at most, about a block of anchors each. A query
+    first looks in the cell of its nearest centre, then in just those cells whose radius, and whose side of the plane between
+    the centres, lie within the distance to its k-th neighbour so far. It is copied to these cells alone; where data have no
+    structure, these are all, and the work is that of blocks against blocks. Large cells are split by hash into blocks of about
+    ``q_block`` and ``a_block`` rows, which meet by an equi-join of block numbers, in a task that returns ``k`` rows a query.
+
+    Distances that decide are recomputed exactly. Without ``include_self``, an anchor of the query's own id is no neighbour.
+    With ``by``, a query's neighbours are those of its own group, which is then the first column, and each group's blocks meet
+    each other. Ids are distinct; rows without a vector take no part. An empty side gives no rows.
+    """
+    keys = [by] if by else []
+
+    def named(df: DataFrame) -> DataFrame:
+        return df.where(F.col(vec).isNotNull()).select(*keys, F.col(id_).alias("id"), F.col(vec).cast("array<double>").alias("vec"))
+
+    left, right = named(queries), named(anchors)
+    n = 0 if by else right.count()
+    if n > a_block:
+        found = _pruned(left, right, n, k, include_self, q_block, a_block, places)
+    else:
+        found = _meet(left, right, keys, k, include_self, q_block, a_block)
+    return _first(found, keys, k).select(*keys, "query", "neighbour", F.col("rank").cast("int").alias("rank"), "dist")
 
 
 def project(queries: DataFrame, anchors: DataFrame, k: int = 30, id_: str = "id") -> DataFrame:

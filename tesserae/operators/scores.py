@@ -147,15 +147,19 @@ def marker_scores(counts: DataFrame, cells: DataFrame, markers: DataFrame, clust
     share of expressed marker entries, and their product.
 
     ``counts(cell, gene, value)``, ``cells(cell, cluster)``, ``markers(label, gene)``. Cells without any marker count
-    take part as zeros; they are counted, not materialised per gene.
+    take part as zeros, which are counted and never made, neither a gene nor a label; a label that no cell shows has auc 0.5.
     """
     size = markers.groupBy("label").agg(F.count_distinct("gene").alias("k"))
     hit = counts.where("value > 0").join(markers.distinct(), "gene").groupBy("cell", "label").agg(F.sum("value").alias("s"), F.count_distinct("gene").alias("x"))
-    full = cells.join(F.broadcast(size)).join(hit, ["cell", "label"], "left")
-    full = full.select("label", cluster, (F.coalesce("s", F.lit(0.0)) / F.col("k")).alias("v"), (F.coalesce("x", F.lit(0)) / F.col("k")).alias("e"))
-    auc = rank_sums(full, "v", cluster, ["label"]).select("label", cluster, "auroc")
-    expr = full.groupBy("label", cluster).agg(F.avg("e").alias("expr"))
-    return auc.join(expr, ["label", cluster]).select(cluster, "label", F.col("auroc").alias("auc"), "expr", (F.col("auroc") * F.col("expr")).alias("score"))
+    hit = hit.join(F.broadcast(size), "label").select("cell", "label", (F.col("s") / F.col("k")).alias("value"), (F.col("x") / F.col("k")).alias("e"))
+    ranks = rank_genes(hit.select("cell", "label", "value"), cells, cluster, "label").select("label", cluster, "auroc")
+    shown = hit.join(cells, "cell").groupBy("label", cluster).agg(F.sum("e").alias("e"))
+    n = cells.groupBy(cluster).agg(F.count("*").alias("n"))
+    every = n.join(F.broadcast(n.agg(F.sum("n").alias("total")))).join(F.broadcast(size.select("label")))  # a row a cluster and label
+    none = F.when(F.col("total") > F.col("n"), 0.5)  # a label that no cell shows: all cells tie
+    out = every.join(ranks.withColumn("ranked", F.lit(True)), ["label", cluster], "left").join(shown, ["label", cluster], "left")
+    out = out.select(cluster, "label", F.when(F.col("ranked"), F.col("auroc")).otherwise(none).alias("auc"), (F.coalesce("e", F.lit(0.0)) / F.col("n")).alias("expr"))
+    return out.withColumn("score", F.col("auc") * F.col("expr"))
 
 
 def centroids(points: DataFrame, label: str = "label", vec: str = "vec") -> DataFrame:

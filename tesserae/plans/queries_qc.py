@@ -283,11 +283,23 @@ def kde_overlap_zone(spark, d):
     return doublets.overlap_zone(e, "s", "k").select(F.round("lo", 9).alias("lo"), F.round("hi", 9).alias("hi"), "n_singlet", "n_doublet")
 
 
-@query()
+_PAIRS = """
+WITH c AS (SELECT label g, vec_id::VARCHAR id, embedding::DOUBLE[] v, row_number() OVER (PARTITION BY label ORDER BY md5(vec_id::VARCHAR)) - 1 place, count(*) OVER (PARTITION BY label) n FROM embeddings WHERE embedding IS NOT NULL),
+p AS (SELECT x.g, 'p' || x.id id, [(z[1] + z[2]) / 2 for z in list_zip(a.v, b.v)] v FROM c x
+  JOIN c a ON a.g = x.g AND a.place = ('0x' || substr(md5(x.id || ',42,1'), 1, 12))::BIGINT % x.n
+  JOIN c b ON b.g = x.g AND b.place = ('0x' || substr(md5(x.id || ',42,2'), 1, 12))::BIGINT % x.n),
+m AS (SELECT g, 'c' || id id, v FROM c UNION ALL SELECT * FROM p),
+d AS (SELECT q.g, q.id, m.id other, row_number() OVER (PARTITION BY q.g, q.id ORDER BY list_distance(q.v, m.v), m.id) r FROM m q JOIN m ON q.g = m.g AND q.id <> m.id WHERE q.id[1] = 'c'),
+s AS (SELECT g, id, avg((other[1] = 'p')::INT) score FROM d WHERE r <= 15 GROUP BY 1, 2),
+f AS (SELECT g, quantile_cont(score, 0.92) cut FROM s GROUP BY 1)
+SELECT g AS label, substr(id, 2)::BIGINT cell_id, round(score, 9) score, CASE WHEN score > cut THEN 'doublet' ELSE 'singlet' END AS class FROM s JOIN f USING (g)"""
+
+
+@query(_PAIRS)
 def doublet_scores(spark, d):
-    """Simulate-and-neighbour scores per batch; not SQL."""
+    """Simulate-and-neighbour scores per batch."""
     e = table(spark, d, "embeddings").select("label", F.col("vec_id").alias("cell_id"), F.col("embedding").alias("vec"))
-    return doublets.score_doublets(e, "label", 0.08)
+    return doublets.score_doublets(e, "label", 0.08).withColumn("score", F.round("score", 9))
 
 
 @query("SELECT o_orderstatus, count(DISTINCT o_orderpriority) n_samples, count(DISTINCT o_orderstatus) n_protocols, CASE WHEN count(DISTINCT o_orderpriority) > 1 THEN 'o_orderpriority' END batch_column FROM orders GROUP BY 1")
