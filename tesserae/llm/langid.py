@@ -259,11 +259,13 @@ def _predict(langs: list[str]):
     return run
 
 
-def identify(docs: DataFrame, model: Languages, chunk_chars: int = 2 << 20, bucket_words: int = 20_000) -> DataFrame:
+def identify(docs: DataFrame, model: Languages, chunk_chars: int = 2 << 20, bucket_words: int = 20_000, slice_words: int = 1 << 20) -> DataFrame:
     """(doc_id, lang_pred, score) for each row of ``docs(doc_id, text)``; score is the posterior of the prediction.
 
     A chunk of documents asks for its distinct words, dealt by a hash over buckets of about ``bucket_words`` learned
-    words, and gets their vectors (32-bit floats). An unseen word counts as the mean of its longest n-grams of which any
+    words, and gets their vectors (32-bit floats). Chunks are dealt over slices, as many as leave a bucket about ``slice_words``
+    words asked in a slice, and each slice has a copy of the buckets: a task's group follows neither the chunks nor the
+    words of the whole corpus. An unseen word counts as the mean of its longest n-grams of which any
     is known, and nothing where none is.
 
     Null text or no letter: ``und``, score 0; so is all without learned languages. Ties go to the language that sorts
@@ -276,14 +278,16 @@ def identify(docs: DataFrame, model: Languages, chunk_chars: int = 2 << 20, buck
     ws = Workspace(spark, "langid")
     parts = max(8, model.n_words // bucket_words)
     chunks = ws.save(src.mapInArrow(_packer(spark.sparkContext.broadcast((model.common, model.floor)), parts, chunk_chars), _CHUNKS), "chunks")
-    asked = chunks.select("chunk", F.explode("asked").alias("a")).select("chunk", "a.*")
+    total = chunks.agg(F.sum(F.aggregate("asked.m", F.lit(0).cast("long"), lambda n, m: n + m))).first()[0] or 0
+    slices = max(1, -(-total // (parts * slice_words)))
+    asked = chunks.select("chunk", F.pmod(F.xxhash64("chunk"), F.lit(slices)).cast("int").alias("slice"), F.explode("asked").alias("a")).select("chunk", "slice", "a.*")
     learned = model.words.select(F.col("gram").alias("word"), F.lit(0).alias("kind"), F.lit(1).cast("long").alias("hits"), "lang", "n")
     if model.near is None:
         every = asked.select("words").mapInArrow(_spelled, "word string").distinct()
         for more in _unseen(ws, ws.save(every.join(learned.select("word"), "word", "left_anti"), "unseen"), model.grams):
             learned = learned.unionByName(more)
-    learned = learned.withColumn("part", (F.crc32("word") % parts).cast("int"))
-    answers = asked.groupBy("bucket").cogroup(learned.groupBy("part")).applyInArrow(_answer(spark.sparkContext.broadcast((model.near, model.floor)), model.langs), _ANSWERS)
+    learned = learned.withColumns({"part": (F.crc32("word") % parts).cast("int"), "copy": F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))})
+    answers = asked.groupBy("bucket", "slice").cogroup(learned.groupBy("part", "copy")).applyInArrow(_answer(spark.sparkContext.broadcast((model.near, model.floor)), model.langs), _ANSWERS)
     return chunks.drop("asked").groupBy("chunk").cogroup(answers.groupBy("of")).applyInArrow(_predict(model.langs), "doc_id long, lang_pred string, score double")
 
 
