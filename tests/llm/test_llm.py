@@ -697,3 +697,16 @@ PROSE = "The river rose in the night and the lower fields were under water by mo
 def test_optional_end_tags_lose_no_text(page):
     assert htmltext.main_text(page).split("\n")[-1].strip() == PROSE
     assert htmltext.main_text(page) in (PROSE, f"Menu\n{PROSE}")
+
+
+def test_secrets_of_held_out_families(spark):
+    """Whole templates are held out, not rows of templates that training has seen. Floors against getting worse, set after a first
+    guess of 0.7 was missed: 0.636 of these secrets were found (README)."""
+    found = secrets.labelled_findings(spark, 1800)
+    held = (F.col("doc_id") % 36).isin(1, 5, 8, 11, 13, 14, 18, 21, 27, 30)
+    model = secrets.fit_forest(found.where(~held), table(spark, "documents"), trees=16)
+    s = secrets.scan(found.where(held), model).groupBy("doc_id").agg(F.max(F.col("is_secret").cast("int")).alias("p"))
+    r = found.where(held).join(s, "doc_id", "left").groupBy("label").agg(F.avg(F.coalesce("p", F.lit(0))).alias("rate")).collect()
+    rate = {x["label"]: x["rate"] for x in r}
+    print(rate)
+    assert rate[1] > 0.6 and rate[0] < 0.2
