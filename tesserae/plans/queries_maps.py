@@ -171,9 +171,10 @@ SELECT * FROM s WHERE resolution >= 0.4 AND n_clusters >= 5 ORDER BY silhouette
 )
 def best_resolution(spark, d):
     """Silhouettes of three clusterings of the embeddings choose."""
-    sizes = F.explode(F.array(*(F.struct(F.lit(r).alias("resolution"), F.lit(k).alias("k")) for r, k in ((0.2, 2), (0.5, 5), (1.0, 10)))))
-    c = _vec(spark, d).withColumn("r", sizes).select("id", "vec", "r.resolution", (F.col("label") % F.col("r.k")).alias("label"))
-    s = neighbors.silhouettes(c, by="resolution").groupBy("resolution").agg(F.round(F.avg("silhouette"), 9).alias("silhouette"), F.count_distinct("label").cast("int").alias("n_clusters"))
+    sizes = {0.2: "k2", 0.5: "k5", 1.0: "k10"}
+    c = _vec(spark, d).withColumns({k: F.col("label") % int(k[1:]) for k in sizes.values()})
+    resolution = F.element_at(F.create_map(*(F.lit(x) for r, k in sizes.items() for x in (k, r))), F.col("labelling"))
+    s = neighbors.silhouettes(c, label=list(sizes.values())).groupBy(resolution.alias("resolution")).agg(F.round(F.avg("silhouette"), 9).alias("silhouette"), F.count_distinct("label").cast("int").alias("n_clusters"))
     return scores.best_resolution(s)
 
 
