@@ -55,24 +55,38 @@ class Leiden:
     def _expected(self, k: str, total: Column) -> Column:
         return F.col("res") * F.col(k) * total / F.lit(self.m2)
 
+    def _with_self(self, edges: DataFrame, cur: DataFrame, name: str) -> DataFrame:
+        """Edges with the degree ``k`` of their first node, and an edge of weight 0 from each node to itself, so that one join and
+        one exchange bring a node its neighbours' state and its own."""
+        own = cur.select("res", F.col("node").alias("a"), "k")
+        if "res" not in edges.columns:
+            own = own.where(F.col("res") == F.lit(self.resolutions[0])).drop("res")
+        keys = ["res", "a"] if "res" in edges.columns else ["a"]
+        e = edges.select(*keys, "b", "w").join(own, keys)
+        return self._save(e.unionByName(own.select(*keys, F.col("a").alias("b"), F.lit(0.0).alias("w"), "k")), name)
+
     def move(self, edges: DataFrame, cur: DataFrame) -> DataFrame:
         """Local moves of half of the nodes at a time, the halves drawn anew every second round, until of all nodes at most the
         share ``tolerance`` still moves (none, once a level has few)."""
         cur, last = self._save(cur.withColumn("moved", F.lit(False)), "move"), 0
+        before = f"move-{self.step}"
+        around = self._with_self(edges, cur, "around")
+        self_edges, keys = f"around-{self.step}", ["res", "b"] if "res" in edges.columns else "b"
         for i in range(self.most):
             size = cur.groupBy("res", "cluster").agg(F.sum("k").alias("kc"))
-            near = self._beside(edges, cur, "cluster").unionByName(cur.select("res", "node", "cluster", F.lit(0.0).alias("w")))
-            near = near.groupBy("res", "node", "cluster").agg(F.sum("w").alias("w"))
-            x = near.join(size, ["res", "cluster"]).join(cur.select("res", "node", "k", F.col("cluster").alias("mine")), ["res", "node"])
-            stays = F.col("cluster") == F.col("mine")
-            gain = F.round(F.col("w") - self._expected("k", F.col("kc") - F.when(stays, F.col("k")).otherwise(0.0)), 9)
-            best = x.groupBy("res", "node", "k", "mine").agg(F.max_by("cluster", F.struct(gain.alias("g"), stays.alias("s"), F.xxhash64("cluster").alias("h"))).alias("to"))
+            state = cur.select("res", F.col("node").alias("b"), "cluster").join(size, ["res", "cluster"])
+            x = around.join(state, keys).repartition("res", "a")
+            x = x.groupBy("res", F.col("a").alias("node"), "cluster").agg(F.sum("w").alias("w"), F.first("k").alias("k"), F.first("kc").alias("kc"), F.max(F.col("a") == F.col("b")).alias("stays"))
+            gain = F.round(F.col("w") - self._expected("k", F.col("kc") - F.when(F.col("stays"), F.col("k")).otherwise(0.0)), 9)
+            best = x.groupBy("res", "node").agg(F.first("k").alias("k"), F.max(F.when(F.col("stays"), F.col("cluster"))).alias("mine"), F.max_by("cluster", F.struct(gain.alias("g"), F.col("stays").alias("s"), F.xxhash64("cluster").alias("h"))).alias("to"))
             to = F.when(_turn("node", i), F.col("to")).otherwise(F.col("mine"))
             cur, n, moved = self._counted(best.select("res", "node", "k", to.alias("cluster"), (to != F.col("mine")).alias("moved")), "move", "moved")
-            self.ws.drop(f"move-{self.step - 1}")
+            self.ws.drop(before)
+            before = f"move-{self.step}"
             if i % 2 and last + moved <= self.tolerance * n:
                 break
             last = moved
+        self.ws.drop(self_edges)
         return cur.drop("moved")
 
     def refine(self, edges: DataFrame, cur: DataFrame, rounds: int = 4) -> DataFrame:
@@ -89,8 +103,10 @@ class Leiden:
         reach = inner.groupBy("res", F.col("a").alias("node")).agg(F.sum("w").alias("reach"))
         p = cur.join(whole, ["res", "cluster"]).join(reach, ["res", "node"], "left").withColumn("reach", F.coalesce("reach", F.lit(0.0)))
         p, last = self._save(p.withColumns({"part": F.col("node"), "moved": F.lit(False)}), "part"), 0
+        before = f"part-{self.step}"
         for i in range(rounds):
-            near = self._beside(inner, p, "part")
+            near = self._save(self._beside(inner, p, "part"), "near")
+            used = f"near-{self.step}"
             # edges that leave a part for the rest of its community: those of its nodes less those within it, both ways
             within = near.join(p.select("res", "node", F.col("part")), ["res", "node", "part"]).groupBy("res", "part").agg(F.sum("w").alias("within"))
             parts = p.groupBy("res", "part").agg(F.sum("k").alias("kp"), F.count("*").alias("n"), F.sum("reach").alias("out"), F.first("kc").alias("kw")).join(within, ["res", "part"], "left")
@@ -102,7 +118,8 @@ class Leiden:
             to = offer.groupBy("res", "node").agg(F.max_by("part", F.struct("gain", F.xxhash64("part"))).alias("to"))
             p = p.drop("moved").join(to, ["res", "node"], "left").withColumns({"part": F.coalesce("to", "part"), "moved": F.col("to").isNotNull()}).drop("to")
             p, _, moved = self._counted(p, "part", "moved")
-            self.ws.drop(f"part-{self.step - 1}")
+            self.ws.drop(before, used)
+            before = f"part-{self.step}"
             if i % 2 and not last + moved:
                 break
             last = moved
@@ -118,17 +135,18 @@ class Leiden:
 
     def connected(self, edges: DataFrame, cur: DataFrame) -> DataFrame:
         """``cur`` with communities that fall apart split into their components, which raises modularity."""
-        cur = self._save(cur.withColumn("least", F.col("node")), "least")
+        cur = self._save(cur, "whole")
         pair = lambda a, b: cur.select("res", F.col("node").alias(a), F.col("cluster").alias(b))
         e = edges if "res" in edges.columns else edges.withColumn("res", F.explode(F.array(*map(F.lit, self.resolutions))))
-        inner = self._save(e.join(pair("a", "ca"), ["res", "a"]).join(pair("b", "cb"), ["res", "b"]).where("ca = cb").select("res", "a", "b"), "within")
+        inner = e.join(pair("a", "ca"), ["res", "a"]).join(pair("b", "cb"), ["res", "b"]).where("ca = cb").select("res", "a", "b")
+        inner = self._save(inner.union(cur.select("res", F.col("node").alias("a"), F.col("node").alias("b"))), "within")
+        least = cur.select("res", "node", F.col("node").alias("least"))
         while True:
-            low = inner.join(cur.select("res", F.col("node").alias("b"), "least"), ["res", "b"]).groupBy("res", F.col("a").alias("node")).agg(F.min("least").alias("low"))
-            nxt = cur.join(low, ["res", "node"], "left")
-            new = F.least("least", F.coalesce("low", "least"))
-            cur, _, changed = self._counted(nxt.select("res", "node", "k", "cluster", new.alias("least"), (new != F.col("least")).alias("changed")), "least", "changed")
+            low = inner.join(least.select("res", F.col("node").alias("b"), "least"), ["res", "b"]).groupBy("res", F.col("a").alias("node"))
+            low = low.agg(F.min("least").alias("least"), F.max(F.when(F.col("a") == F.col("b"), F.col("least"))).alias("was"))
+            least, _, changed = self._counted(low.select("res", "node", "least", (F.col("least") != F.col("was")).alias("changed")), "least", "changed")
             if not changed:
-                return cur.select("res", "node", "k", F.col("least").alias("cluster"))
+                return cur.join(least, ["res", "node"]).select("res", "node", "k", F.col("least").alias("cluster"))
 
     def run(self) -> DataFrame:
         """(res, node, cluster), clusters named by a node."""

@@ -23,20 +23,17 @@ def modularity_clusters(edges: DataFrame, resolution: float = 1.0, rounds: int =
     e = ws.save(e.union(e.select("b", "a")).groupBy("a", "b").agg(F.count("*").cast("double").alias("w")), "edges")
     deg = ws.save(e.groupBy("a").agg(F.sum("w").alias("k")), "degrees")
     m2 = deg.agg(F.sum("k")).first()[0] or 1.0
+    # with an edge of weight 0 to itself, a node gets its own state and its neighbours' by one join and one exchange
+    e = ws.save(e.join(deg, "a").unionByName(deg.select("a", F.col("a").alias("b"), F.lit(0.0).alias("w"), "k")), "around")
     cur = ws.save(deg.select(F.col("a").alias("node"), F.col("a").alias("cluster"), "k"), "c0")
     for i in range(rounds):
         size = cur.groupBy("cluster").agg(F.sum("k").alias("kc"))
         turn = F.pmod(F.xxhash64("node"), F.lit(2)) == i % 2
-        near = e.join(cur.select(F.col("node").alias("b"), "cluster"), "b").groupBy(F.col("a").alias("node"), "cluster").agg(F.sum("w").alias("w"))
-        own = cur.select("node", "cluster", F.lit(0.0).alias("w"))
-        near = near.unionByName(own).groupBy("node", "cluster").agg(F.sum("w").alias("w"))
-        me = cur.select("node", "k", F.col("cluster").alias("mine"))
-        x = near.join(size, "cluster").join(me, "node")
-        others = F.col("kc") - F.when(F.col("cluster") == F.col("mine"), F.col("k")).otherwise(0.0)
-        gain = F.round(F.col("w") - F.lit(resolution) * F.col("k") * others / F.lit(m2), 9)
-        best = x.groupBy("node").agg(F.max_by("cluster", F.struct(gain.alias("g"), (F.col("cluster") == F.col("mine")).alias("stay"), (-F.col("cluster")).alias("c"))).alias("to"))
-        nxt = cur.join(best, "node").select("node", F.when(turn, F.col("to")).otherwise(F.col("cluster")).alias("cluster"), "k")
-        cur = ws.save(nxt, f"c{i + 1}")
+        x = e.join(cur.select(F.col("node").alias("b"), "cluster").join(size, "cluster"), "b").repartition("a")
+        x = x.groupBy(F.col("a").alias("node"), "cluster").agg(F.sum("w").alias("w"), F.first("k").alias("k"), F.first("kc").alias("kc"), F.max(F.col("a") == F.col("b")).alias("stay"))
+        gain = F.round(F.col("w") - F.lit(resolution) * F.col("k") * (F.col("kc") - F.when(F.col("stay"), F.col("k")).otherwise(0.0)) / F.lit(m2), 9)
+        best = x.groupBy("node").agg(F.first("k").alias("k"), F.max(F.when(F.col("stay"), F.col("cluster"))).alias("mine"), F.max_by("cluster", F.struct(gain.alias("g"), F.col("stay"), (-F.col("cluster")).alias("c"))).alias("to"))
+        cur = ws.save(best.select("node", F.when(turn, F.col("to")).otherwise(F.col("mine")).alias("cluster"), "k"), f"c{i + 1}")
         ws.drop(f"c{i}")
     w = F.dense_rank().over(Window.orderBy(F.desc("n"), "cluster")) - 1
     rank = cur.groupBy("cluster").agg(F.count("*").alias("n")).select("cluster", w.alias("rank"))

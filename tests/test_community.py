@@ -84,3 +84,17 @@ def test_resolution_by_nmi(spark):
     lab = spark.createDataFrame([(i, f"t{i % 4}" if i != 7 else None) for i in range(40)], "node long, label string")
     got = {r["resolution"]: r for r in community.resolution_by_nmi(c, lab).collect()}
     assert got[1.0]["best"] and math.isclose(got[1.0]["nmi"], 1.0) and not got[0.5]["best"] and got[0.5]["nmi"] < 1
+
+
+def test_a_round_of_moves_needs_few_exchanges(spark, monkeypatch):
+    e = spark.createDataFrame([(i, (i * 7 + j) % 40) for i in range(40) for j in (1, 2, 3)], "query long, neighbour long")
+    seen, save = [], community.Leiden._counted
+
+    def counted(self, df, name, flag):
+        seen.append(df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning"))
+        return save(self, df, name, flag)
+
+    monkeypatch.setattr(community.Leiden, "_counted", counted)
+    run = community.Leiden(community.undirected(e), [0.5, 1.0], most=2)
+    assert run.move(run.graph, run.start).count() == 80
+    assert len(seen) == 2 and max(seen) <= 3
