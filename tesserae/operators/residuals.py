@@ -12,21 +12,25 @@ from pyspark.sql import functions as F
 from tesserae.plans.workspace import Workspace, small_side
 
 
-def fit_genes(counts: DataFrame, cells: DataFrame, bins: int = 256, bandwidth: float = 0.3, least_cells: int = 5, sample: str = "sample", cell: str = "cell", gene: str = "gene") -> DataFrame:
+def fit_genes(counts: DataFrame, cells: DataFrame, bins: int = 256, bandwidth: float = 0.3, least_cells: int = 5, sample: str = "sample", cell: str = "cell", gene: str = "gene", part_rows: int = 1_000_000) -> DataFrame:
     """(sample, gene, mean, share, overdispersion, theta): a count model of each gene in each sample.
 
     A cell's expected count is its total times the gene's share of all counts. The inverse size theta solves the moment
     equation sum (x - mu)^2 = sum mu + sum mu^2 / theta over all cells; the absent ones have x = 0 and their part is a product of sums,
     so only stored rows are read. The overdispersion log10(1 + mean / theta) is then smoothed over log10 of the mean by a
     Gaussian kernel of ``bandwidth``, from ``bins`` sums of genes, and theta is taken from the smoothed value. Genes of fewer than
-    ``least_cells`` cells are left out. ``cells(sample, cell)`` counts cells without any stored row too.
+    ``least_cells`` cells are left out. ``cells(sample, cell)`` counts cells without any stored row too. Rows are gathered by cell, a
+    cell's genes in one row, in partitions of about ``part_rows``.
     """
     ws = Workspace(counts.sparkSession, "nb-fit")
     c = counts.where("count > 0").select(sample, cell, gene, F.col("count").cast("double").alias("x"))
-    totals = ws.save(c.groupBy(sample, cell).agg(F.sum("x").alias("t")), "totals")
-    whole = totals.groupBy(sample).agg(F.sum("t").alias("all"), F.sum(F.col("t") * F.col("t")).alias("squares"))
+    # so many partitions that one holds about a million rows, however many there are; a cell's rows are together
+    c = c.repartition(max(1, -(-c.count() // part_rows)), sample, cell)
+    stored = ws.save(c.groupBy(sample, cell, gene).agg(F.sum("x").alias("sx"), F.sum(F.col("x") * F.col("x")).alias("sxx")).groupBy(sample, cell).agg(F.sum("sx").alias("t"), F.collect_list(F.struct(gene, "sx", "sxx")).alias("genes")), "cells")
+    whole = stored.groupBy(sample).agg(F.sum("t").alias("all"), F.sum(F.col("t") * F.col("t")).alias("squares"))
     whole = whole.join(cells.groupBy(sample).agg(F.count_distinct(cell).cast("double").alias("n")), sample)
-    per = c.join(totals, [sample, cell]).groupBy(sample, gene).agg(F.sum("x").alias("sx"), F.sum(F.col("x") * F.col("x")).alias("sxx"), F.sum(F.col("x") * F.col("t")).alias("sxt"), F.count_distinct(cell).alias("k"))
+    flat = stored.select(sample, "t", F.explode("genes").alias("g")).select(sample, "t", f"g.{gene}", "g.sx", "g.sxx")
+    per = flat.groupBy(sample, gene).agg(F.sum("sx").alias("sx"), F.sum("sxx").alias("sxx"), F.sum(F.col("sx") * F.col("t")).alias("sxt"), F.count("*").alias("k"))
     g = per.where(F.col("k") >= least_cells).join(F.broadcast(whole), sample)  # a row a sample
     share = F.col("sx") / F.col("all")
     mu2 = share * share * F.col("squares")

@@ -70,3 +70,18 @@ def test_residuals_of_nothing(spark, data):
     out = residuals.residuals(counts.limit(0), cells, m, [1, 2], "mito")
     assert out.count() == 180 and out.where(F.exists("residual", lambda v: v != 0)).count() == 0
     assert residuals.residuals(counts, cells.limit(0), m, [1]).count() == 0
+
+
+def test_rows_of_cells_are_dealt_by_their_number(spark, monkeypatch):
+    from tesserae.plans.workspace import Workspace
+
+    parts, save = {}, Workspace.save
+
+    def kept(self, df, name):
+        parts[name] = df.rdd.getNumPartitions() if name == "cells" else None
+        return save(self, df, name)
+
+    monkeypatch.setattr(Workspace, "save", kept)
+    counts = spark.range(4000).selectExpr("concat('s', id % 2) as sample", "id % 400 as cell", "id % 13 as gene", "1 + id % 5 as count")
+    got = residuals.fit_genes(counts, counts.select("sample", "cell").distinct(), part_rows=100)
+    assert parts["cells"] == 40 and got.count() == 26
