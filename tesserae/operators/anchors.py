@@ -6,8 +6,10 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tesserae.operators.neighbors import knn
 from tesserae.plans.workspace import Workspace
@@ -17,6 +19,10 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), width).astype(float)
 
 
+def _lists(x: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel()))
+
+
 class Batch:
     """Cells ``(id, vec)`` of one batch; features are standardised by the batch's own means and deviations.
 
@@ -59,7 +65,7 @@ class Batch:
                 y = (_matrix(b.column("vec"), width) - mean) / sd @ load
                 if unit:
                     y /= np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-12)
-                yield pa.record_batch([b.column("id"), pa.array(list(y), pa.list_(pa.float64()))], ["id", "vec"])
+                yield pa.record_batch([b.column("id"), _lists(y)], ["id", "vec"])
 
         return self.cells.mapInArrow(run, f"id {dict(self.cells.dtypes)['id']}, vec array<double>")
 
@@ -139,24 +145,78 @@ def find_anchors(places: list[tuple[DataFrame, DataFrame]], k: int = 5, k_score:
     return scored.select("a", "b", score.alias("score"))
 
 
-def correction(a: Batch, b: Batch, anchors: DataFrame, place: DataFrame, k_weight: int = 100, sd: float = 1.0) -> DataFrame:
+def _pulls(rate: float, kind: pa.DataType, some: int = 1 << 15):
+    """For a block of near anchor cells (query, neighbour, w) and the anchors of these: (query, total, move), each query's sums of
+    weights and of weighted differences."""
+    shape = pa.schema([("query", kind), ("total", pa.float64()), ("move", pa.list_(pa.float64()))])
+
+    def run(near: pa.Table, diffs: pa.Table) -> pa.Table:
+        if not len(near) or not len(diffs):
+            return shape.empty_table()
+        diffs = diffs.sort_by("neighbour")
+        held = diffs["neighbour"].combine_chunks().dictionary_encode()
+        first = np.searchsorted(held.indices.to_numpy(), np.arange(len(held.dictionary) + 1))
+        d, score = _matrix(diffs["diff"].combine_chunks(), len(diffs["diff"][0])), diffs["score"].to_numpy()
+        at = pc.index_in(near["neighbour"].combine_chunks(), value_set=held.dictionary)
+        near, at = near.filter(pc.is_valid(at)), at.drop_null().to_numpy()
+        names = near["query"].combine_chunks().dictionary_encode()
+        code = names.indices.to_numpy()
+        order = np.argsort(code, kind="stable")
+        at, n = at[order], (first[1:] - first[:-1])[at[order]]
+        row = np.repeat(np.arange(len(n)), n)
+        anchor = np.arange(len(row)) - (np.cumsum(n) - n - first[at])[row]
+        w = 1 - np.exp(-near["w"].to_numpy()[order][row] * score[anchor] * rate)
+        code = code[order][row]
+        move = np.zeros((len(names.dictionary), d.shape[1]))
+        for i in range(0, len(row), some):
+            c = code[i : i + some]
+            starts = np.flatnonzero(np.r_[True, c[1:] != c[:-1]])
+            move[c[starts]] += np.add.reduceat(w[i : i + some, None] * d[anchor[i : i + some]], starts)
+        return pa.Table.from_arrays([names.dictionary, pa.array(np.bincount(code, w, len(move))), _lists(move)], schema=shape)
+
+    return run
+
+
+def _moves(kind: pa.DataType):
+    """(id, move) of the sums that a query has from several blocks; without weight it does not move."""
+    shape = pa.schema([("id", kind), ("move", pa.list_(pa.float64()))])
+
+    def run(t: pa.Table) -> pa.Table:
+        names = t["query"].combine_chunks().dictionary_encode()
+        code = names.indices.to_numpy()
+        order = np.argsort(code, kind="stable")
+        starts = np.searchsorted(code[order], np.arange(len(names.dictionary)))
+        move = np.add.reduceat(_matrix(t["move"].combine_chunks(), len(t["move"][0]))[order], starts)
+        total = np.add.reduceat(t["total"].to_numpy()[order], starts)[:, None]
+        return pa.Table.from_arrays([names.dictionary, _lists(np.divide(move, total, out=np.zeros_like(move), where=total > 0))], schema=shape)
+
+    return run
+
+
+def correction(a: Batch, b: Batch, anchors: DataFrame, place: DataFrame, k_weight: int = 100, sd: float = 1.0, near_block: int = 1 << 20, diff_bytes: int = 16 << 20) -> DataFrame:
     """(id, vec): cells of b moved by the weighted differences of their nearest anchors.
 
     A cell's anchors are those of the ``k_weight`` nearest anchor cells of b in ``place(id, vec)``. An anchor weighs
     (1 - d / d_k) times its score, put through 1 - exp(-w (sd / 2)^2) and scaled to a sum of 1; a cell whose weights are all
-    0 stays. A cell's anchors are at most ``k_weight`` times the anchors of one cell, which meet in one row.
+    0 stays. Blocks of about ``near_block`` near anchor cells meet blocks of ``diff_bytes`` of differences, and a task returns one sum a
+    cell: a difference is never copied to the cells that it moves.
     """
     diff = anchors.join(a.cells.select(F.col("id").alias("a"), F.col("vec").alias("va")), "a").join(b.cells.select(F.col("id").alias("b"), F.col("vec").alias("vb")), "b")
-    diff = diff.select(F.col("b").alias("neighbour"), "score", F.zip_with("va", "vb", lambda x, y: x - y).alias("diff"))
+    diff = diff.select(F.col("b").alias("neighbour"), F.col("score").cast("double").alias("score"), F.zip_with("va", "vb", lambda x, y: x - y).alias("diff"))
     held = place.join(anchors.select(F.col("b").alias("id")).distinct(), "id", "left_semi")
     near = knn(place, held, k_weight)
+    row, shares = 8 * b.width + 16, lambda n, most: max(1, -(-n // most))
+    n_a = shares(anchors.count() * row, diff_bytes)
+    n_q = shares(near.count(), near_block * n_a)
+    n_s = shares(place.count() * n_a * row, 4 * diff_bytes)
+    part = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
     far = F.max("dist").over(Window.partitionBy("query"))
     near = near.withColumn("w", 1 - F.coalesce(F.try_divide("dist", far), F.lit(0.0)))
-    w = 1 - F.exp(-F.col("w") * F.col("score") * F.lit((sd / 2) ** 2))
-    x = near.join(diff, "neighbour").select("query", w.alias("w"), "diff").groupBy("query").agg(F.sum("w").alias("total"), F.collect_list(F.struct("w", "diff")).alias("d"))
-    zero = F.array(*(F.lit(0.0) for _ in range(b.width)))
-    move = F.aggregate("d", zero, lambda s, e: F.zip_with(s, e["diff"], lambda p, q: p + e["w"] * q), lambda s: F.transform(s, lambda p: F.coalesce(F.try_divide(p, F.nullif(F.col("total"), F.lit(0.0))), F.lit(0.0))))
-    moved = x.select(F.col("query").alias("id"), move.alias("move"))
+    near = near.select("query", "neighbour", "w", part("query", n_q).alias("q"), part("neighbour", n_a).alias("a"))
+    diff = diff.withColumns({"q": F.explode(F.sequence(F.lit(0), F.lit(n_q - 1))), "a": part("neighbour", n_a)})
+    kind, arrow = dict(b.cells.dtypes)["id"], to_arrow_type(b.cells.schema["id"].dataType)
+    sums = near.groupBy("q", "a").cogroup(diff.groupBy("q", "a")).applyInArrow(_pulls((sd / 2) ** 2, arrow), f"query {kind}, total double, move array<double>")
+    moved = sums.groupBy(part("query", n_s).alias("s")).applyInArrow(_moves(arrow), f"id {kind}, move array<double>")
     return b.cells.join(moved, "id", "left").select("id", F.when(F.col("move").isNull(), F.col("vec")).otherwise(F.zip_with("vec", "move", lambda p, q: p + q)).alias("vec"))
 
 

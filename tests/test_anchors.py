@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tesserae.operators import anchors, neighbors
 
@@ -64,6 +65,27 @@ def test_scores_and_corrections_equal_numpy(spark, two):
         assert np.allclose(got[90 + c], y[c] + move)
 
 
+def test_correction_by_blocks_copies_no_difference_to_cells(spark, two):
+    x, y = two[0][:40], two[1][:60]
+    a, b = anchors.Batch(frame(spark, x)), anchors.Batch(frame(spark, y, 90))
+    rng = np.random.default_rng(3)
+    pairs = {(int(i), int(j)): float(s) for i, j, s in zip(rng.integers(0, 40, 90), rng.integers(0, 30, 90), rng.choice([0.0, 0.3, 1.0], 90))}
+    found = spark.createDataFrame([(i, 90 + j, s) for (i, j), s in pairs.items()], "a long, b long, score double")
+    out = anchors.correction(a, b, found, b.cells, 8, near_block=50, diff_bytes=1000)
+    assert "collect_list" not in out._jdf.queryExecution().toString()  # cells would gather a difference for each of their anchors
+    got = {r["id"]: r["vec"] for r in out.collect()}
+    held = sorted({j for _, j in pairs})
+    for c in range(60):
+        near = sorted(held, key=lambda j: (np.linalg.norm(y[c] - y[j]), j))[:8]
+        far = np.linalg.norm(y[c] - y[near[-1]])
+        w = np.array([1 - np.exp(-(1 - np.linalg.norm(y[c] - y[j]) / far) * s / 4) for (_, j), s in pairs.items() if j in near])
+        move = w @ np.array([x[i] - y[j] for i, j in pairs if j in near]) / w.sum() if w.sum() else 0
+        assert np.allclose(got[90 + c], y[c] + move)
+    still = anchors.correction(a, b, found.withColumn("score", F.lit(0.0)), b.cells, 8)
+    assert np.allclose([r["vec"] for r in still.orderBy("id").collect()], y)
+    assert np.allclose([r["vec"] for r in anchors.correction(a, b, found.limit(0), b.cells, 8).orderBy("id").collect()], y)
+
+
 @pytest.mark.parametrize("reduction", ["cca", "rpca"])
 def test_batches_mix_and_labels_stay_apart(spark, two, reduction):
     x = np.concatenate(two[:2])
