@@ -77,7 +77,9 @@ def score_doublets(latent: DataFrame, batch: str, rate: float, k: int = 15, seed
     batch's cells and pairs are counted, and scores above the batch's exact quantile 1 - ``rate`` are doublets. A batch of any
     size is scored as a whole, block by block.
     """
+    ws = Workspace(latent.sparkSession, "doublet-scores")
     cells, pairs = simulated_pairs(latent, batch, seed)
+    cells, pairs = ws.save(cells, "cells"), ws.save(pairs, "pairs")
     mine = cells.drop("cell_id")
     near = knn(mine, mine.unionByName(pairs), k, include_self=False, by=batch)
     score = near.groupBy(batch, F.col("query").alias("id")).agg(F.avg(F.col("neighbour").startswith("p").cast("double")).alias("score"))
