@@ -1,7 +1,8 @@
 """Leiden clustering of one graph at many resolutions at once, and the choice among them.
 
 All state is keyed by ``(res, node)``, so a round of joins serves every resolution. A level moves nodes until nothing moves,
-refines each community from single nodes into connected parts, and contracts the parts to the nodes of the next level.
+refines each community from single nodes into connected parts, and contracts the parts to the nodes of the next level. From the
+level on whose graphs fit a task each, a task a resolution does the rest (``small_graphs``).
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from tesserae.operators import small_graphs
 from tesserae.plans.workspace import Workspace
 
 
@@ -25,10 +27,11 @@ def _turn(key: str, i: int) -> Column:
 
 
 class Leiden:
-    """One run; ``graph(a, b, w)`` is symmetric and, at the first level, shared by all resolutions."""
+    """One run; ``graph(a, b, w)`` is symmetric and, at the first level, shared by all resolutions. Graphs of at most ``in_task``
+    directed edges and nodes a resolution are finished in a task each."""
 
-    def __init__(self, graph: DataFrame, resolutions: list[float], most: int = 16, tolerance: float = 0.02):
-        self.ws = Workspace(graph.sparkSession, "leiden")
+    def __init__(self, graph: DataFrame, resolutions: list[float], most: int = 16, tolerance: float = 0.02, in_task: int = small_graphs.MOST):
+        self.ws, self.in_task = Workspace(graph.sparkSession, "leiden"), in_task
         self.graph = self.ws.save(graph, "graph")
         self.resolutions, self.most, self.tolerance = sorted({float(r) for r in resolutions}), most, tolerance
         deg = self.ws.save(self.graph.groupBy("a").agg(F.sum("w").alias("k")), "degrees")
@@ -46,6 +49,23 @@ class Leiden:
         out = self._save(df.observe(seen, F.count("*").alias("n"), F.count_if(flag).alias("k")), name)
         return out, seen.get["n"], seen.get["k"]
 
+    def _small(self, edges: DataFrame, nodes: DataFrame) -> bool:
+        """Whether the graph of each resolution fits a task."""
+
+        def most(df: DataFrame) -> int:
+            return df.groupBy("res").count().agg(F.max("count")).first()[0] or 0 if "res" in df.columns else df.count()
+
+        return most(edges) <= self.in_task and most(nodes) <= self.in_task
+
+    def _each(self, edges: DataFrame) -> DataFrame:
+        """Edges of each resolution."""
+        return edges if "res" in edges.columns else edges.withColumn("res", F.explode(F.array(*map(F.lit, self.resolutions))))
+
+    def _in_tasks(self, edges: DataFrame, cur: DataFrame, solve, columns: list[str], name: str) -> DataFrame:
+        kind = dict(cur.dtypes) | {"cluster": dict(cur.dtypes)["node"]}
+        out = small_graphs.by_resolution(cur.select("res", "node", "k", "cluster"), self._each(edges).select("res", "a", "b", "w"), solve, ", ".join(f"{c} {kind[c]}" for c in columns), len(self.resolutions))
+        return self._save(out, name)
+
     def _beside(self, edges: DataFrame, cur: DataFrame, column: str) -> DataFrame:
         """(res, node, column, w): weight from each node to each value of ``column`` of its neighbours, itself left out."""
         far = cur.select("res", F.col("node").alias("b"), column)
@@ -136,9 +156,10 @@ class Leiden:
     def connected(self, edges: DataFrame, cur: DataFrame) -> DataFrame:
         """``cur`` with communities that fall apart split into their components, which raises modularity."""
         cur = self._save(cur, "whole")
+        if self._small(edges, cur):
+            return self._in_tasks(edges, cur, small_graphs.connected, ["res", "node", "k", "cluster"], "split")
         pair = lambda a, b: cur.select("res", F.col("node").alias(a), F.col("cluster").alias(b))
-        e = edges if "res" in edges.columns else edges.withColumn("res", F.explode(F.array(*map(F.lit, self.resolutions))))
-        inner = e.join(pair("a", "ca"), ["res", "a"]).join(pair("b", "cb"), ["res", "b"]).where("ca = cb").select("res", "a", "b")
+        inner = self._each(edges).join(pair("a", "ca"), ["res", "a"]).join(pair("b", "cb"), ["res", "b"]).where("ca = cb").select("res", "a", "b")
         inner = self._save(inner.union(cur.select("res", F.col("node").alias("a"), F.col("node").alias("b"))), "within")
         least = cur.select("res", "node", F.col("node").alias("least"))
         while True:
@@ -152,7 +173,7 @@ class Leiden:
         """(res, node, cluster), clusters named by a node."""
         edges, cur = self.graph, self.start
         place = cur.select("res", "node", F.col("node").alias("at"))  # each first node's place at the present level
-        while True:
+        while not (small := self._small(edges, cur)):
             cur = self.move(edges, cur)
             parts = self.refine(edges, cur)
             before, after = parts.agg(F.count("*"), F.count_distinct("res", "part")).first()
@@ -161,17 +182,17 @@ class Leiden:
             place = self._save(place.join(parts.select("res", F.col("node").alias("at"), "part"), ["res", "at"]).select("res", "node", F.col("part").alias("at")), "place")
             edges, cur = self.contract(edges, parts)
             self.ws.release()
-        cur = self.connected(edges, cur)
+        cur = self._in_tasks(edges, cur, small_graphs.leiden(self.m2), ["res", "node", "cluster"], "rest") if small else self.connected(edges, cur)
         return self._save(place.join(cur.select("res", F.col("node").alias("at"), "cluster"), ["res", "at"]).select("res", "node", "cluster"), "clusters")
 
 
-def leiden(edges: DataFrame, resolutions: list[float]) -> DataFrame:
+def leiden(edges: DataFrame, resolutions: list[float], in_task: int = small_graphs.MOST) -> DataFrame:
     """(resolution, node, cluster): Leiden clusters of ``edges(query, neighbour[, weight])`` at each resolution.
 
     Clusters are numbered from '0' by falling size within their resolution. Every cluster is connected. Nodes without an edge
     to another node are not in the graph. Moves are parallel, so clusters are compared with others' by agreement, not by name.
     """
-    found = Leiden(undirected(edges), resolutions).run()
+    found = Leiden(undirected(edges), resolutions, in_task=in_task).run()
     w = F.row_number().over(Window.partitionBy("res").orderBy(F.desc("n"), "cluster")) - 1
     rank = found.groupBy("res", "cluster").agg(F.count("*").alias("n")).select("res", "cluster", w.cast("string").alias("rank"))
     return found.join(rank, ["res", "cluster"]).select(F.col("res").alias("resolution"), "node", F.col("rank").alias("cluster"))

@@ -7,22 +7,29 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tesserae.operators import small_graphs
 from tesserae.operators.neighbors import knn
 from tesserae.plans.workspace import Workspace
 
 
-def modularity_clusters(edges: DataFrame, resolution: float = 1.0, rounds: int = 12) -> DataFrame:
+def modularity_clusters(edges: DataFrame, resolution: float = 1.0, rounds: int = 12, in_task: int = small_graphs.MOST) -> DataFrame:
     """(node, cluster) of an undirected graph ``edges(query, neighbour)`` by local moves that raise modularity.
 
     In each round the nodes of one hash half join the neighbouring cluster of greatest gain, ties to the smaller id;
     halves take turns so that neighbours do not swap forever. Weights are summed before they are compared, and a node
-    compares as many clusters as its neighbours have. Not Leiden: compare results by agreement scores, not by name.
+    compares as many clusters as its neighbours have. Graphs of at most ``in_task`` directed edges take their rounds in one task.
+    Not Leiden: compare results by agreement scores, not by name.
     """
     ws = Workspace(edges.sparkSession, "clusters")
     e = edges.where("query <> neighbour").select(F.col("query").alias("a"), F.col("neighbour").alias("b"))
     e = ws.save(e.union(e.select("b", "a")).groupBy("a", "b").agg(F.count("*").cast("double").alias("w")), "edges")
     deg = ws.save(e.groupBy("a").agg(F.sum("w").alias("k")), "degrees")
     m2 = deg.agg(F.sum("k")).first()[0] or 1.0
+    if e.count() <= in_task:
+        res, kind = F.lit(float(resolution)).alias("res"), dict(deg.dtypes)["a"]
+        nodes = deg.select(res, F.col("a").alias("node"), "k", F.pmod(F.xxhash64("a"), F.lit(2)).alias("turn"))
+        cur = small_graphs.by_resolution(nodes, e.select(res, "a", "b", "w"), small_graphs.local_moves(m2, rounds), f"node {kind}, cluster {kind}, k double", 1)
+        return _ranked(ws.save(cur, "moved"))
     # with an edge of weight 0 to itself, a node gets its own state and its neighbours' by one join and one exchange
     e = ws.save(e.join(deg, "a").unionByName(deg.select("a", F.col("a").alias("b"), F.lit(0.0).alias("w"), "k")), "around")
     cur = ws.save(deg.select(F.col("a").alias("node"), F.col("a").alias("cluster"), "k"), "c0")
@@ -35,6 +42,11 @@ def modularity_clusters(edges: DataFrame, resolution: float = 1.0, rounds: int =
         best = x.groupBy("node").agg(F.first("k").alias("k"), F.max(F.when(F.col("stay"), F.col("cluster"))).alias("mine"), F.max_by("cluster", F.struct(gain.alias("g"), F.col("stay"), (-F.col("cluster")).alias("c"))).alias("to"))
         cur = ws.save(best.select("node", F.when(turn, F.col("to")).otherwise(F.col("mine")).alias("cluster"), "k"), f"c{i + 1}")
         ws.drop(f"c{i}")
+    return _ranked(cur)
+
+
+def _ranked(cur: DataFrame) -> DataFrame:
+    """(node, cluster), clusters numbered from '0' by falling size."""
     w = F.dense_rank().over(Window.orderBy(F.desc("n"), "cluster")) - 1
     rank = cur.groupBy("cluster").agg(F.count("*").alias("n")).select("cluster", w.alias("rank"))
     return cur.join(rank, "cluster").select("node", F.col("rank").cast("string").alias("cluster"))
